@@ -44,13 +44,14 @@ def weighted_last(c: Column, w: WindowSpec, weights: list[Decimal], scale: int =
     Whole-number arithmetic on c * 10^scale and weights * 10^9, so the result has no
     floating-point noise and rounds the same way everywhere.
     """
+    n = len(weights)
     whole = (c.cast(f"decimal(18,{scale})") * 10**scale).cast("long")
-    terms = [
-        (whole if i == 0 else F.lag(whole, i).over(w)) * F.lit(int(x.scaleb(WEIGHT_DIGITS)))
-        for i, x in enumerate(weights)
-    ]
-    total = reduce(add, terms).cast("decimal(20,0)")
-    return total * F.lit(Decimal(1).scaleb(-(WEIGHT_DIGITS + scale)))
+    history = list_last(whole, w, n)
+    oldest_first = F.array(*[F.lit(int(x.scaleb(WEIGHT_DIGITS))) for x in reversed(weights)])
+    products = F.zip_with(history, oldest_first, lambda value, weight: value * weight)
+    total = F.aggregate(products, F.lit(0).cast("long"), lambda acc, x: acc + x)
+    full = F.when(F.size(history) == n, total).cast("decimal(20,0)")
+    return full * F.lit(Decimal(1).scaleb(-(WEIGHT_DIGITS + scale)))
 
 
 def list_last(c: Column, w: WindowSpec, n: int) -> Column:

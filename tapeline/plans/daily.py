@@ -21,8 +21,16 @@ def as_date(d: DateLike) -> Column:
 
 
 def calendar(df: DataFrame, date: str = "load_date") -> DataFrame:
-    """Distinct dates, newest first (rnum = 1). One row per trading day, so one task is enough."""
-    return df.select(date).distinct().withColumn("rnum", F.row_number().over(W.orderBy(F.desc(date))).cast("long"))
+    """Distinct dates numbered from the newest (rnum) and from the oldest (date_index).
+
+    One row per trading day, so one task is enough.
+    """
+    days = df.select(date).distinct()
+    return days.select(
+        date,
+        F.row_number().over(W.orderBy(F.desc(date))).cast("long").alias("rnum"),
+        F.row_number().over(W.orderBy(date)).cast("long").alias("date_index"),
+    )
 
 
 def active_on(df: DataFrame, d: DateLike, key: str = "code", date: str = "load_date") -> DataFrame:
