@@ -347,7 +347,7 @@ def etl_log(spark: SparkSession, sf: str) -> DataFrame:
     "page_list_items",
     r"""
 SELECT page_id, coalesce(x[1], '') AS cell1, coalesce(x[2], '') AS cell2, coalesce(x[3], '') AS cell3, coalesce(x[5], '') AS cell4, coalesce(x[8], '') AS cell5, len(x) AS n FROM (
-  SELECT page_id, list_transform(regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1), t -> trim(regexp_replace(t, '<[^>]*>', '', 'g'))) AS x FROM pages)""",
+  SELECT page_id, list_transform(regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1), lambda t: trim(regexp_replace(t, '<[^>]*>', '', 'g'))) AS x FROM pages)""",
 )
 def page_list_items(spark: SparkSession, sf: str) -> DataFrame:
     return page_cells(table(spark, sf, "pages"), "li", [1, 2, 3, 5, 8])

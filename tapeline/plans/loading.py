@@ -255,7 +255,10 @@ def history_prices(hist: DataFrame) -> DataFrame:
     """Text history: exchange suffix added, `MM/dd/yy` dates, three decimals, whole volume."""
     price = [F.col(c).try_cast("decimal(12,3)").alias(f"hist_{c}") for c in ("open", "high", "low", "close")]
     volume = F.floor(F.col("volume").try_cast("decimal(18,3)")).cast("long").alias("hist_volume")
-    return hist.select(F.concat("code", F.lit(EXCHANGE_SUFFIX)).alias("code"), F.try_to_date("date", "MM/dd/yy").alias("record_date"), *price, volume)
+    day = F.try_to_date("date", "MM/dd/yy")
+    # Two-digit years from 70 on belong to the last century.
+    day = F.when(F.year(day) >= 2070, F.add_months(day, -1200)).otherwise(day)
+    return hist.select(F.concat("code", F.lit(EXCHANGE_SUFFIX)).alias("code"), day.alias("record_date"), *price, volume)
 
 
 def general(export: DataFrame, hist: DataFrame, drop_codes: list[str], drop_dates: list[str]) -> DataFrame:
