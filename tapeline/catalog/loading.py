@@ -92,7 +92,7 @@ FROM (SELECT *, (o % 5000) * 0.1 * CASE v % 6 WHEN 0 THEN 1000000 WHEN 1 THEN 10
 fragment(
     "t_anc",
     """
-SELECT DISTINCT 'Brand#' || (user_id % 25 + 1) AS code, date_trunc('minute', ts - INTERVAL 8246 DAY) AS pub_datetime FROM events WHERE value > 30""",
+SELECT DISTINCT 'Brand#' || (user_id % 25 + 1) AS code, date_trunc('minute', ts - INTERVAL 8247 DAY) AS pub_datetime FROM events WHERE value > 30""",
 )
 
 

@@ -229,7 +229,7 @@ for _n in ("sem", "qtr"):
     fragment(
         f"dl_{_n}",
         f"""
-SELECT category, code, max(load_date) AS recent_calculation_date, round(avg((pe2 + pe5 + e2e5) / 3.0), 4) AS trend, round(avg((popularity + turnover) // 2), 1) AS popularity
+SELECT category, code, max(load_date) AS recent_calculation_date, ((sum(round((pe2 + pe5 + e2e5) * 1000)::BIGINT) * 20 + 3 * count(*)) // (6 * count(*)) / 10000.0)::DOUBLE AS trend, round(avg((popularity + turnover) // 2), 1) AS popularity
 FROM dr_{_n} WHERE load_date > {DAY} - INTERVAL 2 MONTH GROUP BY 1, 2 HAVING count(*) > 0 AND avg((popularity + turnover) // 2) < 3""",
     )
 

@@ -55,11 +55,14 @@ def trading_days_series(bars: DataFrame, d: DateLike, back: int = MONTH) -> Data
     )
 
 
-def lookback_window(state: DataFrame, bars: DataFrame, d: DateLike, side: str, min_share: float = 0.95) -> DataFrame:
-    """Look-back rows with in_semester / in_quarter flags; a flag is off where coverage is too thin."""
+def lookback_window(state: DataFrame, trading: DataFrame, d: DateLike, side: str, min_share: float = 0.95) -> DataFrame:
+    """Look-back rows with in_semester / in_quarter flags; a flag is off where coverage is too thin.
+
+    `trading` is the frame of `trading_days_series`.
+    """
     day = as_date(d)
     turns = turn_dates(state, d, side).where(F.col("cal_date") > F.date_sub(day, MONTH))
-    days = trading_days_series(bars, d).withColumnRenamed("load_date", "cal_date")
+    days = trading.withColumnRenamed("load_date", "cal_date")
     rows = state.join(turns, "code").where((F.col("load_date") > F.date_sub("cal_date", SEMESTER)) & (F.col("load_date") <= F.col("cal_date")))
     recent = F.col("load_date") > F.date_sub("cal_date", QUARTER)
     per_code = W.partitionBy("code")
@@ -173,13 +176,13 @@ def trend_direction_list(source: DataFrame, d: DateLike, months: int = 2, min_fl
     """Mean of the three shares per code over the last two months; more than one flip, liquid on average."""
     day = as_date(d)
     liquid = F.floor((F.col("popularity") + F.col("turnover")) / 2)
-    trend = (F.col("pe2") + F.col("pe5") + F.col("e2e5")).cast("double") / 3.0
+    shares = F.sum(F.col("pe2") + F.col("pe5") + F.col("e2e5"))
     out = (
         source.where((F.col("load_date") > F.add_months(day, -months)) & (F.col("load_date") <= day))
         .groupBy("category", "code")
         .agg(
             F.max("load_date").alias("recent_calculation_date"),
-            dec(F.avg(trend), 4, 5).alias("trend"),
+            dec(ratio(shares, F.count("*") * 3), 4, 5).alias("trend"),
             F.avg(liquid).alias("_liquid"),
             F.count("*").alias("_n"),
         )

@@ -55,6 +55,7 @@ class DailyRun:
         self.d, self.day, self.settings = d, as_date(d), settings
         self._bars, self._categorise = bars, categorise
         self.shorts, self.announcements, self._analysis = shorts, announcements, analysis
+        self._lookbacks: dict[tuple[str, str], DataFrame] = {}
 
     @cached_property
     def bars(self) -> DataFrame:
@@ -127,8 +128,16 @@ class DailyRun:
     def state(self, family: str) -> DataFrame:
         return rankings.candle_state(self.candles) if family == "ha" else rankings.sar_state(self.sar)
 
+    @cached_property
+    def trading(self) -> DataFrame:
+        return stage(rankings.trading_days_series(self.bars, self.d))
+
     def lookback(self, family: str, side: str) -> DataFrame:
-        return rankings.lookback_window(self.state(family), self.bars, self.d, side, self.settings.min_share)
+        key = (family, side)
+        if key not in self._lookbacks:
+            rows = rankings.lookback_window(self.state(family), self.trading, self.d, side, self.settings.min_share)
+            self._lookbacks[key] = stage(rows)
+        return self._lookbacks[key]
 
     def ranking(self, measure: str, family: str, side: str) -> DataFrame:
         """measure: 'ema', 'state' or 'stb'; family: 'ha' or 'sar'; side: 'long_end' or 'short_end'."""

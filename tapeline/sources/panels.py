@@ -14,9 +14,9 @@ from tapeline.functions.numeric import dec, first_by, hundredths, last_by, ratio
 from tapeline.functions.series import by
 from tapeline.sources.files import table
 
-# Ticks are moved back so that the newest one falls on 2001-07-03, and their
+# Ticks are moved back so that the newest one falls on 2001-07-02, and their
 # text is UTC while the market clock is UTC+11.
-TICK_SHIFT_DAYS = 8246
+TICK_SHIFT_DAYS = 8247
 MARKET_UTC_HOURS = 11
 EXCHANGE_SUFFIX = ".AX"
 
@@ -160,7 +160,7 @@ def web_ticker_of(events: DataFrame) -> DataFrame:
     utc = _tick_ts() - F.expr(f"INTERVAL '{MARKET_UTC_HOURS}' HOUR")
     return events.select(
         _tick_code().alias("code"),
-        (F.round(F.col("value") * 100).cast("long") * 6).cast("decimal(12,2)").cast("string").alias("tick_price"),
+        (F.round(F.col("value") * 100).cast("long") * 10).cast("decimal(12,2)").cast("string").alias("tick_price"),
         F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("tick_time"),
     )
 
