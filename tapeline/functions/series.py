@@ -65,9 +65,9 @@ def kth_smallest(c: Column, w: WindowSpec, n: int, k: int) -> Column:
 
 
 def mean_strict(c: Column, w: WindowSpec, n: int) -> Column:
-    """Mean of the newest n rows, NULL unless all n values are present."""
+    """Mean of the newest n rows, NULL unless all n values are present (exact sum for decimals)."""
     rows = last_rows(w, n)
-    return F.when(F.count(c).over(rows) == n, F.avg(c.cast("double")).over(rows))
+    return F.when(F.count(c).over(rows) == n, F.sum(c).over(rows).cast("double") / n)
 
 
 def slope_last(values: list[Column]) -> Column:
