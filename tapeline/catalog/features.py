@@ -241,7 +241,7 @@ def _pe_scale(x: str) -> str:
 
 fragment(
     "g_pe",
-    f"SELECT *, {quot('pe_mdn', 'divided_pe', ('03', '05', '10', '20'), lambda x: sg(f'(least(greatest({x}, -10), 10) - 1) * 80'))} FROM (SELECT code, date_index, {_pe_scale('pe')} AS pe_cur, "
+    f"SELECT *, {quot('pe_mdn', 'divided_pe', ('03', '05', '10', '20'), lambda x: sg(f'(CASE WHEN {x} > 10 THEN 10 WHEN {x} < -10 THEN -10 ELSE {x} END - 1) * 80'))} FROM (SELECT code, date_index, {_pe_scale('pe')} AS pe_cur, "
     + ", ".join(f"{_pe_scale(f'p{n:02d}')} AS pe_mdn{n:02d}" for n in SPANS)
     + " FROM (SELECT code, date_index, pe, "
     + ", ".join(f"{kth('pe', n)} AS p{n:02d}" for n in SPANS)
@@ -460,7 +460,7 @@ fragment(
     f"""
 SELECT code, load_date, date_index, performance, rec_rank FROM (
   SELECT *, {rank(score_sql('pe_rank', 'number_of_analyst', 'recommendation_mean', 40) + ' DESC')} AS rec_rank FROM (
-    SELECT t.*, CASE WHEN t.market_open <> 0 THEN round((e.market_price - t.market_open)::DOUBLE / t.market_open::DOUBLE, 3) ELSE 0 END + 1 AS performance
+    SELECT t.*, CASE WHEN t.market_open <> 0 THEN round((e.market_price - t.market_open)::DOUBLE / t.market_open::DOUBLE + 1, 3) ELSE 1 END AS performance
     FROM (SELECT *, {rank('coalesce(forward_pe, 0) DESC')} AS pe_rank FROM w_tx) t JOIN w_tx e ON t.code = e.code AND e.date_index = t.date_index + 24
     WHERE t.date_index IN (SELECT date_index FROM w_tx WHERE recommendation_mean IS NOT NULL GROUP BY 1 HAVING count(*) > {MIN_RATED}) AND t.code <> 'Brand#13' AND t.average_volume > {MIN_VOLUME}
       AND CASE WHEN t.market_day_high <= t.market_day_low THEN 0 ELSE (t.market_price - t.market_day_low)::DOUBLE / (t.market_day_high - t.market_day_low)::DOUBLE END > 0.4)) WHERE date_index > 20""",

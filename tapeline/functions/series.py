@@ -67,15 +67,35 @@ def kth_smallest(c: Column, w: WindowSpec, n: int, k: int) -> Column:
 def mean_strict(c: Column, w: WindowSpec, n: int) -> Column:
     """Mean of the newest n rows, NULL unless all n values are present (exact sum for decimals)."""
     rows = last_rows(w, n)
-    return F.when(F.count(c).over(rows) == n, F.sum(c).over(rows).cast("double") / n)
+    return F.when(F.count(c).over(rows) == n, F.sum(c).over(rows) / F.lit(n))
 
 
-def slope_last(values: list[Column]) -> Column:
-    """Least-squares slope of values[0..n-1] against 0..n-1, in closed form."""
-    n = len(values)
+def slope_of(values: Column, n: int) -> Column:
+    """Least-squares slope of an n-element array against 0..n-1, as a product with fixed weights."""
     mid = (n - 1) / 2
     sxx = sum((i - mid) ** 2 for i in range(n))
-    return reduce(add, [v.cast("double") * F.lit((i - mid) / sxx) for i, v in enumerate(values)])
+    weights = F.array(*[F.lit((i - mid) / sxx) for i in range(n)])
+    return total_of(F.zip_with(values, weights, lambda v, k: v * k))
+
+
+def total_of(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def newest_of(values: Column, n: int) -> Column:
+    """The last n elements of an array."""
+    return F.slice(values, -n, n)
+
+
+def rebased(values: Column, mean: Column, digits: int | None = None) -> Column:
+    """(x - first) / mean for every element."""
+    first = F.get(values, F.lit(0))
+
+    def one(x: Column) -> Column:
+        y = (x - first) / mean
+        return y if digits is None else F.round(y, digits)
+
+    return F.transform(values, one)
 
 
 def lagged(c: Column, w: WindowSpec, i: int) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tapeline.functions import series
 from tapeline.functions.numeric import clamped, dec, ratio, sigmoid, squash
-from tapeline.functions.series import by, kth_smallest, lagged, last_rows, mean_strict, slope_last
+from tapeline.functions.series import by, kth_smallest, lagged, last_rows, mean_strict
 from tapeline.operators.joins import feature_join, forward_return
 from tapeline.operators.rows import position_in_range
 from tapeline.staging import stage
@@ -124,19 +124,22 @@ def _ir_names() -> tuple[list[str], list[Pair], list[Pair]]:
     return values, ratios, diffs
 
 
+def _history(rows: DataFrame, col: str, n: int = 20) -> DataFrame:
+    """Add the last n values (_h, NULL unless all are present) and their mean (_mean, NULL at 0)."""
+    values = series.list_last(F.col(col).cast("double"), order(), n)
+    wide = rows.withColumn("_h", values).withColumn("_h", F.when(F.size("_h") == n, F.col("_h")))
+    return wide.withColumn("_mean", F.nullif(series.total_of(F.col("_h")) / n, F.lit(0.0)))
+
+
 def rebased_slopes(rows: DataFrame, col: str, spans: tuple[int, ...] = (5, 10, 20), prefix: str = "") -> DataFrame:
     """Slope of the last n values, rebased to the oldest and divided by their 20-row mean."""
-    w = order()
-    wide = rows.withColumns({f"_v{i:02d}": lagged(F.col(col), w, i).cast("double") for i in range(20)})
-    mean = F.nullif(F.sum(col).over(last_rows(w, 20)).cast("double") / 20, F.lit(0.0))
-    wide = wide.withColumn("_mean", F.when(F.count(col).over(last_rows(w, 20)) == 20, mean))
 
     def slope(n: int) -> Column:
-        oldest = F.col(f"_v{n - 1:02d}")
-        return slope_last([F.round((F.col(f"_v{i:02d}") - oldest) / F.col("_mean"), 7) for i in range(n - 1, -1, -1)])
+        values = series.rebased(series.newest_of(F.col("_h"), n), F.col("_mean"), 7)
+        return series.slope_of(values, n).alias(f"{prefix}slope_value_{n:02d}")
 
     keep = [c for c in rows.columns if c != col]
-    return wide.select(*keep, *[slope(n).alias(f"{prefix}slope_value_{n:02d}") for n in spans])
+    return _history(rows, col).select(*keep, *[slope(n) for n in spans])
 
 
 def feature_mp(tx: DataFrame) -> DataFrame:
@@ -525,16 +528,8 @@ def trends_long(df: DataFrame, keys: list[str], lists: list[str]) -> DataFrame:
 
 def rebased_lists(tx: DataFrame, col: str = "market_price", spans: tuple[int, ...] = (20, 10, 5)) -> DataFrame:
     """The rebased lists themselves, oldest first, from the 20th date on."""
-    w = order()
-    wide = tx.select("code", "date_index", F.col(col).cast("double").alias("_v")).withColumn("_h", series.list_last(F.col("_v"), w, 20))
-    mean = F.aggregate("_h", F.lit(0.0), lambda a, x: a + x) / 20
-    rows = wide.where((F.size("_h") == 20) & (F.col("date_index") >= 20)).withColumn("_mean", F.nullif(mean, F.lit(0.0)))
-
-    def rebased(n: int) -> Column:
-        tail = F.slice("_h", -n, n)
-        return F.transform(tail, lambda x: (x - F.get(tail, F.lit(0))) / F.col("_mean"))
-
-    return rows.select("code", "date_index", *[rebased(n).alias(f"list{n:02d}") for n in spans])
+    rows = _history(tx.select("code", "date_index", col), col).where(F.col("_h").isNotNull() & (F.col("date_index") >= 20))
+    return rows.select("code", "date_index", *[series.rebased(series.newest_of(F.col("_h"), n), F.col("_mean")).alias(f"list{n:02d}") for n in spans])
 
 
 def two_periods(tx: DataFrame, periods: dict[str, tuple[str, str]], make: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tapeline.functions import series
 from tapeline.functions.numeric import dec, ratio, sigmoid, squash
-from tapeline.functions.series import kth_smallest, lagged, slope_last
 from tapeline.operators.joins import attach_scalar
 from tapeline.plans.features import MEDIAN_PLACE, SPANS, span_pairs
 from tapeline.staging import stage
@@ -76,22 +73,25 @@ def market_indicators(tx: DataFrame, cap: int = 50) -> DataFrame:
 def market_windows(indicators: DataFrame) -> DataFrame:
     """Mean, positional median and slope of each series over 3, 5, 10 and 20 gapless dates."""
     w = W.orderBy("date_index")
-    rows = indicators.select("load_date", "date_index", *[F.col(c).alias(s) for s, c in SERIES.items()])
-    wide = rows.withColumns({f"{s}_{i:02d}": lagged(F.col(s), w, i) for s in SERIES for i in range(20)})
-    medians = {
-        f"mdn_{s}_{n:02d}": kth_smallest(F.round(F.col(s), 7), w, n, MEDIAN_PLACE[n]) for s in SERIES for n in SPANS
-    }
-    wide = wide.withColumns(medians | {"_first": F.lag("date_index", 19).over(w)}).where("date_index - _first = 19")
+    rows = indicators.select(
+        "load_date",
+        "date_index",
+        *[series.list_last(F.col(c), w, 20).alias(s) for s, c in SERIES.items()],
+        F.lag("date_index", 19).over(w).alias("_first"),
+    ).where("date_index - _first = 19")
+
+    def values(s: str, n: int) -> Column:
+        return series.newest_of(F.col(s), n)
 
-    def values(s: str, n: int) -> list[Column]:
-        return [F.col(f"{s}_{i:02d}") for i in range(n)]
+    def rounded(s: str, n: int) -> Column:
+        return F.transform(values(s, n), lambda x: F.round(x, 7))
 
-    return wide.select(
+    return rows.select(
         "load_date",
         "date_index",
-        *[(reduce(add, values(s, n)) / n).alias(f"avg_{s}_{n:02d}") for s in SERIES for n in SPANS],
-        *[f"mdn_{s}_{n:02d}" for s in SERIES for n in SPANS],
-        *[slope_last([F.round(v, 7) for v in reversed(values(s, n))]).alias(f"slope_{s}_{n:02d}") for s in SERIES for n in SPANS],
+        *[(series.total_of(values(s, n)) / n).alias(f"avg_{s}_{n:02d}") for s in SERIES for n in SPANS],
+        *[F.get(F.array_sort(rounded(s, n)), F.lit(MEDIAN_PLACE[n] - 1)).alias(f"mdn_{s}_{n:02d}") for s in SERIES for n in SPANS],
+        *[series.slope_of(rounded(s, n), n).alias(f"slope_{s}_{n:02d}") for s in SERIES for n in SPANS],
     )
 
 

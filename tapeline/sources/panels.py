@@ -177,6 +177,10 @@ def web_announcement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forex_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat `key:value,` text of currency quotes."""
+    return forex_snapshot_of(table(spark, sf_dir, "events"))
+
+
+def forex_snapshot_of(events: DataFrame) -> DataFrame:
     pairs = F.array(*[F.lit(x) for x in ("EUR_USD", "USD_JPY", "AUD_USD", "GBP_USD")])
     bid = F.round(F.col("value") * 100).cast("long").cast("decimal(10,0)")
     info = F.concat(
@@ -190,7 +194,7 @@ def forex_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         (bid + 3).cast("decimal(10,0)").cast("string"),
         F.lit(","),
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_type").alias("batch"), info.alias("info"), F.col("ts").alias("sys_dt")
     )
 
