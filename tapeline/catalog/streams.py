@@ -38,7 +38,8 @@ def stream_deduplicated_ticks(spark: SparkSession, sf: str) -> DataFrame:
     live = events_stream(spark, sf).withColumn("minute", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
     twice = live.unionByName(live)
     ticks.run_available(ticks.dedupe_ticks(twice, ["event_type", "minute", "user_id"], "minute", "40 days"), ticks.batch_sink(path))
-    return spark.read.parquet(path).groupBy("event_type", "minute").agg(F.count("*").alias("users"))
+    minute = F.col("minute").cast("timestamp_ntz").alias("minute")
+    return spark.read.parquet(path).groupBy("event_type", minute).agg(F.count("*").alias("users"))
 
 
 fragment("fx", "SELECT ['EUR_USD', 'USD_JPY', 'AUD_USD', 'GBP_USD'][user_id % 4 + 1] AS instrument, round(value * 100)::BIGINT AS bid FROM events")

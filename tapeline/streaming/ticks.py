@@ -64,8 +64,11 @@ def insert_sink(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
 
 
 def stream_bars(ticks: DataFrame, cutoff: str, late: str = "1 day") -> DataFrame:
-    """Daily bars per code from weekday ticks up to the cut-off, updated as ticks arrive."""
-    rows = trading_time(ticks, "tick_ts", cutoff).withWatermark("tick_ts", late)
+    """Daily bars per code from weekday ticks up to the cut-off, updated as ticks arrive.
+
+    Event time needs a TIMESTAMP; run the session in UTC so that a day stays the market's day.
+    """
+    rows = trading_time(ticks, "tick_ts", cutoff).withColumn("tick_ts", F.col("tick_ts").cast("timestamp")).withWatermark("tick_ts", late)
     bars = tick_bars(rows, "code", F.window("tick_ts", "1 day"))
     high, low, open_, close = (F.col(c) for c in ("high", "low", "open", "close"))
     return bars.select(
@@ -87,7 +90,8 @@ def newest_version(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
 
 def dedupe_ticks(ticks: DataFrame, keys: list[str], ts: str, late: str = "2 days") -> DataFrame:
     """First arrival of every key; the state of a key is dropped once the watermark passes it."""
-    return ticks.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
+    stamped = ticks.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    return stamped.dropDuplicatesWithinWatermark(keys)
 
 
 def append_new_ticks(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
