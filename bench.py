@@ -11,7 +11,6 @@ import os
 import sys
 import time
 
-
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tapeline.catalog import queries  # noqa: E402

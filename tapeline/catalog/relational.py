@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeline.catalog.duck import ASOF, DAY
@@ -14,7 +14,10 @@ from tapeline.plans.daily import active_on, as_date, calendar
 from tapeline.sources import panels
 from tapeline.sources.files import table
 
-D = as_date(ASOF)
+
+
+def asof() -> Column:
+    return as_date(ASOF)
 
 
 def indexed(bars: DataFrame) -> DataFrame:
@@ -112,7 +115,7 @@ def recent_rows(spark: SparkSession, sf: str) -> DataFrame:
     def count(span: str, df: DataFrame) -> DataFrame:
         return df.groupBy("code").agg(F.count("*").alias("n")).select(F.lit(span).alias("span"), "code", "n")
 
-    return count("days", rows.since(bars, "load_date", D, days=168)).unionByName(count("months", rows.since(bars, "load_date", D, months=6)))
+    return count("days", rows.since(bars, "load_date", asof(), days=168)).unionByName(count("months", rows.since(bars, "load_date", asof(), months=6)))
 
 
 @query(
@@ -123,7 +126,7 @@ SELECT 'newest' AS which, code, load_date, close::DOUBLE AS close FROM b WHERE l
 UNION ALL SELECT 'previous', code, load_date, close::DOUBLE FROM b WHERE load_date = (SELECT max(load_date) FROM b WHERE load_date < (SELECT max(load_date) FROM b))""",
 )
 def newest_and_previous_day(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf).where(F.col("load_date") <= D).select("code", "load_date", "close")
+    bars = panels.quotes(spark, sf).where(F.col("load_date") <= asof()).select("code", "load_date", "close")
     newest = rows.at_latest(bars, "load_date").select(F.lit("newest").alias("which"), "*")
     return newest.unionByName(windows.second_latest(bars, "load_date").select(F.lit("previous").alias("which"), "*"))
 
@@ -211,9 +214,9 @@ WITH t AS ({_LIST.format(d=DAY)}), y AS ({_LIST.format(d=f"(SELECT max(load_date
 SELECT coalesce(t.code, y.code) AS code, t.total_ranking, y.total_ranking AS last_total_ranking FROM t FULL JOIN y ON t.code = y.code""",
 )
 def today_against_last_list(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf).where(F.col("load_date") <= D).select("code", "load_date", "market_cap")
+    bars = panels.quotes(spark, sf).where(F.col("load_date") <= asof()).select("code", "load_date", "market_cap")
     ranked = windows.rank_per_date(bars, "load_date", [F.desc("market_cap"), F.col("code")], "total_ranking")
-    today = ranked.where(F.col("load_date") == D)
+    today = ranked.where(F.col("load_date") == asof())
     return joins.compare_lists(today, windows.second_latest(ranked, "load_date"), "code", [], ["total_ranking"])
 
 
@@ -276,7 +279,7 @@ SELECT g.code, g.load_date, n.open::DOUBLE AS open, n.close::DOUBLE AS close, g.
 FROM g JOIN LATERAL (SELECT * FROM b WHERE b.code = g.code AND b.load_date >= g.load_date ORDER BY b.load_date LIMIT 1) n ON TRUE""",
 )
 def dense_filled_prices(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf).where(F.col("load_date") <= D).select("code", "load_date", "open", "close")
+    bars = panels.quotes(spark, sf).where(F.col("load_date") <= asof()).select("code", "load_date", "open", "close")
     grid = joins.densify(bars.select("code").distinct(), bars, "load_date")
     wide = grid.join(bars, ["code", "load_date"], "left").withColumn("is_own", F.col("close").isNotNull())
     return joins.fill_from_next(wide, "code", "load_date", ["open", "close"], F.col("close").isNotNull())
@@ -376,8 +379,8 @@ SELECT c.code, p.code IS NULL AS is_new FROM d_bars c LEFT JOIN (SELECT code FRO
 WHERE c.load_date = {DAY}""",
 )
 def new_since_previous_day(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf).where(F.col("load_date") <= D).select("code", "load_date")
-    return joins.flag_new(bars.where(F.col("load_date") == D), windows.second_latest(bars, "load_date"), "code").select("code", "is_new")
+    bars = panels.quotes(spark, sf).where(F.col("load_date") <= asof()).select("code", "load_date")
+    return joins.flag_new(bars.where(F.col("load_date") == asof()), windows.second_latest(bars, "load_date"), "code").select("code", "is_new")
 
 
 @query(
@@ -505,7 +508,7 @@ WITH s AS (SELECT category, b.load_date, sum(turnover) AS turnover, sum(volume):
 SELECT category, load_date, turnover::DOUBLE AS turnover, volume FROM s UNION ALL SELECT 'ALL', max(load_date), sum(turnover)::DOUBLE, sum(volume)::BIGINT FROM s""",
 )
 def category_rows_with_total(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf).where(F.col("load_date") == D)
+    bars = panels.quotes(spark, sf).where(F.col("load_date") == asof())
     sums = bars.join(panels.categories(bars), "code").groupBy("category", "load_date").agg(F.sum("turnover").alias("turnover"), F.sum("volume").alias("volume"))
     return aggregates.with_total(sums, "category", "ALL", ["turnover", "volume"], "load_date")
 
@@ -717,7 +720,7 @@ UNION ALL SELECT code, load_date, open::DOUBLE FROM d_bars WHERE load_date = {DA
 def overlay_of_provisional_day(spark: SparkSession, sf: str) -> DataFrame:
     bars = panels.quotes(spark, sf)
     history = bars.select("code", "load_date", "close")
-    return tables.overlay(history, bars.select("code", "load_date", F.col("open").alias("close")), "load_date", D)
+    return tables.overlay(history, bars.select("code", "load_date", F.col("open").alias("close")), "load_date", asof())
 
 
 @query("trading_calendar", "SELECT load_date, rnum, dayofweek(load_date) AS dow, row_number() OVER (ORDER BY load_date) AS date_index FROM d_idx")

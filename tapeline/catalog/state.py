@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeline.catalog.duck import ASOF, DAY
@@ -35,7 +35,11 @@ SETTINGS = Settings(
     direction_share=0.5,
     direction_flips=0,
 )
-D = as_date(ASOF)
+
+
+def asof() -> Column:
+    return as_date(ASOF)
+
 
 
 def run_for(spark: SparkSession, sf: str, with_text: bool = False) -> DailyRun:
@@ -327,12 +331,12 @@ fragment(
 
 @query("ema_current", "SELECT code, load_date, indicator, price::DOUBLE AS price, ema FROM v_ema")
 def ema_current(spark: SparkSession, sf: str) -> DataFrame:
-    return views.ema_current(daily.moving_averages(panels.quotes(spark, sf)).where(F.col("load_date") <= D))
+    return views.ema_current(daily.moving_averages(panels.quotes(spark, sf)).where(F.col("load_date") <= asof()))
 
 
 @query("sar_current", "SELECT code, load_date, ud_trend, n_sar::DOUBLE AS n_sar FROM v_sar")
 def sar_current(spark: SparkSession, sf: str) -> DataFrame:
-    return views.sar_current(parabolic_sar(panels.quotes(spark, sf)).where(F.col("load_date") <= D))
+    return views.sar_current(parabolic_sar(panels.quotes(spark, sf)).where(F.col("load_date") <= asof()))
 
 
 @query("volume_current", "SELECT * FROM v_vol")
@@ -349,7 +353,7 @@ _STATUS = "CASE WHEN close >= open AND open = low THEN 'Positive' WHEN close < o
     f"SELECT code, load_date, {_STATUS} AS status, CASE WHEN up <> pup THEN 'Reverse' ELSE 'Continuously' END AS trend FROM hh {_NEWEST}",
 )
 def candle_current(spark: SparkSession, sf: str) -> DataFrame:
-    return views.candle_current(smoothed_candles(panels.quotes(spark, sf).where(F.col("load_date") <= D)))
+    return views.candle_current(smoothed_candles(panels.quotes(spark, sf).where(F.col("load_date") <= asof())))
 
 
 fragment("u_idx", f"SELECT load_date, row_number() OVER (ORDER BY load_date DESC) AS rnum FROM (SELECT DISTINCT load_date FROM d_base {_UPTO})")

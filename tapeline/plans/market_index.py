@@ -80,7 +80,8 @@ def index_direction(components: DataFrame, cats: DataFrame, days: int = 40, labe
     )
     newest = rows.where(F.col("_n") == days).drop("_n")
     measures = [c for c in newest.columns if c not in ("category", "load_date")]
-    both = with_total(newest, "category", label, measures, "load_date")
+    # No total without a category.
+    both = with_total(newest, "category", label, measures, "load_date").where("load_date IS NOT NULL")
 
     def over(prefix: str, names: list[str]) -> list[Column]:
         return [dec(ratio(F.col(n), F.col(f"{prefix}_close_p")), 3, 12).alias(n) for n in names]
