@@ -10,7 +10,7 @@ from tapeline.catalog.duck import ASOF, DAY
 from tapeline.catalog.registry import query
 from tapeline.operators.folds import parabolic_sar, smoothed_candles
 from tapeline.plans import daily
-from tapeline.sources.panels import quotes
+from tapeline.sources.panels import quotes, quotes_table
 
 
 def _classes(pairs: tuple) -> str:
@@ -100,7 +100,7 @@ def sar(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT code, load_date, ud_trend2, n_sar2::DOUBLE AS n_sar2, ud_trend3, n_sar3::DOUBLE AS n_sar3 FROM d_sar23",
 )
 def sar_two(spark: SparkSession, sf: str) -> DataFrame:
-    bars = quotes(spark, sf)
+    bars = quotes_table(spark, sf)
     slow = parabolic_sar(bars, 0.02, 0.2, "2").select("code", "load_date", "ud_trend2", "n_sar2")
     fast = parabolic_sar(bars, 0.03, 0.3, "3").select("code", "load_date", "ud_trend3", "n_sar3")
     return slow.join(fast, ["code", "load_date"])
@@ -167,7 +167,7 @@ SELECT u.code, (SELECT max(load_date) FROM d_idx) AS load_date, CASE WHEN up > d
 FROM u JOIN n ON u.code = n.code JOIN d_idx i ON i.load_date = u.up""",
 )
 def ema_cross_period(spark: SparkSession, sf: str) -> DataFrame:
-    bars = quotes(spark, sf)
+    bars = quotes_table(spark, sf)
     return daily.ema_cross_period(daily.moving_averages(bars), daily.calendar(bars))
 
 
@@ -213,7 +213,7 @@ SELECT t.code, t.load_date, t.volume, avg_volume, std_volume, avg_volume + std_v
 
 @query("volume_bands", "SELECT * FROM d_vol")
 def volume_bands(spark: SparkSession, sf: str) -> DataFrame:
-    return daily.volume_bands(quotes(spark, sf), ASOF)
+    return daily.volume_bands(quotes_table(spark, sf), ASOF)
 
 
 @query(

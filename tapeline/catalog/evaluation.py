@@ -116,7 +116,7 @@ _CUR = "SELECT load_date, dow, rnum, analysis, weight, short_position, code, ope
 
 
 def _feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    totals = stage(panels.daily_totals(spark, sf))
+    totals = panels.totals_table(spark, sf)
     return (
         stage(loading.finance_update(panels.web_finance(totals))),
         stage(loading.consensus_update(panels.web_consensus(totals))),
@@ -212,7 +212,7 @@ _POINTS = {5: (400_000.0, 100_000.0), 10: (700_000.0, 200_000.0), 15: (1_000_000
     + " FROM (SELECT *, rank() OVER (PARTITION BY load_date ORDER BY forward_pe DESC) AS pe_rank FROM t_finance) f JOIN t_short s ON f.code = s.code AND f.load_date = s.load_date GROUP BY 1) ORDER BY load_date DESC LIMIT 1000",
 )
 def short_pressure(spark: SparkSession, sf: str) -> DataFrame:
-    totals = stage(panels.daily_totals(spark, sf))
+    totals = panels.totals_table(spark, sf)
     finance = loading.finance_update(panels.web_finance(totals))
     return evaluation.short_pressure(finance, loading.shorts_update(panels.web_short(totals)), _POINTS, newest=1000)
 

@@ -293,6 +293,10 @@ fragment(
 )
 
 
+def _rounded_means(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(F.col(c).cast("double"), 8).alias(c) if "_avg" in c else F.col(c) for c in df.columns])
+
+
 def _register(name: str, sql: str, make) -> None:
     @query(name, sql)
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -320,6 +324,20 @@ SELECT code, load_date, date_index, CASE WHEN x < 0 THEN 0 ELSE x END AS split_r
     SELECT *, market_day_high::DOUBLE AS a, market_day_low::DOUBLE AS b, market_price::DOUBLE AS p FROM w_tx))""",
     features.ask_bid,
 )
+fragment("g_chg", f"SELECT *, {rank('irv DESC')}::DECIMAL(18,6) AS irr FROM (SELECT code, load_date, date_index, {_PC} AS irv FROM w_tx)")
+
+
+def _frame(fn: str, c: str, n: int) -> str:
+    return f"{fn}({c}) OVER (PARTITION BY code ORDER BY date_index ROWS {n - 1} PRECEDING)::DOUBLE"
+
+
+_register(
+    "change_extremes",
+    "SELECT * FROM (SELECT code, load_date, date_index, "
+    + ", ".join(f"{_frame('max', c, n)} AS {c}_grt{n:02d}, {_frame('min', c, n)} AS {c}_lst{n:02d}, round({mean(c, n)}, 8) AS {c}_avg{n:02d}" for c in ("irv", "irr") for n in SPANS)
+    + " FROM g_chg) WHERE date_index > 20",
+    lambda tx: _rounded_means(features.change_extremes(tx)),
+)
 fragment(
     "f_rank",
     f"""

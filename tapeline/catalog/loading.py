@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeline.catalog.duck import ASOF
 from tapeline.catalog.registry import fragment, query
+from tapeline.operators import rows
 from tapeline.plans import loading
 from tapeline.plans.daily import as_date
 from tapeline.sources import panels
@@ -115,7 +116,7 @@ FROM (SELECT code, sys_load_time, nullif(open_price, '')::DECIMAL(12,3) AS open,
   FROM l_quote WHERE v % 9 <> 0)""".replace("* 0.001::DOUBLE", "/ 1000.0"),
 )
 def load_quotes(spark: SparkSession, sf: str) -> DataFrame:
-    totals = panels.daily_totals(spark, sf)
+    totals = panels.totals_table(spark, sf)
     return loading.quotes_update(panels.web_quote(totals), panels.web_quote_ticks(totals))
 
 
@@ -161,6 +162,20 @@ def load_analysis(spark: SparkSession, sf: str) -> DataFrame:
     return loading.analysis_update(panels.web_analysis(panels.daily_totals(spark, sf)))
 
 
+@query(
+    "landing_cleanup",
+    """
+SELECT code, sys_load_time, coalesce(nullif(open_price, ''), nullif(previous_close, ''))::DOUBLE AS first_price, nullif(high_price, '')::DOUBLE AS high_price, nullif(low_price, '')::DOUBLE AS low_price,
+  CASE WHEN length(volume) > 1 THEN volume END::BIGINT AS volume FROM l_quote""",
+)
+def landing_cleanup(spark: SparkSession, sf: str) -> DataFrame:
+    raw = panels.web_quote(panels.daily_totals(spark, sf))
+    paired = rows.coalesce_pair(raw, "first_price", "open_price", "previous_close", "decimal(12,3)")
+    clean = rows.drop_sentinels(rows.blank_to_null(paired, ["high_price", "low_price"]), ["volume"])
+    typed = rows.cast_text(clean, {"high_price": "decimal(12,3)", "low_price": "decimal(12,3)", "volume": "long"})
+    return typed.select("code", "sys_load_time", "first_price", "high_price", "low_price", "volume")
+
+
 @query("load_announcements", "SELECT * FROM t_anc")
 def load_announcements(spark: SparkSession, sf: str) -> DataFrame:
     return loading.announcements_update(panels.web_announcement(spark, sf))
@@ -219,10 +234,10 @@ SELECT DISTINCT 'Index ' || (v % 3) AS index_name, code || '.AX' AS ric, v::VARC
 def index_landing_load(spark: SparkSession, sf: str) -> DataFrame:
     from tapeline.operators.tables import absent_rows
 
-    landing = index_landing(panels.daily_totals(spark, sf))
+    landing = index_landing(panels.totals_table(spark, sf))
     control = landing.select("batch_id").distinct().withColumn("is_executed", F.substring("batch_id", 5, 2).cast("int") % 3 == 0)
-    rows = loading.index_rows(landing, control, _SDC, ["comments"])
-    return absent_rows(None, rows, ["index_name", "ric", "info_type", "record_date"])
+    pending = loading.index_rows(landing, control, _SDC, ["comments"])
+    return absent_rows(None, pending, ["index_name", "ric", "info_type", "record_date"])
 
 
 @query(
@@ -247,13 +262,13 @@ SELECT code, publish_title, d AS load_date FROM (
 )
 def first_titles(spark: SparkSession, sf: str) -> DataFrame:
     shifted = F.col("ts") - F.make_dt_interval((F.col("user_id") % 2).cast("int"))
-    rows = table(spark, sf, "events").select(
+    titles = table(spark, sf, "events").select(
         F.col("event_type").alias("code"),
         F.col("props").alias("publish_title"),
         F.unix_seconds(shifted.cast("timestamp")).cast("string").alias("publish_time"),
         F.col("ts").alias("sys_load_time"),
     )
-    return loading.first_titles(rows)
+    return loading.first_titles(titles)
 
 
 @query(
@@ -265,7 +280,7 @@ LEFT JOIN (SELECT p_brand AS code, l_shipdate::DATE AS load_date, round(avg(l_ta
   ON f.code = x.code AND f.load_date = x.load_date WHERE f.load_date <= DATE '{ASOF}'""",
 )
 def build_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    totals = panels.daily_totals(spark, sf)
+    totals = panels.totals_table(spark, sf)
     part = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("code"))
     taxed = table(spark, sf, "lineitem").where("l_tax > 0.04").join(part, F.col("l_partkey") == F.col("p_partkey"))
     sentiment = loading.sentiment_agg(taxed.select("code", F.col("l_shipdate").cast("date").alias("load_date"), F.col("l_tax").alias("sentiment")))
@@ -283,7 +298,7 @@ SELECT code, load_date, close::DOUBLE AS close, short_position, weight FROM old
 UNION SELECT code, load_date, close::DOUBLE, short_position, weight FROM old WHERE load_date >= DATE '1998-01-01'""",
 )
 def merge_history(spark: SparkSession, sf: str) -> DataFrame:
-    totals = panels.daily_totals(spark, sf)
+    totals = panels.totals_table(spark, sf)
     finance = loading.finance_update(panels.web_finance(totals)).select("code", "load_date", "close")
     short = loading.shorts_update(panels.web_short(totals)).select("code", "load_date", "short_position")
     consensus = loading.consensus_update(panels.web_consensus(totals)).select("code", "load_date", "weight")
@@ -300,7 +315,7 @@ SELECT e.code || '.AX' AS code, e.load_date AS record_date, (coalesce(ho, h) * 0
 FROM e JOIN (SELECT load_date, row_number() OVER (ORDER BY load_date) AS date_index FROM (SELECT DISTINCT load_date FROM e)) i ON e.load_date = i.load_date""",
 )
 def general_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    totals = panels.daily_totals(spark, sf)
+    totals = panels.totals_table(spark, sf)
     text = {c: F.col(c).cast("string") for c in ("open", "high", "low", "close")}
     hist = panels.quotes_of(totals).where("volume % 4 <> 0").select(
         "code",
@@ -330,7 +345,7 @@ q AS (SELECT count(*) AS n FROM l_quote WHERE sys_load_time::DATE = (SELECT d FR
 SELECT 'dQuote' AS job_name, (SELECT n FROM q) AS records, TIMESTAMP '2001-06-29 18:00:00' AS started UNION ALL SELECT 'dStatement', (SELECT n FROM f), TIMESTAMP '2001-06-29 19:00:00' UNION ALL SELECT 'dIdle', 0, TIMESTAMP '2001-06-29 20:00:00'""",
 )
 def etl_log(spark: SparkSession, sf: str) -> DataFrame:
-    totals = panels.daily_totals(spark, sf)
+    totals = panels.totals_table(spark, sf)
     quote, finance = panels.web_quote(totals), panels.web_finance(totals)
     day = as_date(ASOF)
     jobs = F.array(*[F.struct(F.lit(j).alias("job_name"), F.lit(h).alias("hour")) for j, h in (("dQuote", 18), ("dStatement", 19), ("dIdle", 20))])

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tapeline.catalog.duck import ASOF, DAY
 from tapeline.catalog.registry import fragment, query
-from tapeline.functions.numeric import dec, flag, ratio
+from tapeline.functions.numeric import dec, flag, ratio, squash
 from tapeline.functions.series import EMA15, by
+from tapeline.functions.text import joined
 from tapeline.operators import aggregates, joins, rows, tables, windows
 from tapeline.plans.daily import active_on, as_date, calendar
 from tapeline.sources import panels
@@ -110,7 +111,7 @@ SELECT 'days' AS span, code, count(*) AS n FROM d_bars WHERE load_date > {DAY} -
 UNION ALL SELECT 'months', code, count(*) FROM d_bars WHERE load_date > {DAY} - INTERVAL 6 MONTH AND load_date <= {DAY} GROUP BY 2""",
 )
 def recent_rows(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf).select("code", "load_date")
+    bars = panels.quotes_table(spark, sf).select("code", "load_date")
 
     def count(span: str, df: DataFrame) -> DataFrame:
         return df.groupBy("code").agg(F.count("*").alias("n")).select(F.lit(span).alias("span"), "code", "n")
@@ -126,7 +127,7 @@ SELECT 'newest' AS which, code, load_date, close::DOUBLE AS close FROM b WHERE l
 UNION ALL SELECT 'previous', code, load_date, close::DOUBLE FROM b WHERE load_date = (SELECT max(load_date) FROM b WHERE load_date < (SELECT max(load_date) FROM b))""",
 )
 def newest_and_previous_day(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf).where(F.col("load_date") <= asof()).select("code", "load_date", "close")
+    bars = panels.quotes_table(spark, sf).where(F.col("load_date") <= asof()).select("code", "load_date", "close")
     newest = rows.at_latest(bars, "load_date").select(F.lit("newest").alias("which"), "*")
     return newest.unionByName(windows.second_latest(bars, "load_date").select(F.lit("previous").alias("which"), "*"))
 
@@ -214,7 +215,7 @@ WITH t AS ({_LIST.format(d=DAY)}), y AS ({_LIST.format(d=f"(SELECT max(load_date
 SELECT coalesce(t.code, y.code) AS code, t.total_ranking, y.total_ranking AS last_total_ranking FROM t FULL JOIN y ON t.code = y.code""",
 )
 def today_against_last_list(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf).where(F.col("load_date") <= asof()).select("code", "load_date", "market_cap")
+    bars = panels.quotes_table(spark, sf).where(F.col("load_date") <= asof()).select("code", "load_date", "market_cap")
     ranked = windows.rank_per_date(bars, "load_date", [F.desc("market_cap"), F.col("code")], "total_ranking")
     today = ranked.where(F.col("load_date") == asof())
     return joins.compare_lists(today, windows.second_latest(ranked, "load_date"), "code", [], ["total_ranking"])
@@ -227,7 +228,7 @@ WITH p AS (SELECT min(volume) AS lo, avg(volume) AS mean FROM d_bars)
 SELECT code, load_date, round((volume - p.lo) / (p.mean - p.lo), 6) AS scaled FROM d_bars, p""",
 )
 def scaled_volume(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf).select("code", "load_date", "volume")
+    bars = panels.quotes_table(spark, sf).select("code", "load_date", "volume")
     out = joins.attach_scalar(bars, aggregates.scale_params(bars, ["volume"]))
     scaled = ratio(F.col("volume") - F.col("p.min_volume"), F.col("p.avg_volume") - F.col("p.min_volume"))
     return out.select("code", "load_date", F.round(scaled, 6).alias("scaled"))
@@ -240,7 +241,7 @@ SELECT s.code, s.date_index, round((e.close::DOUBLE - s.open::DOUBLE) / s.open::
 FROM d_ib s JOIN d_ib e ON s.code = e.code AND s.date_index = e.date_index - 14""",
 )
 def forward_returns(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = joins.forward_return(indexed(panels.quotes(spark, sf)), "code", "date_index", 14, "open", "close")
+    pairs = joins.forward_return(indexed(panels.quotes_table(spark, sf)), "code", "date_index", 14, "open", "close")
     growth = ratio(F.col("end_price").cast("double") - F.col("start_price").cast("double"), F.col("start_price"))
     return pairs.select("code", "date_index", F.round(growth, 6).alias("performance"))
 
@@ -252,7 +253,7 @@ SELECT a.code, a.date_index, a.close::DOUBLE AS close, b.close::DOUBLE AS close_
 FROM d_ib a JOIN d_ib b ON a.code = b.code AND b.date_index = a.date_index - 1 JOIN d_ib c ON a.code = c.code AND c.date_index = a.date_index - 2""",
 )
 def gapless_last_three(spark: SparkSession, sf: str) -> DataFrame:
-    return joins.with_last_n(indexed(panels.quotes(spark, sf)).select("code", "date_index", "close"), "code", "date_index", ["close"], 3)
+    return joins.with_last_n(indexed(panels.quotes_table(spark, sf)).select("code", "date_index", "close"), "code", "date_index", ["close"], 3)
 
 
 @query(
@@ -262,7 +263,7 @@ SELECT t.code, t.load_date, count(*) AS n, round(avg(CASE WHEN e.close > e.open
 FROM (SELECT * FROM d_bars WHERE close > pclose * 3) t JOIN d_bars e ON t.code = e.code AND e.load_date BETWEEN t.load_date - 84 AND t.load_date GROUP BY 1, 2""",
 )
 def price_lookback(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf)
+    bars = panels.quotes_table(spark, sf)
     jumps = bars.where(F.col("close") > F.col("pclose") * 3).select("code", "load_date", F.date_sub("load_date", 84).alias("lo"))
     points = bars.select("code", F.col("load_date").alias("day"), "open", "close")
     pairs = joins.range_join(jumps, points, "code", "day", "lo", "load_date", 91)
@@ -279,7 +280,7 @@ SELECT g.code, g.load_date, n.open::DOUBLE AS open, n.close::DOUBLE AS close, g.
 FROM g JOIN LATERAL (SELECT * FROM b WHERE b.code = g.code AND b.load_date >= g.load_date ORDER BY b.load_date LIMIT 1) n ON TRUE""",
 )
 def dense_filled_prices(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf).where(F.col("load_date") <= asof()).select("code", "load_date", "open", "close")
+    bars = panels.quotes_table(spark, sf).where(F.col("load_date") <= asof()).select("code", "load_date", "open", "close")
     grid = joins.densify(bars.select("code").distinct(), bars, "load_date")
     wide = grid.join(bars, ["code", "load_date"], "left").withColumn("is_own", F.col("close").isNotNull())
     return joins.fill_from_next(wide, "code", "load_date", ["open", "close"], F.col("close").isNotNull())
@@ -306,7 +307,7 @@ SELECT 'kept' AS side, code, count(*) AS n FROM d_bars WHERE code IN (SELECT cod
 UNION ALL SELECT 'deleted', code, count(*) FROM d_bars WHERE code NOT IN (SELECT code FROM k) GROUP BY 2""",
 )
 def restricted_and_deleted(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf).select("code", "load_date")
+    bars = panels.quotes_table(spark, sf).select("code", "load_date")
     keys = active_on(bars, ASOF)
     kept = joins.restrict_to(bars, keys, ["code"]).groupBy("code").agg(F.count("*").alias("n"))
     gone = joins.delete_matching(bars, keys, ["code"]).groupBy("code").agg(F.count("*").alias("n"))
@@ -379,7 +380,7 @@ SELECT c.code, p.code IS NULL AS is_new FROM d_bars c LEFT JOIN (SELECT code FRO
 WHERE c.load_date = {DAY}""",
 )
 def new_since_previous_day(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf).where(F.col("load_date") <= asof()).select("code", "load_date")
+    bars = panels.quotes_table(spark, sf).where(F.col("load_date") <= asof()).select("code", "load_date")
     return joins.flag_new(bars.where(F.col("load_date") == asof()), windows.second_latest(bars, "load_date"), "code").select("code", "is_new")
 
 
@@ -508,7 +509,7 @@ WITH s AS (SELECT category, b.load_date, sum(turnover) AS turnover, sum(volume):
 SELECT category, load_date, turnover::DOUBLE AS turnover, volume FROM s UNION ALL SELECT 'ALL', max(load_date), sum(turnover)::DOUBLE, sum(volume)::BIGINT FROM s""",
 )
 def category_rows_with_total(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf).where(F.col("load_date") == asof())
+    bars = panels.quotes_table(spark, sf).where(F.col("load_date") == asof())
     sums = bars.join(panels.categories(bars), "code").groupBy("category", "load_date").agg(F.sum("turnover").alias("turnover"), F.sum("volume").alias("volume"))
     return aggregates.with_total(sums, "category", "ALL", ["turnover", "volume"], "load_date")
 
@@ -646,7 +647,7 @@ SELECT a.code, a.date_index, round((a.volume * 3 + b.volume * 2 + c.volume) / 6.
 FROM d_ib a JOIN d_ib b ON a.code = b.code AND b.date_index = a.date_index - 1 JOIN d_ib c ON a.code = c.code AND c.date_index = a.date_index - 2""",
 )
 def triangular_means(spark: SparkSession, sf: str) -> DataFrame:
-    bars = indexed(panels.quotes(spark, sf).select("code", "load_date", "volume"))
+    bars = indexed(panels.quotes_table(spark, sf).select("code", "load_date", "volume"))
     out = windows.triangular_mean(bars, "code", "date_index", "volume", 3, "newest")
     out = windows.triangular_mean(out, "code", "date_index", "volume", 3, "oldest", newest_heaviest=False)
     return out.where("newest IS NOT NULL").select("code", "date_index", F.round("newest", 6).alias("newest"), F.round("oldest", 6).alias("oldest"))
@@ -686,7 +687,7 @@ def top_four_per_day(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("newest_twenty_days", "SELECT code, load_date, volume FROM d_bars WHERE load_date IN (SELECT load_date FROM d_idx WHERE rnum <= 20)")
 def newest_twenty_days(spark: SparkSession, sf: str) -> DataFrame:
-    return windows.newest_dates(panels.quotes(spark, sf).select("code", "load_date", "volume"), "load_date", 20)
+    return windows.newest_dates(panels.quotes_table(spark, sf).select("code", "load_date", "volume"), "load_date", 20)
 
 
 @query(
@@ -718,7 +719,7 @@ SELECT code, load_date, close::DOUBLE AS close FROM d_bars WHERE load_date < {DA
 UNION ALL SELECT code, load_date, open::DOUBLE FROM d_bars WHERE load_date = {DAY}""",
 )
 def overlay_of_provisional_day(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes(spark, sf)
+    bars = panels.quotes_table(spark, sf)
     history = bars.select("code", "load_date", "close")
     return tables.overlay(history, bars.select("code", "load_date", F.col("open").alias("close")), "load_date", asof())
 
@@ -774,3 +775,74 @@ def filled_rows_per_day(spark: SparkSession, sf: str) -> DataFrame:
 )
 def flag_counts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").groupBy(F.col("l_shipdate").cast("date").alias("day")).agg(F.sum(flag(F.col("l_discount") > 0.05)).alias("n"))
+
+
+# --- scalar functions -------------------------------------------------------------------
+
+
+@query(
+    "text_functions",
+    """
+SELECT p_partkey, concat(p_brand, NULL, '/', p_type) AS joined, substring(p_name, 2, 3) AS part, strpos(p_name, 'r') AS at, length(p_name) AS n, trim('  ' || p_type || ' ') AS trimmed, replace(p_name, 'g', 'G') AS replaced, chr(65 + p_size % 26) AS letter FROM part""",
+)
+def text_functions(spark: SparkSession, sf: str) -> DataFrame:
+    name = F.col("p_name")
+    return table(spark, sf, "part").select(
+        "p_partkey",
+        joined(F.col("p_brand"), F.lit(None), "/", F.col("p_type")).alias("joined"),
+        F.substring(name, 2, 3).alias("part"),
+        F.locate("r", name).alias("at"),
+        F.length(name).alias("n"),
+        F.trim(F.concat(F.lit("  "), F.col("p_type"), F.lit(" "))).alias("trimmed"),
+        F.replace(name, F.lit("g"), F.lit("G")).alias("replaced"),
+        F.char(F.lit(65) + F.col("p_size") % 26).alias("letter"),
+    )
+
+
+@query(
+    "date_functions",
+    """
+SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS m, dayofweek(o_orderdate) AS dow, isodow(o_orderdate) AS isodow, date_trunc('month', o_orderdate)::DATE AS month_start, o_orderdate::DATE - 28 AS earlier,
+  (o_orderdate - INTERVAL 6 MONTH)::DATE AS half_year, o_orderdate + INTERVAL 11 HOUR AS market_time, strftime(o_orderdate, '%d/%m/%Y') AS day_text FROM orders""",
+)
+def date_functions(spark: SparkSession, sf: str) -> DataFrame:
+    t = F.col("o_orderdate")
+    day = t.cast("date")
+    return table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.year(t).alias("y"),
+        F.month(t).alias("m"),
+        (F.dayofweek(t) - 1).alias("dow"),
+        (F.weekday(t) + 1).alias("isodow"),
+        F.trunc(day, "month").alias("month_start"),
+        F.date_sub(day, 28).alias("earlier"),
+        F.add_months(day, -6).alias("half_year"),
+        (t + F.expr("INTERVAL '11' HOUR")).alias("market_time"),
+        F.date_format(t, "dd/MM/yyyy").alias("day_text"),
+    )
+
+
+@query(
+    "math_functions",
+    """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, greatest(l_discount, NULL, l_tax) AS hi, least(l_discount, NULL, l_tax) AS lo, round(log10(l_extendedprice), 6) AS lg, round(pow(1 + l_tax, 5), 6) AS grown,
+  trunc(l_extendedprice) AS whole, ceil(l_extendedprice / 1000) AS thousands, l_quantity::BIGINT % 7 AS rest, l_quantity::BIGINT // 7 AS sevens, abs(l_discount - l_tax) AS gap, round(1 / (1 + exp(-l_discount)), 6) AS squashed FROM lineitem""",
+)
+def math_functions(spark: SparkSession, sf: str) -> DataFrame:
+    price, qty = F.col("l_extendedprice"), F.col("l_quantity").cast("long")
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        F.greatest(F.col("l_discount"), F.lit(None), F.col("l_tax")).alias("hi"),
+        F.least(F.col("l_discount"), F.lit(None), F.col("l_tax")).alias("lo"),
+        F.round(F.log10(price), 6).alias("lg"),
+        F.round(F.pow(F.lit(1) + F.col("l_tax"), F.lit(5)), 6).alias("grown"),
+        F.floor(price).cast("double").alias("whole"),
+        F.ceil(price / 1000).cast("double").alias("thousands"),
+        (qty % 7).alias("rest"),
+        F.expr("CAST(l_quantity AS BIGINT) div 7").alias("sevens"),
+        F.abs(F.col("l_discount") - F.col("l_tax")).alias("gap"),
+        F.round(squash(F.col("l_discount")), 6).alias("squashed"),
+    )

@@ -341,7 +341,7 @@ def sar_current(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("volume_current", "SELECT * FROM v_vol")
 def volume_current(spark: SparkSession, sf: str) -> DataFrame:
-    return views.volume_current(daily.volume_bands(panels.quotes(spark, sf), ASOF))
+    return views.volume_current(daily.volume_bands(panels.quotes_table(spark, sf), ASOF))
 
 
 fragment("hh", f"SELECT *, close >= open AS up, lag(close >= open) OVER (PARTITION BY code ORDER BY load_date) AS pup FROM d_ha {_UPTO}")
@@ -376,6 +376,27 @@ def current_actionable(spark: SparkSession, sf: str) -> DataFrame:
     return views.current_actionable(run_for(spark, sf).actionable)
 
 
+fragment(
+    "rr_0",
+    f"""
+SELECT code, load_date, greatest(abs(1 - high::DOUBLE / pclose::DOUBLE), abs(1 - low::DOUBLE / pclose::DOUBLE), abs(1 - high::DOUBLE / close::DOUBLE), abs(1 - low::DOUBLE / close::DOUBLE)) * 100 AS rng,
+  abs(1 - close::DOUBLE / pclose::DOUBLE) * 100 AS diff FROM d_bars {_UPTO} QUALIFY row_number() OVER (PARTITION BY code ORDER BY load_date DESC) < 40""",
+)
+
+
+@query(
+    "recent_range",
+    """
+SELECT r.code, x.latest_date, round(r.a, 3) AS avg_range, round(r.s, 3) AS std_range, round(f.a, 3) AS avg_diff, round(f.s, 3) AS std_diff FROM (SELECT code, max(load_date) AS latest_date FROM rr_0 GROUP BY 1) x
+JOIN s_act l ON x.code = l.code AND x.latest_date = l.load_date AND (l.turnover <> 4 OR l.popularity <> 4)
+JOIN (SELECT code, avg(rng) AS a, stddev_samp(rng) AS s FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY rng NULLS LAST, load_date) AS k FROM rr_0) WHERE k > 5 AND k < 36 GROUP BY 1) r ON x.code = r.code
+JOIN (SELECT code, avg(diff) AS a, stddev_samp(diff) AS s FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY diff NULLS LAST, load_date) AS k FROM rr_0) WHERE k > 5 AND k < 36 GROUP BY 1) f ON x.code = f.code""",
+)
+def recent_range(spark: SparkSession, sf: str) -> DataFrame:
+    r = run_for(spark, sf)
+    return daily.recent_range(r.bars, r.actionable)
+
+
 fragment(
     "v_brk",
     f"""

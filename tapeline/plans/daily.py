@@ -195,6 +195,26 @@ def moving_range(bars: DataFrame, d: DateLike, n: int = 60, cut: int = 6) -> Dat
     )
 
 
+def recent_range(bars: DataFrame, actionable: DataFrame, n: int = 39, low: int = 5, high: int = 36) -> DataFrame:
+    """The shorter variant: newest n rows of every code, ranks between low and high, liquid codes only."""
+    newest = W.partitionBy("code").orderBy(F.desc("load_date"))
+    before = F.lag("close").over(by())
+    rows = bars.select(
+        "code", "load_date", "high", "low", "close", "pclose", before.alias("_before"), F.row_number().over(newest).alias("_n")
+    ).where(F.col("_n") <= n)
+
+    def gap(a: str, b: str) -> Column:
+        return F.abs(F.lit(1.0) - ratio(F.col(a), F.col(b))) * 100
+
+    widest = F.greatest(gap("high", "pclose"), gap("low", "pclose"), gap("high", "close"), gap("low", "close"))
+    shaped = rows.select("code", "load_date", widest.alias("range"), F.coalesce(gap("close", "pclose"), gap("close", "_before")).alias("diff"))
+    stats = trimmed_stats(shaped, "code", ["range", "diff"], low, high)
+    liquid = actionable.where("turnover <> 4 OR popularity <> 4").select("code", "load_date")
+    return stats.join(liquid, ["code", "load_date"], "left_semi").select(
+        "code", F.col("load_date").alias("latest_date"), *[dec(F.col(c), 3, 9).alias(c) for c in ("avg_range", "std_range", "avg_diff", "std_diff")]
+    )
+
+
 def trimmed_stats(df: DataFrame, key: str, cols: list[str], low: int, high: int, date: str = "load_date") -> DataFrame:
     """Mean, deviation and count per key over the rows ranked strictly between low and high, per column.
 

@@ -254,6 +254,15 @@ def feature_strength(tx: DataFrame) -> DataFrame:
     return tx.select(*KEYS).join(ranked, ["code", "date_index"], "left").select(*KEYS, *ranked.columns[2:])
 
 
+def change_extremes(tx: DataFrame) -> DataFrame:
+    """Largest and smallest change and rank of the last 3, 5, 10 and 20 rows, and their means."""
+    w = order()
+    rows = increase_ratio(tx, "market_previous_close")
+    cols = [f(c).over(last_rows(w, n)).alias(f"{c}_{word}{n:02d}") for c in ("irv", "irr") for n in SPANS for f, word in ((F.max, "grt"), (F.min, "lst"))]
+    means = [mean_strict(F.col(c), w, n).alias(f"{c}_avg{n:02d}") for c in ("irv", "irr") for n in SPANS]
+    return rows.select(*KEYS, *cols, *means).where("date_index > 20")
+
+
 def _spans(stem: str, spans: tuple[int, ...]) -> list[str]:
     return [f"{stem}_{n:02d}" for n in spans]
 

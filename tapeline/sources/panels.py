@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tapeline.functions.numeric import dec, first_by, hundredths, last_by, ratio
 from tapeline.functions.series import by
 from tapeline.sources.files import table
+from tapeline.staging import stage
 
 # Ticks are moved back so that the newest one falls on 2001-07-02, and their
 # text is UTC while the market clock is UTC+11.
@@ -61,6 +62,16 @@ def quotes(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
     return quotes_of(daily_totals(spark, sf_dir, grain))
 
 
+def totals_table(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
+    """`daily_totals` written once. For plans that read it more than once: the large scan runs one time."""
+    return stage(daily_totals(spark, sf_dir, grain))
+
+
+def quotes_table(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
+    """`quotes` written once, for plans with several branches."""
+    return stage(quotes(spark, sf_dir, grain))
+
+
 def quotes_of(totals: DataFrame) -> DataFrame:
     w = by()
     bars = totals.select(
