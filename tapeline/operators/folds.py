@@ -140,16 +140,17 @@ def streaks(df: DataFrame, key: str, order: str, direction: str, out: str) -> Da
     """Length of the current run of `direction` (1, -1 or NULL), as gaps and islands.
 
     A run counts 1, 2, ...; a run that follows nothing (first row, or after a NULL) and points
-    down starts at -1 and goes on 0, 1, ....
+    down starts at -1 and goes on 0, 1, .... Every window has the same order, so one sort
+    serves any number of streaks.
     """
     w = W.partitionBy(key).orderBy(order)
+    so_far = w.rowsBetween(W.unboundedPreceding, 0)
     d = F.col(direction)
     before = F.lag(d).over(w)
-    runs = df.withColumns({"_new": F.when(d.eqNullSafe(before), 0).otherwise(1), "_fresh": before.isNull()})
-    runs = runs.withColumn("_run", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    inside = W.partitionBy(key, "_run").orderBy(order)
-    place = F.row_number().over(inside)
-    # The first row of a run knows what stood before the run.
-    fresh = F.first("_fresh").over(inside)
-    value = F.when(d.isNotNull(), F.when(fresh & (d == -1), place - 2).otherwise(place))
-    return runs.withColumn(out, value).drop("_new", "_fresh", "_run")
+    rows = df.withColumns({"_n": F.row_number().over(w), "_starts": ~d.eqNullSafe(before) | (F.row_number().over(w) == 1), "_fresh": before.isNull()})
+    start = F.max(F.when(F.col("_starts"), F.col("_n"))).over(so_far)
+    # What stood before the run is known on its first row.
+    fresh = F.last(F.when(F.col("_starts"), F.col("_fresh")), ignorenulls=True).over(so_far)
+    runs = rows.withColumns({"_place": F.col("_n") - start + 1, "_after_nothing": fresh})
+    value = F.when(d.isNotNull(), F.when(F.col("_after_nothing") & (d == -1), F.col("_place") - 2).otherwise(F.col("_place")))
+    return runs.withColumn(out, value).drop("_n", "_starts", "_fresh", "_place", "_after_nothing")

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tapeline.functions import series
 from tapeline.functions.series import by, last_rows
+from tapeline.staging import stage
 
-BUCKETS = 1024
+BUCKETS = 200
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -43,22 +44,25 @@ def rank_ties(df: DataFrame, part: str | None, order: Column, out: str) -> DataF
 def rank_all(df: DataFrame, value: str, out: str = "rank", descending: bool = True, buckets: int = BUCKETS) -> DataFrame:
     """rank() of every row over the whole frame without sorting it in one task.
 
-    Rows collapse to (value, count) first, so ties cost nothing. The distinct values are cut
-    into equal-width buckets between the smallest and largest value; a running count over the
-    buckets (at most `buckets` rows) gives each bucket its offset, and values are ranked inside
-    their bucket in parallel. Exact for any distribution.
+    Rows collapse to (value, count) first, so ties cost nothing, however many rows share a
+    value. The distinct values are cut at approximate quantiles into buckets of similar size;
+    a running count over the buckets (at most `buckets` rows) gives each bucket its offset,
+    and values are ranked inside their bucket in parallel. The cuts only balance the work:
+    the ranks are exact wherever they fall. Both steps are written once, so every branch sees
+    the same buckets.
     """
     direction = -1 if descending else 1
-    counts = df.groupBy(value).agg(F.count("*").alias("_n")).where(F.col(value).isNotNull())
-    keyed = counts.withColumn("_v", F.col(value).cast("double") * direction)
-    span = keyed.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi")).alias("s")).scalar()
-    width = F.nullif(F.col("_s.hi") - F.col("_s.lo"), F.lit(0.0))
-    place = F.least(F.floor((F.col("_v") - F.col("_s.lo")) / width * buckets), F.lit(buckets - 1))
-    keyed = keyed.withColumn("_s", span).withColumn("_b", F.coalesce(place, F.lit(0)).cast("int")).drop("_s")
-    sizes = keyed.groupBy("_b").agg(F.sum("_n").alias("_size"))
+    counts = stage(df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n")))
+    signed = F.col(value).cast("double") * direction
+    cuts = counts.agg(F.percentile_approx(signed, [i / buckets for i in range(1, buckets)])).scalar()
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    keyed = stage(counts.withColumns({"_v": signed, "_cuts": cuts}).withColumn("_b", below).drop("_cuts"))
     ahead = W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    sizes = keyed.groupBy("_b").agg(F.sum("_n").alias("_size"))
     offsets = sizes.select("_b", F.coalesce(F.sum("_size").over(ahead), F.lit(0)).alias("_offset"))
-    before = W.partitionBy("_b").orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
+    # Order by the value itself: two large whole numbers may share a double.
+    inside = W.partitionBy("_b").orderBy(F.desc(value) if descending else F.asc(value))
+    before = inside.rowsBetween(W.unboundedPreceding, -1)
     ranks = keyed.withColumn("_in", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(offsets, "_b")
     return df.join(ranks.select(value, (F.col("_offset") + F.col("_in") + 1).alias(out)), value)
 

@@ -110,7 +110,8 @@ def decay_votes(listed: DataFrame, places: int = 5, days: int = 5, newest: int |
     """Votes 1.0, 0.9, ... for the holders of places 1..5 on each day and the four days before.
 
     The five places of a day and the lead over earlier days form one array of (code, weight)
-    pairs per day, exploded in lock-step. Only days with a holder of every place count.
+    pairs per day, exploded in lock-step. Only days with a holder of every place count; of
+    several codes that tie for a place the first one holds it.
     """
     best = listed.where(F.col("total_rank") <= places)
     single = best.groupBy("load_date", "rnum", "total_rank").agg(F.min("code").alias("code"))

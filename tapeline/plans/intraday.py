@@ -5,6 +5,8 @@ The cut-offs 12:30, 13:45 and 15:00 differ in nothing but the time.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from tapeline.operators.windows import latest_per_key
 from tapeline.plans import daily, market_index, views
 from tapeline.plans.daily import DateLike, as_date
 from tapeline.plans.reports import DailyRun, short_text
+from tapeline.staging import stage
 
 # The three cut-offs of a day.
 CUTOFFS = ("12:30:00", "13:45:00", "15:00:00")
@@ -166,18 +169,24 @@ class IntradayRun:
     """Provisional tables of one cut-off over the end-of-day history."""
 
     def __init__(self, run: DailyRun, ticks: DataFrame, d: DateLike, cutoff: str):
-        from tapeline.staging import stage
-
         self.run, self.d, self.day = run, d, as_date(d)
         self.bars = stage(intraday_bars(ticks, cutoff))
 
+    @cached_property
+    def _candles(self) -> DataFrame:
+        return stage(provisional_candles(self.bars, self.run.candles, self.d))
+
+    @cached_property
+    def _index(self) -> DataFrame:
+        s = self.run.settings
+        comp = stage(market_index.provisional_components(self.run.components, self.bars, self.d))
+        return stage(market_index.index_direction(comp, self.run.cats, s.index_days, s.index_label))
+
     def candles(self) -> DataFrame:
-        return provisional_candles(self.bars, self.run.candles, self.d)
+        return self._candles
 
     def index(self) -> DataFrame:
-        s = self.run.settings
-        comp = market_index.provisional_components(self.run.components, self.bars, self.d)
-        return market_index.index_direction(comp, self.run.cats, s.index_days, s.index_label)
+        return self._index
 
     def index_report(self) -> DataFrame:
         return market_index.index_flags(self.index(), self.run.index)

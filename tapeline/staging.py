@@ -29,8 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below `shared_dir`."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below `shared_dir`, in this application's own folder."""
+    return f"{shared_dir(spark)}/tapeline/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, *partition_by: str) -> DataFrame:
