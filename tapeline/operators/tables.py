@@ -39,9 +39,22 @@ def absent_rows(target: DataFrame | None, new: DataFrame, keys: list[str], order
     return unique.unionByName(new.where(~complete))
 
 
-def insert_ignore(spark: SparkSession, path: str, new: DataFrame, keys: list[str], order: list[Column] | None = None) -> None:
-    """Append the rows whose key is not stored yet. Running it twice changes nothing."""
-    absent_rows(read_table(spark, path), new, keys, order).write.mode("append").parquet(path)
+def insert_ignore(
+    spark: SparkSession, path: str, new: DataFrame, keys: list[str], order: list[Column] | None = None, by: str | None = None
+) -> None:
+    """Append the rows whose key is not stored yet. Running it twice changes nothing.
+
+    `by` names a key column (a date) the table is partitioned by: then only the partitions
+    between the smallest and largest new value are read to look for conflicts.
+    """
+    target = read_table(spark, path)
+    if by:
+        new = stage(new)
+        if target is not None:
+            lo, hi = (new.agg(f(by)).scalar() for f in (F.min, F.max))
+            target = target.where(F.col(by).between(lo, hi))
+    writer = absent_rows(target, new, keys, order).write.mode("append")
+    (writer.partitionBy(by) if by else writer).parquet(path)
 
 
 def overwrite_snapshot(df: DataFrame, path: str) -> None:

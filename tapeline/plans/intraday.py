@@ -28,9 +28,15 @@ CUTOFFS = ("12:30:00", "13:45:00", "15:00:00")
 PRICE4 = "decimal(14,4)"
 
 
+def wall_seconds(ts: str) -> Column:
+    """Whole seconds on the market clock, for ordering; the session time zone plays no part."""
+    clock = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.unix_date(F.col(ts).cast("date")).cast("long") * 86400 + clock
+
+
 def tick_bars(ticks: DataFrame, *keys: Column | str) -> DataFrame:
     """open, high, low, close of typed ticks per group; partial sums run before the shuffle."""
-    seconds = F.unix_seconds(F.col("tick_ts").cast("timestamp"))
+    seconds = wall_seconds("tick_ts")
     whole = (F.col("tick_price") * 10000).cast("long")
 
     def price(c: Column) -> Column:

@@ -23,7 +23,7 @@ PRICE = "decimal(12,3)"
 
 def market_time(utc_text: Column, hours: int = MARKET_UTC_HOURS) -> Column:
     """UTC text `yyyy-MM-ddTHH:mm:ssZ` on the market clock (a fixed offset, no daylight saving)."""
-    ts = F.try_to_timestamp(utc_text, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")).cast("timestamp_ntz")
+    ts = F.regexp_replace(utc_text, "Z$", "").try_cast("timestamp_ntz")
     return ts + F.expr(f"INTERVAL '{hours}' HOUR")
 
 

@@ -206,7 +206,7 @@ class DailyRun:
             keys = ["load_date"] if name == "trading_days" else ["code", "load_date"]
             if name.endswith("_ranking"):
                 keys.append("usage_direction")
-            insert_ignore(spark, f"{root}/{name}", make(), keys)
+            insert_ignore(spark, f"{root}/{name}", make(), keys, by="load_date")
         overwrite_snapshot(self.components, f"{root}/index_component_snapshot")
         self.components.write.mode("append").parquet(f"{root}/index_component_history")
         insert_ignore(

@@ -20,6 +20,16 @@ def test_insert_ignore_is_idempotent(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == [("a", 1, "x"), ("b", 2, "z"), ("c", 3, "w")]
 
 
+def test_insert_ignore_reads_only_the_dates_it_touches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = [dt.date(2020, 1, i) for i in (1, 2, 3)]
+    for d in days:
+        tables.insert_ignore(spark, path, spark.createDataFrame([("a", d)], "k string, d date"), ["k", "d"], by="d")
+    again = spark.createDataFrame([("a", days[1]), ("b", days[1])], "k string, d date")
+    tables.insert_ignore(spark, path, again, ["k", "d"], by="d")
+    assert rows(spark.read.parquet(path).select("k", "d")) == [("a", days[0]), ("a", days[1]), ("a", days[2]), ("b", days[1])]
+
+
 def test_null_keys_never_conflict(spark):
     new = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
     stored = spark.createDataFrame([(None, 9), ("a", 9)], "k string, v int")
