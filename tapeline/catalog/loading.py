@@ -368,7 +368,30 @@ def page_list_items(spark: SparkSession, sf: str) -> DataFrame:
     return page_cells(table(spark, sf, "pages"), "li", [1, 2, 3, 5, 8])
 
 
-@query("page_tables")
+_CONSENSUS_TAKEN, _VALUE_TAKEN = (2, 5, 8, 11, 14), range(5)
+_CELLS = [f"CASE WHEN page_id % 3 <> 0 THEN (page_id + {k})::VARCHAR ELSE '' END AS {n}" for k, n in zip(_CONSENSUS_TAKEN, ("buy", "overweight", "hold", "underweight", "sell"), strict=True)]
+_CELLS += [f"CASE WHEN page_id % 2 = 0 THEN '$' || (page_id * 10 + {k}) ELSE '' END AS {n}" for k, n in zip(_VALUE_TAKEN, ("high", "median", "low", "average", "current"), strict=True)]
+
+
+def pages_with_tables(pages: DataFrame) -> DataFrame:
+    """The given pages with quote tables in them: a decoy on all, ratings on two of three, targets on every other."""
+
+    def cells(n: int, text, cls: str = "data_data") -> list:
+        return [c for i in range(n) for c in (F.lit(f'<td class="{cls}"> <b>'), text(i), F.lit("</b></td>"))]
+
+    def box(head: str, parts: list):
+        return F.concat(F.lit(f'<table class="cr_dataTable">{head}<tr>'), *parts, F.lit("</tr></table>"))
+
+    rating = cells(15, lambda i: (F.col("page_id") + i).cast("string"))
+    target = cells(5, lambda i: F.lit(f"label {i}"), "data_lbl") + cells(5, lambda i: F.concat(F.lit("$"), (F.col("page_id") * 10 + i).cast("string")))
+    head = "<thead><tr><th>Rating</th><th>3 Months Ago</th><th>1 Month Ago</th></tr></thead>"
+    decoy = box("", cells(4, lambda i: F.lit(str(i))))
+    ratings = F.when(F.col("page_id") % 3 != 0, box(head, rating)).otherwise("")
+    targets = F.when(F.col("page_id") % 2 == 0, box("", target)).otherwise("")
+    return pages.select("page_id", F.concat("html", decoy, ratings, targets).alias("html"))
+
+
+@query("page_tables", f"SELECT page_id, {', '.join(_CELLS)} FROM pages")
 def page_table_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Consensus and value cells of data tables; five blanks where a page has no such table."""
-    return page_tables(table(spark, sf, "pages"))
+    return page_tables(pages_with_tables(table(spark, sf, "pages")))

@@ -14,11 +14,6 @@ def blank(c: Column, *sentinels: str) -> Column:
     return F.when(~c.isin("", *sentinels), c)
 
 
-def one_char_blank(c: Column) -> Column:
-    """NULL for text of one character (a dash, a stray digit)."""
-    return F.when(F.length(c) != 1, c)
-
-
 def first_filled(type_: str, *cols: Column) -> Column:
     """First non-blank of several text columns, cast to `type_` (bad text gives NULL)."""
     return F.coalesce(*[blank(c) for c in cols]).try_cast(type_)

@@ -292,7 +292,3 @@ def etl_log(batches: DataFrame, landings: dict[str, DataFrame], unkeyed: dict[st
         total = df.where(F.col("sys_load_time").cast("date") == day).agg(F.count("*")).scalar()
         records = F.coalesce(records, F.when(F.col("job_name") == job, total))
     return out.groupBy("job_name").agg(F.sum(F.coalesce(records, F.lit(0))).alias("records"), F.min("start_time").alias("started"))
-
-
-def suffixed(code: Column) -> Column:
-    return joined(F.trim(code), EXCHANGE_SUFFIX)

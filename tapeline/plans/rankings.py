@@ -224,7 +224,8 @@ def full_list(lists: list[DataFrame]) -> DataFrame:
     """Codes on all four rankings, placed again by the sums of their positions."""
     out = None
     for i, df in enumerate(lists):
-        cols = df.select("code", *([F.col("category")] if i == 0 else []), F.col("load_date").alias(f"d{i}"), F.col("total_ranking").alias(f"t{i}"), F.col("category_ranking").alias(f"c{i}"))
+        kept = {f"d{i}": "load_date", f"t{i}": "total_ranking", f"c{i}": "category_ranking"}
+        cols = df.select("code", *(["category"] if i == 0 else []), *[F.col(c).alias(n) for n, c in kept.items()])
         out = cols if out is None else out.join(cols, "code")
     n = len(lists)
     sums = out.select(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tapeline.functions.numeric import cases, dec, flag, ratio, sign_of
+from tapeline.functions.numeric import cases, dec, ratio, sign_of
 from tapeline.functions.series import by, last_rows
 from tapeline.functions.text import joined
 from tapeline.operators.windows import latest_per_key
@@ -174,7 +174,3 @@ def compare_recent(history: DataFrame, today: DataFrame, cols: list[str], d: Dat
 def flags_text(a: Column, b: Column) -> Column:
     """BOTH / HA / MACD / '' of a candle flag and a convergence flag."""
     return F.when(a & b, "BOTH").when(a, "HA").when(b, "MACD").otherwise("")
-
-
-def is_true(c: Column) -> Column:
-    return flag(c) == 1

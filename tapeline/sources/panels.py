@@ -111,16 +111,6 @@ def categories(codes: DataFrame) -> DataFrame:
     )
 
 
-def shorts_of(totals: DataFrame) -> DataFrame:
-    return totals.select(
-        "code",
-        "load_date",
-        F.col("s").alias("short_position"),
-        (F.col("v") * 100).alias("total_in_issue"),
-        dec(ratio(F.col("s") * 100, F.col("v") * 100), 8, 31).alias("reported_position"),
-    )
-
-
 def transactions(spark: SparkSession, sf_dir: str, grain: str = "week") -> DataFrame:
     """Wide panel of the feature engine: prices, targets, ratings, earnings, short positions."""
     t = daily_totals(spark, sf_dir, grain)
