@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tapeline.functions.numeric import dec, ratio
 from tapeline.functions.series import by
-from tapeline.functions.text import between, blank, first_filled, joined, magnitude
+from tapeline.functions.text import between, blank, first_filled, magnitude
 from tapeline.operators.rows import latest_batch, project
 from tapeline.operators.tables import open_batches
 from tapeline.operators.windows import latest_per_key
