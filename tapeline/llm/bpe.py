@@ -21,53 +21,84 @@ from pyspark.sql import functions as F
 from tapeline.llm.common import text_slices
 
 #: Encoded chunks that a worker remembers, and the longest one it remembers: a bound on memory, not on results.
-REMEMBER = 200_000
+REMEMBER = 240_000
 REMEMBER_CHARS = 64
 
 
+class Memory:
+    """What was encoded lately: two generations of at most half the entries each, so that frequent texts stay."""
+
+    def __init__(self, entries: int) -> None:
+        self.half = entries // 2
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def get(self, text: str) -> bytes | None:
+        ids = self.recent.get(text)
+        if ids is None:
+            ids = self.older.get(text)
+            if ids is not None:
+                self.put(text, ids)
+        return ids
+
+    def put(self, text: str, ids: bytes) -> None:
+        if len(text) <= REMEMBER_CHARS:
+            if len(self.recent) >= self.half:
+                self.older, self.recent = self.recent, {}
+            self.recent[text] = ids
+
+
+_BIT = [1 << i for i in range(64)]
+
+
 class RankQueue:
-    """Positions by merge rank; pops the smallest (rank, position)."""
+    """Positions by merge rank; pops the smallest (rank, position).
+
+    low has a bit for each rank, mid a bit for each word of low that is not zero, top a bit
+    for each word of mid. The lists are kept from one pre-token to the next: an emptied queue
+    is all zeros.
+    """
 
     def __init__(self, ranks: int) -> None:
-        self.levels: list[list[int]] = []
-        words = ranks
-        while not self.levels or words > 1:
-            words = (words + 63) >> 6
-            self.levels.append([0] * words)
+        self.low = [0] * ((ranks >> 6) + 1)
+        self.mid = [0] * ((ranks >> 12) + 1)
+        self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket:
+        if bucket is not None:
             heapq.heappush(bucket, position)
             return
         self.buckets[rank] = [position]
-        at = rank
-        for level in self.levels:
-            word, at = at, at >> 6
-            old = level[at]
-            level[at] = old | (1 << (word & 63))
-            if old:
-                return
+        word = rank >> 6
+        old = self.low[word]
+        self.low[word] = old | _BIT[rank & 63]
+        if not old:
+            self.mid[word >> 6] |= _BIT[word & 63]
+            self.top |= 1 << (word >> 6)
 
     def pop(self) -> tuple[int, int] | None:
-        if not self.levels[-1][0]:
+        top = self.top
+        if not top:
             return None
-        rank = 0
-        for level in reversed(self.levels):
-            word = level[rank]
-            rank = (rank << 6) | ((word & -word).bit_length() - 1)
+        high = (top & -top).bit_length() - 1
+        x = self.mid[high]
+        word = high << 6 | ((x & -x).bit_length() - 1)
+        x = self.low[word]
+        rank = word << 6 | ((x & -x).bit_length() - 1)
         bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            at = rank
-            for level in self.levels:
-                word, at = at, at >> 6
-                level[at] &= ~(1 << (word & 63))
-                if level[at]:
-                    break
-        return rank, position
+        if len(bucket) > 1:
+            return rank, heapq.heappop(bucket)
+        del self.buckets[rank]
+        x &= x - 1
+        self.low[word] = x
+        if not x:
+            x = self.mid[high]
+            self.mid[high] = x & ~_BIT[word & 63]
+            if not self.mid[high]:
+                self.top = top & (top - 1)
+        return rank, bucket[0]
 
 
 class Encoder:
@@ -81,40 +112,42 @@ class Encoder:
         self.longest = max(map(len, ranks))
         self.pieces = regex.compile(pattern).findall
         self.queue = RankQueue(max(ranks.values()) + 1)
-        self.seen: dict[str, bytes] = {}
+        self.byte_pairs = [ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
+        self.chunks = Memory(REMEMBER)
+        self.parts = Memory(REMEMBER)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: always the lowest rank merges first, leftmost among equals."""
-        ranks, queue, n = self.ranks, self.queue, len(piece)
+        ranks, n = self.ranks, len(piece)
         if piece in ranks:
             return [ranks[piece]]
+        push, pop, longest = self.queue.push, self.queue.pop, self.longest
         end = list(range(1, n + 1))  # of the part that starts here
         before = list(range(-1, n - 1))  # start of the part before
-        waiting = [-1] * n  # rank at which the pair that starts here waits
-
-        def offer(start: int) -> None:
-            middle = end[start]
-            waiting[start] = -1
-            if middle < n and end[middle] - start <= self.longest:
-                rank = ranks.get(piece[start : end[middle]])
-                if rank is not None:
-                    waiting[start] = rank
-                    queue.push(rank, start)
-
-        for start in range(n - 1):
-            offer(start)
-        while (top := queue.pop()) is not None:
+        pairs = self.byte_pairs
+        waiting = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]  # rank at which the pair that starts here waits
+        waiting.append(-1)
+        for start, rank in enumerate(waiting):
+            if rank >= 0:
+                push(rank, start)
+        while (top := pop()) is not None:
             rank, start = top
             if waiting[start] != rank:
                 continue  # stale
             middle = end[start]
-            end[start] = end[middle]
-            waiting[middle] = -1
-            if end[start] < n:
-                before[end[start]] = start
-            offer(start)
-            if before[start] >= 0:
-                offer(before[start])
+            stop = end[start] = end[middle]
+            waiting[middle] = waiting[start] = -1
+            if stop < n:
+                before[stop] = start
+                if end[stop] - start <= longest:
+                    rank = waiting[start] = ranks.get(piece[start : end[stop]], -1)
+                    if rank >= 0:
+                        push(rank, start)
+            left = before[start]
+            if left >= 0:
+                rank = waiting[left] = ranks.get(piece[left:stop], -1) if stop - left <= longest else -1
+                if rank >= 0:
+                    push(rank, left)
         out, start = [], 0
         while start < n:
             out.append(ranks[piece[start : end[start]]])
@@ -122,8 +155,14 @@ class Encoder:
         return out
 
     def encode_part(self, text: str) -> bytes:
-        ids = [i for piece in self.pieces(text) for i in self.merge(piece.encode())]
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        parts, out = self.parts, []
+        for piece in self.pieces(text):
+            ids = parts.get(piece)
+            if ids is None:
+                ids = b"".join([i.to_bytes(4, "little") for i in self.merge(piece.encode())])
+                parts.put(piece, ids)
+            out.append(ids)
+        return b"".join(out)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers.
@@ -133,15 +172,13 @@ class Encoder:
         """
         if _ODD_SPACE.search(text):
             return self.encode_part(text)
-        seen, out = self.seen, []
+        recent, get, out = self.chunks.recent, self.chunks.get, []
         for chunk in _CHUNKS(text):
-            ids = seen.get(chunk)
+            ids = recent.get(chunk) or get(chunk)
             if ids is None:
                 ids = self.encode_part(chunk)
-                if len(chunk) <= REMEMBER_CHARS:
-                    if len(seen) >= REMEMBER:
-                        seen.clear()
-                    seen[chunk] = ids
+                self.chunks.put(chunk, ids)
+                recent = self.chunks.recent
             out.append(ids)
         return b"".join(out)
 

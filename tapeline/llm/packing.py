@@ -22,9 +22,10 @@ from tapeline.llm.common import staged, text_slices
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a worker remembers, and the longest it remembers: a bound on memory, not on results.
-REMEMBER = 250_000
-REMEMBER_CHARS = 48
+#: Words whose ids a worker remembers from one slice of texts to the next: a bound on memory, not on results.
+REMEMBER = 200_000
+#: Words given to the tokenizer at once, with blanks between them; the offsets of the tokens tell them apart.
+JOINED = 200
 #: Pieces of one length are numbered in this many buckets at least, by as many tasks.
 BUCKETS = 64
 
@@ -32,7 +33,11 @@ Runs = tuple[tuple[int, int], ...]  # (length, copies) in a sequence
 
 
 class WordTokenizer:
-    """Ids of a text, word by word. The tokenizer drops white space and never looks across it."""
+    """Ids of a text, word by word. The tokenizer drops white space and never looks across it.
+
+    A word's full stops, commas and exclamation marks at its end are tokens of their own, and
+    its case does not count, so what is new to the tokenizer is rarely a whole word.
+    """
 
     def __init__(self, path: str) -> None:
         import os
@@ -42,43 +47,64 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.place: dict[str, int] = {"": 0}
-        self.starts, self.sizes, self.ids = [0], [0], [np.empty(0, np.uint32)]
-        self.flat = None
+        self.cores: dict[str, np.ndarray] = {}
+        self._keep({"": 0}, np.zeros(1, np.int64), np.zeros(1, np.int64), np.empty(0, np.uint32))
+
+    def _keep(self, place: dict[str, int], start_of: np.ndarray, size_of: np.ndarray, flat: np.ndarray) -> None:
+        """The words known (their place), where their ids start in `flat`, and how many there are."""
+        self.place, self.start_of, self.size_of, self.flat = place, start_of, size_of, flat
+        self.hits = np.zeros(len(place), np.int64)
+
+    def _forget(self) -> None:
+        """Keep the words that were met most often, at most half the memory."""
+        order = np.argsort(-self.hits, kind="stable")[: REMEMBER // 2]
+        order = np.unique(np.append(order[self.hits[order] > 1], 0))
+        words = list(self.place)
+        sizes = self.size_of[order]
+        ends = np.cumsum(sizes)
+        ids = self.flat[np.repeat(self.start_of[order] - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
+        self._keep({words[w]: i for i, w in enumerate(order)}, ends - sizes, sizes, ids)
+        self.cores.clear()
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.place) + len(words) > REMEMBER:
-            self.place, self.starts, self.sizes, self.ids = {"": 0}, [0], [0], [np.empty(0, np.uint32)]
-        total = self.starts[-1] + self.sizes[-1]
-        for word, found in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False)):
-            ids = np.array(found.ids, np.uint32)
-            self.place[word] = len(self.starts)
-            self.starts.append(total)
-            self.sizes.append(len(ids))
-            self.ids.append(ids)
-            total += len(ids)
-        self.flat = np.concatenate(self.ids)
-        self.ids = [self.flat]
-        self.start_of, self.size_of = np.array(self.starts), np.array(self.sizes)
+        parts = []
+        for word in words:
+            core = word.rstrip(".,!")
+            if core and core[-1].isalnum():
+                parts.append((core.lower() if core.isascii() else core, word[len(core) :]))
+            else:
+                parts.append((word, ""))
+        new = list({x for part in parts for x in part if x not in self.cores})
+        for at in range(0, len(new), JOINED):
+            some = new[at : at + JOINED]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            begins = np.fromiter((begin for begin, _ in found.offsets), np.int64, len(found.offsets))
+            word = np.searchsorted(np.cumsum([len(x) + 1 for x in some]), begins, "right")
+            ids = np.split(np.array(found.ids, np.uint32), np.searchsorted(word, np.arange(1, len(some))))
+            self.cores |= zip(some, ids)
+        ids = [np.concatenate([self.cores[core], self.cores[tail]]) if tail else self.cores[core] for core, tail in parts]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        first = len(self.place)
+        self.place |= {word: first + i for i, word in enumerate(words)}
+        self.start_of = np.append(self.start_of, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.size_of = np.append(self.size_of, sizes)
+        self.flat = np.concatenate([self.flat, *ids])
+        self.hits = np.append(self.hits, np.zeros(len(words), np.int64))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        need = {w for words in split for w in words}
-        if unknown := [w for w in need if w not in self.place]:
-            if len(self.place) + len(unknown) > REMEMBER:
-                unknown = list(need)
-            self._learn(unknown)
-        out = []
-        for words in split:
-            at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-            sizes = self.size_of[at] if self.flat is not None else np.zeros(len(at), np.int64)
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            if not total:
-                out.append(np.empty(0, np.uint32))
-                continue
-            out.append(self.flat[np.repeat(self.start_of[at] - (ends - sizes), sizes) + np.arange(total)])
-        return out
+        words = [w for own in split for w in own]
+        if len(self.place) > REMEMBER or len(self.cores) > REMEMBER:
+            self._forget()
+        if new := list({w for w in words if w not in self.place}):
+            self._learn(new)
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        self.hits += np.bincount(at, minlength=len(self.hits))
+        sizes = self.size_of[at]
+        ends = np.cumsum(sizes)
+        flat = self.flat[np.repeat(self.start_of[at] - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
+        last = np.cumsum([len(own) for own in split])
+        return np.split(flat, ends[last[:-1] - 1])
 
 
 _tokenizers: dict[str, WordTokenizer] = {}

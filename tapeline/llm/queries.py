@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeline.llm import bpe, exact_dedup, licenses, packing, quality, sharding
+from tapeline.llm import bpe, exact_dedup, licenses, packing, quality, sharding, simhash
 from tapeline.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return simhash.near_copies(docs).select("doc_id", "fingerprint", "component_id", "representative")
+
+
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -41,6 +46,7 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_simhash": op3_simhash,
     "op5_kd_shards": op5_kd_shards,
     "op6_line_rules": op6_line_rules,
     "op7_license_scan": op7_license_scan,
