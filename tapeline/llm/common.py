@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from tapeline.staging import scratch
 #: A group with more than 1/HOT of all rows is joined by broadcast; by counting there are fewer than HOT of them.
 HOT = 1000
 
-_written: list[str] = []
+_recorders: list[list[str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,16 +26,26 @@ def staged(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, "llm")
     df.write.option("compression", "zstd").parquet(path)
-    _written.append(path)
+    for paths in _recorders:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete what `staged` has written. Call it only when no unread result depends on it."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Note in `paths` what `staged` writes meanwhile."""
+    _recorders.append(paths)
+    try:
+        yield
+    finally:
+        _recorders.remove(paths)
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written intermediates. Only for a caller who knows that nothing unread depends on them."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

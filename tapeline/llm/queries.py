@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeline.llm import bpe, exact_dedup, licenses, packing, quality, sharding, simhash
+from tapeline.llm import bpe, chat, exact_dedup, licenses, lm, packing, quality, sharding, simhash, suffix_dedup
 from tapeline.llm.common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.mark_copies(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -21,6 +25,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(docs).select("doc_id", "fingerprint", "component_id", "representative")
 
 
+def op4_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -44,12 +52,19 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_simhash": op3_simhash,
+    "op4_chat_rotation": op4_chat_rotation,
     "op5_kd_shards": op5_kd_shards,
     "op6_line_rules": op6_line_rules,
     "op7_license_scan": op7_license_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_bpe_round_trip": op9_bpe_round_trip,
+    "op10_log_bilinear": op10_log_bilinear,
 }
