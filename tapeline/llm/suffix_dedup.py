@@ -7,9 +7,9 @@ and no task needs a sorted neighbour from another one. Three passes:
 
 1. Each window is filed under an anchor: the block of GRAM bytes in it with the least hash. Equal
    windows choose equal anchors, so windows that share no anchor need no comparison, and one
-   row stands for all windows filed under an anchor (2 rows for 62 bytes on average).
+   row stands for all windows filed under an anchor (one for 31 bytes on average).
    Anchors that are alone drop out.
-2. Anchors with equal blocks are told apart by all bytes that their windows reach (up to 160).
+2. Anchors with equal blocks are told apart by all bytes that the windows filed there reach (up to 160).
    Where these are equal too, all windows of the later anchor are repeats; the earliest
    one stands for the group from there on. Alone under its block: done.
 3. What is left (different reaches around one block: the edges of repeated passages) is spelt
@@ -100,9 +100,13 @@ def _sliding(values: np.ndarray, size: int, best) -> np.ndarray:
     return best(values[: len(values) - (size - width)], values[size - width :]) if width < size else values
 
 
-def anchors(data: np.ndarray, ends: np.ndarray, threshold: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, key, tag) of the anchors in texts that lie one after another in `data`; the tag covers all that their windows reach."""
-    empty = np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int32)
+def anchors(data: np.ndarray, ends: np.ndarray, threshold: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(start, stop, key, tag) of the anchors in texts that lie one after another in `data`.
+
+    The windows filed under an anchor start one after another; start to stop is all that they
+    reach, and the tag covers these bytes.
+    """
+    empty = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int32)
     if len(data) < threshold:
         return empty
     whole = Bytes(data)
@@ -116,10 +120,13 @@ def anchors(data: np.ndarray, ends: np.ndarray, threshold: int, gram: int) -> tu
     reach = threshold - gram
     padded = np.concatenate([np.zeros(reach, np.uint64), least, np.zeros(reach, np.uint64)])
     at = np.flatnonzero((_sliding(padded, reach + 1, np.maximum) == grams) & (grams > 0))
-    text = np.searchsorted(ends, at, "right")
-    low, high = np.maximum(begins[text], at - reach), np.minimum(ends[text], at + threshold)
+    filed = np.concatenate([least, np.zeros(len(data) - len(least), np.uint64)])  # no window starts there
+    start = at[:, None] - np.arange(reach, -1, -1)
+    own = (filed[np.maximum(start, 0)] == grams[at][:, None]) & (start >= 0)
+    low = at - reach + own.argmax(axis=1)
+    high = at - own[:, ::-1].argmax(axis=1) + threshold
     tag = whole.hash(1, low, high) ^ _mixed(((at - low) << 32 | (high - at)).astype(np.uint64))
-    return at, grams[at], (tag >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return low, high, grams[at], (tag >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _batch(kind: int, n: int, **columns: np.ndarray) -> pa.RecordBatch:
@@ -167,15 +174,15 @@ def _concatenated(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndar
         first = stop
 
 
-def _window_rows(texts: list[bytes], docs: np.ndarray, places: list[np.ndarray], threshold: int, gram: int) -> list[pa.RecordBatch]:
-    """WINDOW rows of all windows that hold an anchor at one of `places`; who repeats another one here goes out as a span."""
+def _window_rows(texts: list[bytes], docs: np.ndarray, reaches: list[tuple[np.ndarray, np.ndarray]], threshold: int) -> list[pa.RecordBatch]:
+    """WINDOW rows of all windows inside the (starts, stops) of each text; who repeats another one here goes out as a span."""
     found = []
     for first, data, ends in _concatenated(texts):
         whole = Bytes(data)
         for i, end in enumerate(ends, first):
             begin = int(end) - len(texts[i])
-            start = (places[i][:, None] - np.arange(threshold - gram + 1)).ravel()
-            start = np.unique(start[(start >= 0) & (start + threshold <= len(texts[i]))])
+            low, many = reaches[i][0], reaches[i][1] - reaches[i][0] - threshold + 1
+            start = np.unique(np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum()))
             found.append((np.full(len(start), docs[i]), start, whole.hash(0, start + begin, start + begin + threshold), whole.hash(1, start + begin, start + begin + threshold)))
     if not found:
         return []
@@ -193,29 +200,31 @@ def _first_pass(texts: list[bytes], docs: np.ndarray, threshold: int, gram: int)
     """Rows of some whole texts: of anchors with equal reaches only the earliest stays, the others go out as spans."""
     found = []
     for first, data, ends in _concatenated(texts):
-        at, key, tag = anchors(data, ends, threshold, gram)
+        at, till, key, tag = anchors(data, ends, threshold, gram)
         text = np.searchsorted(ends, at, "right")
-        found.append((text + first, at - np.append(0, ends)[text], key, tag))
-    number, at, key, tag = (np.concatenate(x) for x in zip(*found))
+        begin = np.append(0, ends)[text]
+        found.append((text + first, at - begin, till - begin, key, tag))
+    number, at, till, key, tag = (np.concatenate(x) for x in zip(*found))
     if not len(number):
         return []
-    doc, size = docs[number], np.array([len(t) for t in texts])[number]
+    doc = docs[number]
     order, later = _later(key, tag, doc, at)
     gone = order[later]
-    rows = _spans(doc[gone], np.maximum(at[gone] - (threshold - gram), 0), np.minimum(at[gone] + threshold, size[gone]))
+    rows = _spans(doc[gone], at[gone], till[gone])
     stays = order[~later]  # still in the order of key
     run = np.flatnonzero(np.append(True, key[stays][1:] != key[stays][:-1])[: len(stays)])
     many = np.diff(np.append(run, len(stays)))
     common = stays[np.repeat(many > COMMON, many)]
     keep = np.ones(len(doc), bool)
     keep[gone] = keep[common] = False
-    rows.append(_batch(ANCHOR, int(keep.sum()), key=key[keep].view(np.int64), tag=tag[keep], doc=doc[keep], at=at[keep], till=np.minimum(at[keep] + threshold, size[keep])))
+    rows.append(_batch(ANCHOR, int(keep.sum()), key=key[keep].view(np.int64), tag=tag[keep], doc=doc[keep], at=at[keep], till=till[keep]))
     if len(common):
         marks = np.unique(key[common]).view(np.int64)
         rows.append(_batch(MARK, len(marks), key=marks, doc=0))
         common = common[np.argsort(number[common], kind="stable")]
         own, begins = np.unique(number[common], return_index=True)
-        rows += _window_rows([texts[i] for i in own], docs[own], np.split(at[common], begins[1:]), threshold, gram)
+        reaches = list(zip(np.split(at[common], begins[1:]), np.split(till[common], begins[1:])))
+        rows += _window_rows([texts[i] for i in own], docs[own], reaches, threshold)
     return rows
 
 
@@ -229,7 +238,6 @@ def _columns(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray] | None:
 
 def covered_spans(rows: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM) -> DataFrame:
     """(doc, at, till): spans of the texts in rows (row_key, text) whose bytes repeat. Spans of a document may overlap."""
-    reach = threshold - gram
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: list[bytes] = []
@@ -257,19 +265,19 @@ def covered_spans(rows: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM)
         key, tag, doc, at, till = (c[name][own] for name in ("key", "tag", "doc", "at", "till"))
         order, later = _later(key, tag, doc, at)
         gone = order[later]
-        yield from _spans(doc[gone], np.maximum(at[gone] - reach, 0), till[gone])
+        yield from _spans(doc[gone], at[gone], till[gone])
         stays = order[~later]
         run = np.flatnonzero(np.append(True, key[stays][1:] != key[stays][:-1])[: len(stays)])
         many = np.diff(np.append(run, len(stays)))
         edge = np.isin(key, marked)  # blocks that another task has spelt out
         edge[stays[np.repeat(many > 1, many)]] = True
         edge[gone] = False
-        yield _batch(ANCHOR, int(edge.sum()), key=key[edge], tag=tag[edge], doc=doc[edge], at=at[edge])
+        yield _batch(ANCHOR, int(edge.sum()), key=key[edge], tag=tag[edge], doc=doc[edge], at=at[edge], till=till[edge])
 
     def spell_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches, rows=512):
-            places = [np.array(p) for p in part.column("places").to_pylist()]
-            yield from _window_rows(texts, part.column("row_key").to_numpy(), places, threshold, gram)
+            starts, stops = ([np.array(x, np.int64) for x in part.column(c).to_pylist()] for c in ("starts", "stops"))
+            yield from _window_rows(texts, part.column("row_key").to_numpy(), list(zip(starts, stops)), threshold)
 
     def third_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = _columns(batches)
@@ -284,8 +292,9 @@ def covered_spans(rows: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM)
         yield from _spans(doc[gone], at[gone], at[gone] + threshold)
 
     found = staged(rows.select("row_key", "text").mapInArrow(first_pass, ROW).repartition("key").mapInArrow(second_pass, ROW))
-    edges = staged(found.where(F.col("kind") == ANCHOR).groupBy(F.col("doc").alias("row_key")).agg(F.collect_list("at").alias("places")))
-    texts = among(rows, edges).join(edges, "row_key").select("row_key", "text", "places")
+    edges = staged(found.where(F.col("kind") == ANCHOR).groupBy(F.col("doc").alias("row_key")).agg(F.collect_list(F.struct("at", "till")).alias("reaches")))
+    edges = edges.select("row_key", F.col("reaches.at").alias("starts"), F.col("reaches.till").alias("stops"))
+    texts = among(rows, edges).join(edges, "row_key").select("row_key", "text", "starts", "stops")
     windows = texts.mapInArrow(spell_out, ROW).unionByName(found.where(F.col("kind") >= WINDOW))
     return windows.repartition("key").mapInArrow(third_pass, ROW).select("doc", "at", "till")
 
