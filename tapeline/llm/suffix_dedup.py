@@ -121,12 +121,14 @@ def anchors(data: np.ndarray, ends: np.ndarray, threshold: int, gram: int) -> tu
     padded = np.concatenate([np.zeros(reach, np.uint64), least, np.zeros(reach, np.uint64)])
     at = np.flatnonzero((_sliding(padded, reach + 1, np.maximum) == grams) & (grams > 0))
     filed = np.concatenate([least, np.zeros(len(data) - len(least), np.uint64)])  # no window starts there
-    start = at[:, None] - np.arange(reach, -1, -1)
-    own = (filed[np.maximum(start, 0)] == grams[at][:, None]) & (start >= 0)
-    low = at - reach + own.argmax(axis=1)
-    high = at - own[:, ::-1].argmax(axis=1) + threshold
+    own, low, high = grams[at], np.full(len(at), len(data)), np.zeros(len(at), np.int64)
+    for back in range(reach + 1):
+        start = at - back
+        held = (start >= 0) & (filed[start] == own)
+        low = np.where(held, start, low)
+        high = np.where(held, np.maximum(high, start + threshold), high)
     tag = whole.hash(1, low, high) ^ _mixed(((at - low) << 32 | (high - at)).astype(np.uint64))
-    return low, high, grams[at], (tag >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return low, high, own, (tag >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _batch(kind: int, n: int, **columns: np.ndarray) -> pa.RecordBatch:
