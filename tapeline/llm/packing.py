@@ -11,6 +11,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,9 @@ from tapeline.llm.common import staged, text_slices
 CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker remembers from one slice of texts to the next: a bound on memory, not on results.
-REMEMBER = 200_000
-#: Words given to the tokenizer at once, with blanks between them; the offsets of the tokens tell them apart.
-JOINED = 200
+REMEMBER = 500_000
+#: Words given to the tokenizer at once, and a word of one token that stands between them.
+JOINED, SEPARATOR = 200, "0"
 #: Pieces of one length are numbered in this many buckets at least, by as many tasks.
 BUCKETS = 64
 
@@ -33,11 +34,7 @@ Runs = tuple[tuple[int, int], ...]  # (length, copies) in a sequence
 
 
 class WordTokenizer:
-    """Ids of a text, word by word. The tokenizer drops white space and never looks across it.
-
-    A word's full stops, commas and exclamation marks at its end are tokens of their own, and
-    its case does not count, so what is new to the tokenizer is rarely a whole word.
-    """
+    """Ids of a text, word by word. The tokenizer drops white space and never looks across it."""
 
     def __init__(self, path: str) -> None:
         import os
@@ -47,9 +44,14 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cores: dict[str, np.ndarray] = {}
+        self.between = self._ids(SEPARATOR)
+        if len(self.between) != 1:
+            raise ValueError(f"{SEPARATOR!r} is not one token")
         self._keep({"": 0}, np.zeros(1, np.int64), np.zeros(1, np.int64), np.empty(0, np.uint32))
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
     def _keep(self, place: dict[str, int], start_of: np.ndarray, size_of: np.ndarray, flat: np.ndarray) -> None:
         """The words known (their place), where their ids start in `flat`, and how many there are."""
         self.place, self.start_of, self.size_of, self.flat = place, start_of, size_of, flat
@@ -64,42 +66,39 @@ class WordTokenizer:
         ends = np.cumsum(sizes)
         ids = self.flat[np.repeat(self.start_of[order] - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
         self._keep({words[w]: i for i, w in enumerate(order)}, ends - sizes, sizes, ids)
-        self.cores.clear()
 
     def _learn(self, words: list[str]) -> None:
-        parts = []
-        for word in words:
-            core = word.rstrip(".,!")
-            if core and core[-1].isalnum():
-                parts.append((core.lower() if core.isascii() else core, word[len(core) :]))
-            else:
-                parts.append((word, ""))
-        new = list({x for part in parts for x in part if x not in self.cores})
-        for at in range(0, len(new), JOINED):
-            some = new[at : at + JOINED]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            begins = np.fromiter((begin for begin, _ in found.offsets), np.int64, len(found.offsets))
-            word = np.searchsorted(np.cumsum([len(x) + 1 for x in some]), begins, "right")
-            ids = np.split(np.array(found.ids, np.uint32), np.searchsorted(word, np.arange(1, len(some))))
-            self.cores |= zip(some, ids)
-        ids = [np.concatenate([self.cores[core], self.cores[tail]]) if tail else self.cores[core] for core, tail in parts]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        """Many at once, with a word between them whose token none of them can give."""
+        plain = [w for w in words if SEPARATOR not in w]
+        others = [w for w in words if SEPARATOR in w]
+        line = f" {SEPARATOR} ".join
+        joined = [self._ids(line(["", *plain[at : at + JOINED]])) for at in range(0, len(plain), JOINED)]
+        ids = np.concatenate([np.empty(0, np.uint32), *joined])
+        cuts = np.append(np.flatnonzero(ids == self.between[0]), len(ids))
+        starts, sizes = cuts[:-1] + 1, np.diff(cuts) - 1
+        if others:
+            apart = [self._ids(w) for w in others]
+            more = np.array([len(x) for x in apart])
+            starts, sizes = np.append(starts, len(ids) + np.cumsum(more) - more), np.append(sizes, more)
+            ids = np.concatenate([ids, *apart])
         first = len(self.place)
-        self.place |= {word: first + i for i, word in enumerate(words)}
-        self.start_of = np.append(self.start_of, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.place.update(zip(plain + others, range(first, first + len(words))))
+        self.start_of = np.append(self.start_of, len(self.flat) + starts)
         self.size_of = np.append(self.size_of, sizes)
-        self.flat = np.concatenate([self.flat, *ids])
+        self.flat = np.append(self.flat, ids)
         self.hits = np.append(self.hits, np.zeros(len(words), np.int64))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
         words = [w for own in split for w in own]
-        if len(self.place) > REMEMBER or len(self.cores) > REMEMBER:
+        if len(self.place) > REMEMBER:
             self._forget()
-        if new := list({w for w in words if w not in self.place}):
-            self._learn(new)
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        self.hits += np.bincount(at, minlength=len(self.hits))
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        if len(unknown := np.flatnonzero(at < 0).tolist()):
+            missing = [words[i] for i in unknown]
+            self._learn(list(set(missing)))
+            at[unknown] = np.fromiter(map(self.place.__getitem__, missing), np.int64, len(missing))
+        np.add.at(self.hits, at, 1)
         sizes = self.size_of[at]
         ends = np.cumsum(sizes)
         flat = self.flat[np.repeat(self.start_of[at] - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
