@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tapeline.llm.common import text_slices
 
 #: Encoded chunks that a worker remembers, and the longest one it remembers: a bound on memory, not on results.
-REMEMBER = 240_000
+REMEMBER = 800_000
 REMEMBER_CHARS = 64
 
 
@@ -65,18 +65,33 @@ class RankQueue:
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
+    def fill(self, waiting: list[int]) -> None:
+        """Push position i with rank waiting[i], unless that is negative. The queue is empty."""
+        low, mid, buckets, top = self.low, self.mid, self.buckets, 0
+        for position, rank in enumerate(waiting):
+            if rank < 0:
+                continue
+            if rank in buckets:
+                buckets[rank].append(position)  # ascending, so it is a heap
+                continue
+            buckets[rank] = [position]
+            word = rank >> 6
+            high = word >> 6
+            low[word] |= _BIT[rank & 63]
+            mid[high] |= _BIT[word & 63]
+            top |= 1 << high
+        self.top = top
+
     def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heapq.heappush(bucket, position)
+        if rank in self.buckets:
+            heapq.heappush(self.buckets[rank], position)
             return
         self.buckets[rank] = [position]
         word = rank >> 6
-        old = self.low[word]
-        self.low[word] = old | _BIT[rank & 63]
-        if not old:
-            self.mid[word >> 6] |= _BIT[word & 63]
-            self.top |= 1 << (word >> 6)
+        high = word >> 6
+        self.low[word] |= _BIT[rank & 63]
+        self.mid[high] |= _BIT[word & 63]
+        self.top |= 1 << high
 
     def pop(self) -> tuple[int, int] | None:
         top = self.top
@@ -127,9 +142,7 @@ class Encoder:
         pairs = self.byte_pairs
         waiting = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]  # rank at which the pair that starts here waits
         waiting.append(-1)
-        for start, rank in enumerate(waiting):
-            if rank >= 0:
-                push(rank, start)
+        self.queue.fill(waiting)
         while (top := pop()) is not None:
             rank, start = top
             if waiting[start] != rank:
@@ -150,8 +163,9 @@ class Encoder:
                     push(rank, left)
         out, start = [], 0
         while start < n:
-            out.append(ranks[piece[start : end[start]]])
-            start = end[start]
+            stop = end[start]
+            out.append(ranks[piece[start:stop]])
+            start = stop
         return out
 
     def encode_part(self, text: str) -> bytes:
