@@ -24,7 +24,7 @@ from tapeline.llm.common import staged, text_slices
 CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker remembers from one slice of texts to the next: a bound on memory, not on results.
-REMEMBER = 500_000
+REMEMBER = 1_000_000
 #: Words given to the tokenizer at once, and a word of one token that stands between them.
 JOINED, SEPARATOR = 200, "0"
 #: Pieces of one length are numbered in this many buckets at least, by as many tasks.
@@ -89,7 +89,8 @@ class WordTokenizer:
         self.hits = np.append(self.hits, np.zeros(len(words), np.int64))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
+        # the tokenizer lowers all letters; of ASCII texts this is done here, so that fewer words differ
+        split = [(text.lower() if text.isascii() else text).replace("\n", " ").split(" ") for text in texts]
         words = [w for own in split for w in own]
         if len(self.place) > REMEMBER:
             self._forget()
