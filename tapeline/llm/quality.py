@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from tapeline.llm.common import let, packed, unpacked
 
-SPACE = " \t\n\x0b\f\r"
 SPACES = "[\\x20\\x09-\\x0D]+"
-SYMBOLS = "#*$%&|<>"
+A_WORD = "[^\\x20\\x09-\\x0D]"
+SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -21,7 +21,7 @@ MAX_REPEAT_PERCENT = 30
 MIN_KEPT_PERCENT = 50
 #: A line may have this many marks ([#*$%&|<>!]) for each hundred words.
 MAX_MARKS_PERCENT = 50
-MARKS = SYMBOLS + "!"
+MARKS = "[#*$%&|<>!]"
 #: Two separators, or one that ends the line, make a menu.
 NAVIGATION = r"(\||»|›|>>).*(\||»|›|>>)|(\||»|›|>>)[\x20\x09-\x0D]*$"
 #: A sentence end inside the line is enough: a last sentence may be cut off.
@@ -32,16 +32,12 @@ BOILERPLATE = (
 )
 
 
-def _word_chars(text: Column) -> Column:
-    return F.char_length(F.translate(text, SPACE, ""))
-
-
 def _words(text: Column) -> Column:
     return F.filter(F.split(text, SPACES, -1), lambda w: w != "")
 
 
-def _marks(text: Column, chars: str) -> Column:
-    return F.char_length(text) - F.char_length(F.translate(text, chars, ""))
+def _chars(words: Column) -> Column:
+    return F.char_length(F.array_join(words, "")).cast("long")
 
 
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
@@ -51,9 +47,15 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     next to each other, so a text of n words costs n log n.
     """
 
+    none = F.lit(0).cast("long")
+
     def of_hashes(h: Column) -> Column:
-        windows = F.transform(F.sequence(F.lit(1), F.size(h) - (window - 1)), lambda i: F.struct(F.xxhash64(F.slice(h, i, window)).alias("h"), i.alias("i")))
-        return let(F.sort_array(windows), of_sorted)
+        return let(F.transform(F.sequence(F.lit(1), F.size(h) - (window - 1)), lambda i: F.xxhash64(F.slice(h, i, window))), of_windows)
+
+    def of_windows(w: Column) -> Column:
+        # most texts repeat nothing, which a hash set finds out without a sort
+        alone = F.size(F.array_distinct(w)) == F.size(w)
+        return F.when(alone, none).otherwise(let(F.sort_array(F.transform(w, lambda x, i: F.struct(x.alias("h"), (i + 1).alias("i")))), of_sorted))
 
     def of_sorted(s: Column) -> Column:
         same = F.filter(s, lambda x, k: ((k > 0) & (F.get(s, k - 1)["h"] == x["h"])) | (F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False))))
@@ -64,7 +66,7 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
         return F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a + x)
 
     count = let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes)
-    return F.when(F.size(words) >= window, count).otherwise(F.lit(0).cast("long"))
+    return F.when(F.size(words) >= window, count).otherwise(none)
 
 
 def line_fails(line: Column) -> Column:
@@ -72,7 +74,8 @@ def line_fails(line: Column) -> Column:
 
     Punctuation: no sentence end at all, or too many marks for its words. Each rule reads one line.
     """
-    marks = _marks(line, MARKS) * 100 > F.size(_words(line)) * MAX_MARKS_PERCENT
+    marks = F.regexp_count(line, F.lit(MARKS))
+    marks = F.when(marks == 0, F.lit(False)).otherwise(marks * 100 > F.size(_words(line)) * MAX_MARKS_PERCENT)
     return ~line.rlike(ENDS) | marks | line.rlike(NAVIGATION) | F.lower(line).rlike(BOILERPLATE)
 
 
@@ -86,25 +89,26 @@ def judge(df: DataFrame, text_col: str = "text") -> DataFrame:
     rows = packed(df, text_col).select("row", F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("body"))
 
     def measured(words: Column) -> Column:
-        return F.struct(F.size(words).cast("long").alias("n_words"), repeated_words(words).alias("n_repeat_words"))
+        return F.struct(F.size(words).cast("long").alias("n_words"), _chars(words).alias("word_chars"), repeated_words(words).alias("n_repeat_words"))
 
     def of_lines(lines: Column) -> Column:
-        with_word = F.filter(lines, lambda x: _word_chars(x) > 0)
-        clean = F.filter(lines, lambda x: (_word_chars(x) == 0) | ~line_fails(x))
+        with_word = F.filter(lines, lambda x: x.rlike(A_WORD))
+        clean = F.filter(lines, lambda x: F.when(x.rlike(A_WORD), ~line_fails(x)).otherwise(F.lit(True)))
         return F.struct(
             let(with_word, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
             F.array_join(clean, "\n").alias("clean_text"),
         )
 
     rows = rows.select("row", "body", let(_words(F.col("body")), measured).alias("w"), let(F.split(F.col("body"), "\n", -1), of_lines).alias("l"))
+    unchanged = F.col("l.clean_text") == F.col("body")
     rows = rows.select(
         "row",
         F.col("w.n_words").alias("n_words"),
-        _word_chars(F.col("body")).cast("long").alias("word_chars"),
-        _marks(F.col("body"), SYMBOLS).cast("long").alias("n_symbols"),
+        F.col("w.word_chars").alias("word_chars"),
+        F.regexp_count("body", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.col("l.n_dup_lines").alias("n_dup_lines"),
         F.col("w.n_repeat_words").alias("n_repeat_words"),
-        _word_chars(F.col("l.clean_text")).cast("long").alias("kept_chars"),
+        F.when(unchanged, F.col("w.word_chars")).otherwise(_chars(_words(F.col("l.clean_text")))).alias("kept_chars"),
         F.col("l.clean_text").alias("clean_text"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
