@@ -23,8 +23,9 @@ from tapeline.llm.common import staged, text_slices
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a worker remembers from one slice of texts to the next: a bound on memory, not on results.
-REMEMBER = 1_000_000
+#: Words whose ids a task remembers from one slice of texts to the next, and those that its worker keeps for the
+#: next task: bounds on memory, not on results.
+REMEMBER, KEPT = 800_000, 150_000
 #: Words given to the tokenizer at once, and a word of one token that stands between them.
 JOINED, SEPARATOR = 200, "0"
 #: Pieces of one length are numbered in this many buckets at least, by as many tasks.
@@ -40,26 +41,32 @@ class WordTokenizer:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.between = self._ids(SEPARATOR)
         if len(self.between) != 1:
             raise ValueError(f"{SEPARATOR!r} is not one token")
+        # for lower-case ASCII words there is nothing to normalise and only blanks to split at
+        self.plain = Tokenizer.from_str(self.tokenizer.to_str())
+        self.plain.encode_special_tokens = True
+        self.plain.normalizer = normalizers.Sequence([])
+        bytes_only = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytes_only])
         self._keep({"": 0}, np.zeros(1, np.int64), np.zeros(1, np.int64), np.empty(0, np.uint32))
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    def _ids(self, text: str, tokenizer=None) -> np.ndarray:
+        return np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _keep(self, place: dict[str, int], start_of: np.ndarray, size_of: np.ndarray, flat: np.ndarray) -> None:
         """The words known (their place), where their ids start in `flat`, and how many there are."""
         self.place, self.start_of, self.size_of, self.flat = place, start_of, size_of, flat
         self.hits = np.zeros(len(place), np.int64)
 
-    def _forget(self) -> None:
-        """Keep the words that were met most often, at most half the memory."""
-        order = np.argsort(-self.hits, kind="stable")[: REMEMBER // 2]
+    def forget(self, keep: int = KEPT) -> None:
+        """Keep the `keep` words that were met most often."""
+        order = np.argsort(-self.hits, kind="stable")[:keep]
         order = np.unique(np.append(order[self.hits[order] > 1], 0))
         words = list(self.place)
         sizes = self.size_of[order]
@@ -69,10 +76,17 @@ class WordTokenizer:
 
     def _learn(self, words: list[str]) -> None:
         """Many at once, with a word between them whose token none of them can give."""
-        plain = [w for w in words if SEPARATOR not in w]
-        others = [w for w in words if SEPARATOR in w]
+        simple, lines, rest, others = [], [], [], []
+        for word in words:
+            core = word.rstrip(".,!")
+            if core.isascii() and core.isalpha() and core.islower():
+                simple.append(word)
+                lines.append(f"{core} {word[len(core):]}")  # such an end is a token of its own
+            else:
+                (others if SEPARATOR in word else rest).append(word)
         line = f" {SEPARATOR} ".join
-        joined = [self._ids(line(["", *plain[at : at + JOINED]])) for at in range(0, len(plain), JOINED)]
+        joined = [self._ids(line(["", *lines[at : at + JOINED]]), self.plain) for at in range(0, len(lines), JOINED)]
+        joined += [self._ids(line(["", *rest[at : at + JOINED]])) for at in range(0, len(rest), JOINED)]
         ids = np.concatenate([np.empty(0, np.uint32), *joined])
         cuts = np.append(np.flatnonzero(ids == self.between[0]), len(ids))
         starts, sizes = cuts[:-1] + 1, np.diff(cuts) - 1
@@ -82,7 +96,7 @@ class WordTokenizer:
             starts, sizes = np.append(starts, len(ids) + np.cumsum(more) - more), np.append(sizes, more)
             ids = np.concatenate([ids, *apart])
         first = len(self.place)
-        self.place.update(zip(plain + others, range(first, first + len(words))))
+        self.place.update(zip(simple + rest + others, range(first, first + len(words))))
         self.start_of = np.append(self.start_of, len(self.flat) + starts)
         self.size_of = np.append(self.size_of, sizes)
         self.flat = np.append(self.flat, ids)
@@ -93,7 +107,7 @@ class WordTokenizer:
         split = [(text.lower() if text.isascii() else text).replace("\n", " ").split(" ") for text in texts]
         words = [w for own in split for w in own]
         if len(self.place) > REMEMBER:
-            self._forget()
+            self.forget(REMEMBER // 2)
         at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
         if len(unknown := np.flatnonzero(at < 0).tolist()):
             missing = [words[i] for i in unknown]
@@ -116,9 +130,10 @@ def tokenize(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _tokenizers:
             _tokenizers[path] = WordTokenizer(path)
+        own = _tokenizers[path]
         for part, texts in text_slices(batches):
             owner, rows = [], []
-            for i, ids in enumerate(_tokenizers[path].encode([t.decode() for t in texts])):
+            for i, ids in enumerate(own.encode([t.decode() for t in texts])):
                 whole = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(whole), capacity)):
                     cut = whole[start : start + capacity]
@@ -126,6 +141,7 @@ def tokenize(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     rows.append((piece, start, len(cut), zlib.crc32(cut.tobytes())))
             arrays = [pa.array(list(x), kind) for x, kind in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(owner)), *arrays], [id_col, "piece", "start", "length", "ids_crc32"])
+        own.forget()
 
     kind = df.schema[id_col].dataType.simpleString()
     slim = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
