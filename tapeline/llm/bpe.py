@@ -14,6 +14,7 @@ import heapq
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -221,7 +222,7 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     Null texts count as empty: no tokens. Ids of any type, repeated or null, pass through. No
     other column is read. One pass, no shuffle; a worker holds 256 texts and a bounded memory of chunks.
     """
-    return _mapped(df, path, pattern, id_col, text_col, f"{id_col} {{id}}, ids array<int>, decoded binary", lambda ids, data: (memoryview(ids).cast("i").tolist(), data))
+    return _mapped(df, path, pattern, id_col, text_col, f"{id_col} {{id}}, ids array<int>, decoded binary", lambda ids, data: (np.frombuffer(ids, np.int32), data))
 
 
 def digest(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -14,6 +14,10 @@ from tapeline.staging import scratch
 #: A group with more than 1/HOT of all rows is joined by broadcast; by counting there are fewer than HOT of them.
 HOT = 1000
 
+#: Texts that one Arrow batch carries to Python while an intermediate is written.
+TEXTS_PER_BATCH = 1000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _recorders: list[list[str]] = []
 
 
@@ -25,7 +29,12 @@ def staged(df: DataFrame) -> DataFrame:
     """Write `df` once to the shared folder and read it back; survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, "llm")
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, min(int(before), TEXTS_PER_BATCH) or TEXTS_PER_BATCH)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
     for paths in _recorders:
         paths.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -25,7 +25,7 @@ CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a task remembers from one slice of texts to the next, and those that its worker keeps for the
 #: next task: bounds on memory, not on results.
-REMEMBER, KEPT = 800_000, 150_000
+REMEMBER, KEPT = 500_000, 60_000
 #: Words given to the tokenizer at once, and a word of one token that stands between them.
 JOINED, SEPARATOR = 200, "0"
 #: Pieces of one length are numbered in this many buckets at least, by as many tasks.
