@@ -23,6 +23,11 @@ def hundredths(c: Column) -> Column:
     return (c.cast("decimal(14,0)") * F.lit(Decimal("0.01"))).cast("decimal(12,3)")
 
 
+def money(c: Column) -> Column:
+    """Whole cents of a sum, of any size, with three decimals."""
+    return (c.cast("decimal(34,0)") * F.lit(Decimal("0.01"))).cast("decimal(38,3)")
+
+
 def thousandths(c: Column) -> Column:
     """A price with three decimals as a whole number."""
     return (c.cast("decimal(18,3)") * 1000).cast("long")
@@ -73,20 +78,31 @@ def flag(pred: Column) -> Column:
     return F.when(pred, F.lit(1)).otherwise(F.lit(0))
 
 
-def first_by(seq: Column, value: Column, span: int = 10**12) -> Column:
+#: Values that `first_by` and `last_by` can carry are whole numbers from -HALF to HALF - 1.
+HALF = 5 * 10**18
+
+
+def first_by(seq: Column, value: Column) -> Column:
     """Aggregate: the value at the smallest `seq`, the smallest value among ties.
 
-    Both are whole numbers and 0 <= value < span. They are packed into one decimal, so the
-    aggregation stays a hash aggregation with map-side partials; a struct would force a sort.
+    Both are whole numbers. They are packed into one decimal, so the aggregation stays a hash
+    aggregation with map-side partials; a struct would force a sort. A value beyond HALF or a
+    sequence beyond 10^18 raises an error.
     """
-    return (F.min(_packed(seq, value, span)) % F.lit(span).cast("decimal(13,0)")).cast("long")
+    return _value(F.min(_packed(seq, value)))
 
 
-def last_by(seq: Column, value: Column, span: int = 10**12) -> Column:
+def last_by(seq: Column, value: Column) -> Column:
     """Aggregate: the value at the largest `seq`, the largest value among ties."""
-    return (F.max(_packed(seq, value, span)) % F.lit(span).cast("decimal(13,0)")).cast("long")
+    return _value(F.max(_packed(seq, value)))
+
+
+def _packed(seq: Column, value: Column) -> Column:
+    whole = value.cast("decimal(19,0)")
+    inside = F.when((whole >= F.lit(Decimal(-HALF))) & (whole < F.lit(Decimal(HALF))), whole + F.lit(Decimal(HALF)))
+    checked = F.when(whole.isNull(), F.lit(None)).otherwise(F.coalesce(inside, F.raise_error(F.lit("value out of range")).cast("decimal(20,0)")))
+    return (seq.cast("decimal(18,0)") * F.lit(Decimal(2 * HALF)) + checked).cast("decimal(38,0)")
 
 
-def _packed(seq: Column, value: Column, span: int) -> Column:
-    wide = seq.cast("decimal(24,0)") * F.lit(span).cast("decimal(13,0)")
-    return (wide + value.cast("decimal(13,0)")).cast("decimal(38,0)")
+def _value(packed: Column) -> Column:
+    return (F.pmod(packed, F.lit(Decimal(2 * HALF))) - F.lit(Decimal(HALF))).cast("long")

@@ -41,17 +41,15 @@ EMA40 = ema_weights(40, 25)
 def weighted_last(c: Column, w: WindowSpec, weights: list[Decimal], scale: int = 3) -> Column:
     """Exact sum of weights[i] * c[t-i]; NULL unless all rows exist. Newest weight first.
 
-    Whole-number arithmetic on c * 10^scale and weights * 10^9, so the result has no
-    floating-point noise and rounds the same way everywhere.
+    Decimal arithmetic, so the result has no floating-point noise, rounds the same way
+    everywhere and holds every price that decimal(18, scale) does.
     """
-    n = len(weights)
-    whole = (c.cast(f"decimal(18,{scale})") * 10**scale).cast("long")
-    history = list_last(whole, w, n)
-    oldest_first = F.array(*[F.lit(int(x.scaleb(WEIGHT_DIGITS))) for x in reversed(weights)])
+    n, stored = len(weights), f"decimal(38,{WEIGHT_DIGITS + scale})"
+    history = list_last(c.cast(f"decimal(18,{scale})"), w, n)
+    oldest_first = F.array(*[F.lit(x).cast(f"decimal({WEIGHT_DIGITS + 1},{WEIGHT_DIGITS})") for x in reversed(weights)])
     products = F.zip_with(history, oldest_first, lambda value, weight: value * weight)
-    total = F.aggregate(products, F.lit(0).cast("long"), lambda acc, x: acc + x)
-    full = F.when(F.size(history) == n, total).cast("decimal(20,0)")
-    return full * F.lit(Decimal(1).scaleb(-(WEIGHT_DIGITS + scale)))
+    total = F.aggregate(products, F.lit(0).cast(stored), lambda acc, x: (acc + x).cast(stored))
+    return F.when(F.size(history) == n, total)
 
 
 def list_last(c: Column, w: WindowSpec, n: int) -> Column:

@@ -41,9 +41,11 @@ def rank_ties(df: DataFrame, part: str | None, order: Column, out: str) -> DataF
     return df.withColumn(out, F.rank().over(w))
 
 
-def rank_all(df: DataFrame, value: str, out: str = "rank", descending: bool = True, buckets: int = BUCKETS) -> DataFrame:
+def rank_all(df: DataFrame, value: str, out: str = "rank", descending: bool = True, buckets: int = BUCKETS, nulls_first: bool = False) -> DataFrame:
     """rank() of every row over the whole frame without sorting it in one task.
 
+    Rows without a value share one rank, behind all others or (`nulls_first`) before them.
+
     Rows collapse to (value, count) first, so ties cost nothing, however many rows share a
     value. The distinct values are cut at approximate quantiles into buckets of similar size;
     a running count over the buckets (at most `buckets` rows) gives each bucket its offset,
@@ -64,7 +66,10 @@ def rank_all(df: DataFrame, value: str, out: str = "rank", descending: bool = Tr
     inside = W.partitionBy("_b").orderBy(F.desc(value) if descending else F.asc(value))
     before = inside.rowsBetween(W.unboundedPreceding, -1)
     ranks = keyed.withColumn("_in", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(offsets, "_b")
-    return df.join(ranks.select(value, (F.col("_offset") + F.col("_in") + 1).alias(out)), value)
+    missing = df.where(F.col(value).isNull()).count() if nulls_first else 0
+    present = 0 if nulls_first else (counts.agg(F.sum("_n")).first()[0] or 0)
+    ranked = df.join(ranks.select(value, (F.col("_offset") + F.col("_in") + 1 + missing).alias(out)), value, "left")
+    return ranked.withColumn(out, F.coalesce(out, F.lit(present + 1).cast("long")))
 
 
 def lags(df: DataFrame, key: str, order: str, col: str, ns: list[int]) -> DataFrame:

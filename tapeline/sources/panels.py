@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.functions.numeric import dec, first_by, hundredths, last_by, ratio
+from tapeline.functions.numeric import dec, first_by, hundredths, last_by, money, ratio
 from tapeline.functions.series import by
 from tapeline.sources.files import table
 from tapeline.staging import stage
@@ -208,6 +208,10 @@ def _price(name: str) -> Column:
     return _text(hundredths(F.col(name)))
 
 
+def _sum(name: str) -> Column:
+    return _text(money(F.col(name)))
+
+
 def _dirty(pred: Column, text: Column, marker: str = "") -> Column:
     return F.when(pred, F.lit(marker)).otherwise(text)
 
@@ -228,7 +232,7 @@ def web_quote(totals: DataFrame) -> DataFrame:
         _price("c").alias("close_price"),
         _dirty(v % 29 == 0, _price("o")).alias("previous_close"),
         v.cast("string").alias("volume"),
-        _price("t").alias("turnover"),
+        _sum("t").alias("turnover"),
         _price("p").alias("market_cap"),
         _price("h").alias("ask"),
         _price("l").alias("bid"),

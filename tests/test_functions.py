@@ -89,3 +89,36 @@ def test_kth_smallest_is_null_when_short(spark):
     df = spark.createDataFrame([("a", 1, 5), ("a", 2, None), ("a", 3, 1), ("a", 4, 7)], "code string, load_date int, x int")
     got = rows(df.select("load_date", series.kth_smallest(F.col("x"), series.by(), 3, 2).alias("m")))
     assert got == [(1, None), (2, None), (3, 5), (4, 7)]
+
+
+def test_first_and_last_of_large_and_negative_values(spark):
+    from tapeline.functions.numeric import first_by, last_by
+
+    rows = [("a", 1, -5), ("a", 2, 5 * 10**12 + 7), ("b", 3, 4 * 10**18), ("b", 3, 9), ("b", 2, -(10**18))]
+    df = spark.createDataFrame(rows, "k string, s long, v long")
+    got = df.groupBy("k").agg(first_by(F.col("s"), F.col("v")).alias("f"), last_by(F.col("s"), F.col("v")).alias("l")).orderBy("k").collect()
+    assert [tuple(r) for r in got] == [("a", -5, 5 * 10**12 + 7), ("b", -(10**18), 4 * 10**18)]
+
+
+def test_weighted_last_of_large_prices(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import Window
+
+    from tapeline.functions.series import weighted_last
+
+    rows = [(1, i, Decimal(10**9 + i)) for i in range(3)]
+    df = spark.createDataFrame(rows, "k int, t int, p decimal(18,6)")
+    w = Window.partitionBy("k").orderBy("t")
+    half = [Decimal("0.5"), Decimal("0.5")]
+    got = df.select(weighted_last(F.col("p"), w, half, 6).alias("x")).collect()
+    assert [r["x"] for r in got] == [None, Decimal(10**9) + Decimal("0.5"), Decimal(10**9) + Decimal("1.5")]
+
+
+def test_rank_keeps_rows_without_a_value(spark):
+    from tapeline.operators.windows import rank_all
+
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 7), (4, None), (5, 5)], "i int, v int")
+    rank = lambda **kw: {r["i"]: r["rank"] for r in rank_all(df, "v", **kw).collect()}
+    assert rank() == {3: 1, 1: 2, 5: 2, 2: 4, 4: 4}
+    assert rank(nulls_first=True) == {2: 1, 4: 1, 3: 3, 1: 4, 5: 4}
