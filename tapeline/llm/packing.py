@@ -23,9 +23,9 @@ from tapeline.llm.common import staged, text_slices
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a task remembers from one slice of texts to the next, and those that its worker keeps for the
-#: next task: bounds on memory, not on results.
-REMEMBER, KEPT = 500_000, 60_000
+#: Words whose ids a task remembers from one slice of texts to the next, of which its worker keeps half for the next
+#: task: a bound on memory (about 200 bytes a word), not on results.
+REMEMBER = 1_000_000
 #: Words given to the tokenizer at once, and a word of one token that stands between them.
 JOINED, SEPARATOR = 200, "0"
 #: Pieces of one length are numbered in this many buckets at least, by as many tasks.
@@ -64,7 +64,7 @@ class WordTokenizer:
         self.place, self.start_of, self.size_of, self.flat = place, start_of, size_of, flat
         self.hits = np.zeros(len(place), np.int64)
 
-    def forget(self, keep: int = KEPT) -> None:
+    def forget(self, keep: int) -> None:
         """Keep the `keep` words that were met most often."""
         order = np.argsort(-self.hits, kind="stable")[:keep]
         order = np.unique(np.append(order[self.hits[order] > 1], 0))
@@ -102,12 +102,12 @@ class WordTokenizer:
         self.flat = np.append(self.flat, ids)
         self.hits = np.append(self.hits, np.zeros(len(words), np.int64))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str], remember: int = REMEMBER) -> list[np.ndarray]:
         # the tokenizer lowers all letters; of ASCII texts this is done here, so that fewer words differ
         split = [(text.lower() if text.isascii() else text).replace("\n", " ").split(" ") for text in texts]
         words = [w for own in split for w in own]
-        if len(self.place) > REMEMBER:
-            self.forget(REMEMBER // 2)
+        if len(self.place) > remember:
+            self.forget(remember // 2)
         at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
         if len(unknown := np.flatnonzero(at < 0).tolist()):
             missing = [words[i] for i in unknown]
@@ -124,7 +124,9 @@ class WordTokenizer:
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
-def tokenize(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def tokenize(
+    df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, remember: int = REMEMBER
+) -> DataFrame:
     """One row for each piece: id, piece, start, length, ids_crc32. A text's ids end with `end_id`; only longer ones are cut."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +135,7 @@ def tokenize(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         own = _tokenizers[path]
         for part, texts in text_slices(batches):
             owner, rows = [], []
-            for i, ids in enumerate(own.encode([t.decode() for t in texts])):
+            for i, ids in enumerate(own.encode([t.decode() for t in texts], remember)):
                 whole = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(whole), capacity)):
                     cut = whole[start : start + capacity]
@@ -141,7 +143,7 @@ def tokenize(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     rows.append((piece, start, len(cut), zlib.crc32(cut.tobytes())))
             arrays = [pa.array(list(x), kind) for x, kind in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(owner)), *arrays], [id_col, "piece", "start", "length", "ids_crc32"])
-        own.forget()
+        own.forget(remember // 2)
 
     kind = df.schema[id_col].dataType.simpleString()
     slim = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -249,7 +251,9 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[dict[str, np.nda
     return {name: table[:, i] for i, name in enumerate(names)}, sequence
 
 
-def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(
+    df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, remember: int = REMEMBER
+) -> DataFrame:
     """One row for each piece with its sequence_id and offset.
 
     Null texts count as empty: one piece that holds `end_id`. Ids of any type, repeated or null, pass
@@ -257,7 +261,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
     buckets whose counts are lined up, so a length that a third of all pieces share is
     numbered by many tasks. The driver sees `capacity` counts.
     """
-    pieces = staged(tokenize(df, path, id_col, text_col, capacity, end_id).withColumn("spread", F.xxhash64(id_col, "piece", "ids_crc32")))
+    pieces = staged(tokenize(df, path, id_col, text_col, capacity, end_id, remember).withColumn("spread", F.xxhash64(id_col, "piece", "ids_crc32")))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
