@@ -8,6 +8,7 @@ in bulk; the resulting plan deals out places to the numbered pieces of each leng
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -31,9 +32,28 @@ JOINED, SEPARATOR = 200, "0"
 #: Pieces of one length are numbered in this many buckets at least, by as many tasks.
 BUCKETS = 64
 
+#: Lower-case Latin-1 letters, which normalising leaves alone, and an end of ASCII punctuation, which is a token run of its own.
+LETTERS_AND_END = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]*)([!-/:-@\[-`{-~]*)").fullmatch
+
 Runs = tuple[tuple[int, int], ...]  # (length, copies) in a sequence
 
 
+def _latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of `flat` one after the other, and where each ends."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]))], ends
+
+
 class WordTokenizer:
     """Ids of a text, word by word. The tokenizer drops white space and never looks across it."""
 
@@ -48,7 +68,7 @@ class WordTokenizer:
         self.between = self._ids(SEPARATOR)
         if len(self.between) != 1:
             raise ValueError(f"{SEPARATOR!r} is not one token")
-        # for lower-case ASCII words there is nothing to normalise and only blanks to split at
+        # where LETTERS_AND_END matches there is nothing to normalise and only blanks to split at
         self.plain = Tokenizer.from_str(self.tokenizer.to_str())
         self.plain.encode_special_tokens = True
         self.plain.normalizer = normalizers.Sequence([])
@@ -70,41 +90,56 @@ class WordTokenizer:
         order = np.unique(np.append(order[self.hits[order] > 1], 0))
         words = list(self.place)
         sizes = self.size_of[order]
-        ends = np.cumsum(sizes)
-        ids = self.flat[np.repeat(self.start_of[order] - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
+        ids, ends = _gathered(self.flat, self.start_of[order], sizes)
         self._keep({words[w]: i for i, w in enumerate(order)}, ends - sizes, sizes, ids)
 
+    def _apart(self, words: list[str], tokenizer) -> np.ndarray:
+        """Ids of the words, joined by a word between them whose token none of them can give."""
+        line = f" {SEPARATOR} ".join
+        joined = [self._ids(line(["", *words[at : at + JOINED]]), tokenizer) for at in range(0, len(words), JOINED)]
+        return np.concatenate([np.empty(0, np.uint32), *joined])
+
     def _learn(self, words: list[str]) -> None:
-        """Many at once, with a word between them whose token none of them can give."""
-        simple, lines, rest, others = [], [], [], []
+        """Many at once. A word of letters and an end of punctuation has the ids of both, often known from other words."""
+        simple, ended, rest, others = [], [], [], []
         for word in words:
-            core = word.rstrip(".,!")
-            if core.isascii() and core.isalpha() and core.islower():
-                simple.append(word)
-                lines.append(f"{core} {word[len(core):]}")  # such an end is a token of its own
+            if parts := LETTERS_AND_END(word):
+                (simple if word in parts.groups() else ended).append(word)
             else:
                 (others if SEPARATOR in word else rest).append(word)
-        line = f" {SEPARATOR} ".join
-        joined = [self._ids(line(["", *lines[at : at + JOINED]]), self.plain) for at in range(0, len(lines), JOINED)]
-        joined += [self._ids(line(["", *rest[at : at + JOINED]])) for at in range(0, len(rest), JOINED)]
-        ids = np.concatenate([np.empty(0, np.uint32), *joined])
-        cuts = np.append(np.flatnonzero(ids == self.between[0]), len(ids))
-        starts, sizes = cuts[:-1] + 1, np.diff(cuts) - 1
+        halves = [half for word in ended for half in LETTERS_AND_END(word).groups()]
+        extra = list(set(halves).difference(self.place, simple))
+        ids = np.concatenate([self._apart(simple, self.plain), self._apart(rest, self.tokenizer)])
+        plus = self._apart(extra, self.plain)
+        cuts = [np.append(np.flatnonzero(x == self.between[0]), len(x)) for x in (ids, plus)]
+        starts, sizes = cuts[0][:-1] + 1, np.diff(cuts[0]) - 1
         if others:
             apart = [self._ids(w) for w in others]
             more = np.array([len(x) for x in apart])
             starts, sizes = np.append(starts, len(ids) + np.cumsum(more) - more), np.append(sizes, more)
             ids = np.concatenate([ids, *apart])
-        first = len(self.place)
-        self.place.update(zip(simple + rest + others, range(first, first + len(words))))
-        self.start_of = np.append(self.start_of, len(self.flat) + starts)
-        self.size_of = np.append(self.size_of, sizes)
-        self.flat = np.append(self.flat, ids)
+        first, known = len(self.place), len(self.place) + len(starts)
+        self.place.update(zip(simple + rest + others, range(first, known)))
+        start_of = [self.start_of, len(self.flat) + starts]
+        size_of = [self.size_of, sizes]
+        flat = [self.flat, ids]
+        if ended:
+            helpers = dict(zip(extra, range(known, known + len(extra))))
+            at = np.array([self.place[half] if half in self.place else helpers[half] for half in halves])
+            whole = np.concatenate([*flat, plus])
+            own = np.concatenate([*size_of, np.diff(cuts[1]) - 1])[at]
+            from_both, _ = _gathered(whole, np.concatenate([*start_of, len(self.flat) + len(ids) + cuts[1][:-1] + 1])[at], own)
+            sizes = own.reshape(-1, 2).sum(axis=1)
+            self.place.update(zip(ended, range(known, known + len(ended))))
+            start_of.append(len(whole) + np.cumsum(sizes) - sizes)
+            size_of.append(sizes)
+            flat = [whole, from_both]
+        self.start_of, self.size_of, self.flat = (np.concatenate(x) for x in (start_of, size_of, flat))
         self.hits = np.append(self.hits, np.zeros(len(words), np.int64))
 
     def encode(self, texts: list[str], remember: int = REMEMBER) -> list[np.ndarray]:
-        # the tokenizer lowers all letters; of ASCII texts this is done here, so that fewer words differ
-        split = [(text.lower() if text.isascii() else text).replace("\n", " ").split(" ") for text in texts]
+        # the tokenizer lowers all letters; of Latin-1 texts this is done here, so that fewer words differ
+        split = [(text.lower() if _latin(text) else text).replace("\n", " ").split(" ") for text in texts]
         words = [w for own in split for w in own]
         if len(self.place) > remember:
             self.forget(remember // 2)
@@ -114,9 +149,7 @@ class WordTokenizer:
             self._learn(list(set(missing)))
             at[unknown] = np.fromiter(map(self.place.__getitem__, missing), np.int64, len(missing))
         np.add.at(self.hits, at, 1)
-        sizes = self.size_of[at]
-        ends = np.cumsum(sizes)
-        flat = self.flat[np.repeat(self.start_of[at] - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
+        flat, ends = _gathered(self.flat, self.start_of[at], self.size_of[at])
         last = np.cumsum([len(own) for own in split])
         return np.split(flat, ends[last[:-1] - 1])
 
