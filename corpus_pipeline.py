@@ -20,7 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
 #: The packing stage shares its Python workers with other stages, so it remembers fewer words than the operator alone.
-WORDS_HELD = 400_000
+WORDS_HELD = 200_000
 
 _of_last_stage: list[str] = []
 
