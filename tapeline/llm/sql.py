@@ -12,4 +12,38 @@ FROM documents
 WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLES = {"op2_exact_dedup": EXACT_DEDUP}
+LINE_RULES = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents
+), w AS (
+  SELECT *, [x FOR x IN string_split_regex(body, '[\x20\x09-\x0D]+') IF x <> ''] AS words,
+    [x FOR x IN string_split(body, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+  FROM d
+), win AS (
+  SELECT rid, i, array_to_string(words[i : i + 7], ' ') AS said FROM w, unnest(range(1, len(words) - 6)) AS t(i) WHERE len(words) >= 8
+), twice AS (
+  SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, said) > 1
+), steps AS (
+  SELECT rid, least(8, coalesce(i - lag(i) OVER (PARTITION BY rid ORDER BY i), 8)) AS fresh FROM twice
+), repeated AS (
+  SELECT rid, sum(fresh) AS n FROM steps GROUP BY rid
+), counted AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    [x FOR x IN lines
+     IF regexp_matches(x, '[.!?…。！？]["\''”’»)\]]*([\x20\x09-\x0D]|$)')
+     AND 100 * (length(x) - length(regexp_replace(x, '[#*$%&|<>!]', '', 'g'))) <= 50 * len([y FOR y IN string_split_regex(x, '[\x20\x09-\x0D]+') IF y <> ''])
+     AND NOT regexp_matches(x, '(\||»|›|>>).*(\||»|›|>>)|(\||»|›|>>)[\x20\x09-\x0D]*$')
+     AND NOT regexp_matches(lower(x), 'all rights reserved|cookie|privacy policy|terms of (use|service)|click here|sign up|log in|subscribe|javascript|lorem ipsum|read more|share (this|on)|back to top|skip to')
+    ] AS good
+  FROM w LEFT JOIN repeated USING (rid)
+), judged AS (
+  SELECT * EXCLUDE (good), n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    length(regexp_replace(array_to_string(good, ''), '[\x20\x09-\x0D]', '', 'g')) AS kept_chars
+  FROM counted
+)
+SELECT *, NOT base_failed AND 100 * kept_chars >= 50 * word_chars AS kept FROM judged
+"""
+
+ORACLES = {"op2_exact_dedup": EXACT_DEDUP, "op6_line_rules": LINE_RULES}

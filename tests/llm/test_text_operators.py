@@ -11,12 +11,15 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import duckdb
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 from xxhash import xxh64_intdigest
 
 from tapeline.llm import bpe, chat, exact_dedup, licenses, lm, packing, quality, sharding, simhash, suffix_dedup
+from tapeline.llm.queries import QUERIES
+from tapeline.llm.sql import ORACLES
 from tapeline.llm.components import connected_components
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -373,3 +376,13 @@ def test_chat(spark):
     assert r["rendered"][start:stop] == "Hi<|end|>" and r["n_trained"] == 9 and r["n_turns"] == 3
     assert got[1, "bob", 1]["mask"] == "" and got[1, "bob", 1]["n_trained"] == 0
     assert chat.rotate(df.limit(0)).count() == 0
+
+
+def test_queries_against_their_sql(spark, sf):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for name, text in ORACLES.items():
+        cursor = con.execute(text)
+        names = [d[0] for d in cursor.description]
+        want = sorted(cursor.fetchall())
+        assert want and sorted(tuple(r) for r in QUERIES[name](spark, sf).select(*names).collect()) == want, name
