@@ -50,11 +50,7 @@ for _i, _c in enumerate(CUTOFFS):
 )
 def intraday_bars(spark: SparkSession, sf: str) -> DataFrame:
     ticks = typed_ticks(panels.web_ticker(spark, sf))
-    out = None
-    for c in CUTOFFS:
-        one = intraday.intraday_bars(ticks, c).select(F.lit(c).alias("cutoff"), "*")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return intraday.bars_by_cutoff(ticks, CUTOFFS)
 
 
 # Candles of the provisional bar in ten-thousandths.

@@ -273,18 +273,18 @@ def first_titles(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "build_transactions",
-    f"""
+    """
 SELECT f.code, f.load_date, f.close::DOUBLE AS close, s.short_position, coalesce(x.sentiment, 0) AS sentiment, coalesce(x.weight, 0) AS weight
 FROM t_finance f LEFT JOIN t_short s ON f.code = s.code AND f.load_date = s.load_date
 LEFT JOIN (SELECT p_brand AS code, l_shipdate::DATE AS load_date, round(avg(l_tax), 6) AS sentiment, count(*) AS weight FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_tax > 0.04 GROUP BY 1, 2) x
-  ON f.code = x.code AND f.load_date = x.load_date WHERE f.load_date <= DATE '{ASOF}'""",
+  ON f.code = x.code AND f.load_date = x.load_date""",
 )
 def build_transactions(spark: SparkSession, sf: str) -> DataFrame:
     totals = panels.totals_table(spark, sf)
     part = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("code"))
     taxed = table(spark, sf, "lineitem").where("l_tax > 0.04").join(part, F.col("l_partkey") == F.col("p_partkey"))
     sentiment = loading.sentiment_agg(taxed.select("code", F.col("l_shipdate").cast("date").alias("load_date"), F.col("l_tax").alias("sentiment")))
-    finance = loading.finance_update(panels.web_finance(totals)).where(F.col("load_date") <= as_date(ASOF))
+    finance = loading.finance_update(panels.web_finance(totals))
     out = loading.build_transactions(finance, loading.shorts_update(panels.web_short(totals)), sentiment)
     return out.select("code", "load_date", "close", "short_position", F.round("sentiment", 6).alias("sentiment"), "weight")
 

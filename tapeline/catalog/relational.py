@@ -263,13 +263,10 @@ SELECT t.code, t.load_date, count(*) AS n, round(avg(CASE WHEN e.close > e.open
 FROM (SELECT * FROM d_bars WHERE close > pclose * 3) t JOIN d_bars e ON t.code = e.code AND e.load_date BETWEEN t.load_date - 84 AND t.load_date GROUP BY 1, 2""",
 )
 def price_lookback(spark: SparkSession, sf: str) -> DataFrame:
-    bars = panels.quotes_table(spark, sf)
-    jumps = bars.where(F.col("close") > F.col("pclose") * 3).select("code", "load_date", F.date_sub("load_date", 84).alias("lo"))
-    points = bars.select("code", F.col("load_date").alias("day"), "open", "close")
-    pairs = joins.range_join(jumps, points, "code", "day", "lo", "load_date", 91)
-    return pairs.groupBy("code", "load_date").agg(
-        F.count("*").alias("n"), F.round(F.avg(F.when(F.col("close") > F.col("open"), 1.0).otherwise(0.0)), 6).alias("up_share")
-    )
+    up = F.when(F.col("close") > F.col("open"), 1.0).otherwise(0.0)
+    bars = panels.quotes(spark, sf).select("code", "load_date", (F.col("close") > F.col("pclose") * 3).alias("jump"), up.alias("up"))
+    seen = joins.look_back(bars, "code", "load_date", 84, n=F.count("*"), up_share=F.avg("up"))
+    return seen.where("jump").select("code", "load_date", "n", F.round("up_share", 6).alias("up_share"))
 
 
 @query(

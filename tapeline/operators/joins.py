@@ -65,14 +65,24 @@ def range_join(left: DataFrame, right: DataFrame, key: str, date: str, lo: str,
     return spans.join(points, [key, "_b"]).where((F.col(date) >= F.col(lo)) & (F.col(date) <= F.col(hi))).drop("_b")
 
 
-def fill_from_next(df: DataFrame, key: str, date: str, cols: list[str], present: Column) -> DataFrame:
-    """Rows where `present` fails take all columns from the next row of the key where it holds.
+def look_back(df: DataFrame, key: str, date: str, days: int, **aggs: Column) -> DataFrame:
+    """Range join of a table with itself over the last `days` days: one range frame, no join."""
+    frame = W.partitionBy(key).orderBy(F.unix_date(date)).rangeBetween(-days, 0)
+    return df.select("*", *[agg.over(frame).alias(name) for name, agg in aggs.items()])
 
-    Read newest first, so the frame only grows and each key costs one pass.
+
+def fill_from_next(df: DataFrame, key: str, date: str, cols: list[str], fills: Column, missing: Column | None = None) -> DataFrame:
+    """Rows where `missing` holds take all columns from the next row of the key where `fills` holds.
+
+    By default a row is missing where it cannot fill. A row that is neither keeps its own values; a
+    missing row without a later one that fills drops out. Read newest first, so the frame only
+    grows and each key costs one pass.
     """
     back = W.partitionBy(key).orderBy(F.desc(date)).rowsBetween(W.unboundedPreceding, 0)
-    box = F.when(present, F.struct(*cols))
-    out = df.withColumn("_box", F.last(box, ignorenulls=True).over(back)).where("_box IS NOT NULL")
+    lacks = ~F.coalesce(fills, F.lit(False)) if missing is None else missing
+    found = F.last(F.when(fills, F.struct(*cols)), ignorenulls=True).over(back)
+    out = df.withColumn("_found", found).withColumn("_box", F.when(lacks, F.col("_found")).otherwise(F.struct(*cols)))
+    out = out.drop("_found").where("_box IS NOT NULL")
     return out.select(key, date, *[F.col(f"_box.{c}").alias(c) for c in cols], *[c for c in df.columns if c not in (key, date, *cols)])
 
 

@@ -51,7 +51,12 @@ def clamp(df: DataFrame, col: str, lo: float | None, hi: float | None) -> DataFr
 def trading_time(df: DataFrame, ts: str, cutoff: str | None = None) -> DataFrame:
     """Rows on Monday to Friday, up to a time of day `HH:mm:ss`."""
     out = df.where(F.weekday(F.col(ts).cast("date")) < 5)
-    return out if cutoff is None else out.where(F.date_format(ts, "HH:mm:ss.SSSSSS") <= f"{cutoff}.000000")
+    return out if cutoff is None else out.where(up_to(F.col(ts), cutoff))
+
+
+def up_to(ts: Column, cutoff: str) -> Column:
+    """Is the time of day not later than `HH:mm:ss`?"""
+    return F.date_format(ts, "HH:mm:ss.SSSSSS") <= f"{cutoff}.000000"
 
 
 def since(df: DataFrame, date_col: str, d: Column, days: int = 0, months: int = 0) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tapeline.operators.windows import latest_per_key
+from tapeline.operators.windows import latest_per_key, newest_dates
 from tapeline.staging import stage
 
 
@@ -74,8 +74,7 @@ def backup_snapshot(df: DataFrame, path: str, stamp: Column | None = None) -> No
 
 def keep_last_n_dates(df: DataFrame, date: str, n: int = 30) -> DataFrame:
     """Rows of the n newest dates; older ones are pruned."""
-    days = df.select(date).distinct().orderBy(F.desc(date)).limit(n)
-    return df.join(days, date, "left_semi")
+    return newest_dates(df, date, n)
 
 
 def open_batches(landing: DataFrame, control: DataFrame) -> DataFrame:

@@ -61,10 +61,10 @@ def instances(web_finance: DataFrame, min_volume: int = 50_000, min_target: floa
     return scored.withColumn("ranking", F.row_number().over(W.partitionBy("load_date").orderBy(F.desc(total), "code")))
 
 
-def nth_newest_list(ranked: DataFrame, days: DataFrame, back: int) -> DataFrame:
-    """code, ranking of the day `back` trading days before the newest."""
-    day = days.where(F.col("rnum") == back + 1).select("load_date")
-    return ranked.join(day, "load_date", "left_semi").select("code", "ranking")
+def newest_lists(ranked: DataFrame, days: DataFrame, most: int) -> DataFrame:
+    """back, code, ranking of each of the newest days, in one pass."""
+    recent = days.where(F.col("rnum") <= most).select("load_date", (F.col("rnum") - 1).alias("back"))
+    return ranked.join(recent, "load_date").select("back", "code", "ranking")
 
 
 def ranking_table(ranked: DataFrame, days: DataFrame, top: int = 10, back: int = 4) -> DataFrame:

@@ -5,6 +5,7 @@ The cut-offs 12:30, 13:45 and 15:00 differ in nothing but the time.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,7 @@ from tapeline.functions.numeric import dec, first_by, last_by
 from tapeline.functions.series import EMA15, EMA40, by, weighted_last
 from tapeline.functions.text import joined
 from tapeline.operators.joins import pair_next
-from tapeline.operators.rows import trading_time
+from tapeline.operators.rows import trading_time, up_to
 from tapeline.operators.tables import overlay
 from tapeline.operators.windows import latest_per_key
 from tapeline.plans import daily, market_index, views
@@ -52,10 +53,19 @@ def tick_bars(ticks: DataFrame, *keys: Column | str) -> DataFrame:
 
 def intraday_bars(ticks: DataFrame, cutoff: str) -> DataFrame:
     """Bars of the newest weekday from ticks up to the cut-off."""
+    return bars_by_cutoff(ticks, (cutoff,)).drop("cutoff")
+
+
+def bars_by_cutoff(ticks: DataFrame, cutoffs: Sequence[str]) -> DataFrame:
+    """Bars of the newest weekday from ticks up to each cut-off, all in one grouping.
+
+    A tick counts for every cut-off it is not later than; partial sums take it up in its own task.
+    """
     day = F.col("tick_ts").cast("date")
     newest = trading_time(ticks, "tick_ts").agg(F.max(day)).scalar()
-    rows = trading_time(ticks, "tick_ts", cutoff).where(day == newest)
-    bars = tick_bars(rows, "code", day.alias("load_date"))
+    rows = trading_time(ticks, "tick_ts").where(day == newest)
+    reached = F.array_compact(F.array(*[F.when(up_to(F.col("tick_ts"), c), F.lit(c)) for c in cutoffs]))
+    bars = tick_bars(rows.withColumn("cutoff", F.explode(reached)), "cutoff", "code", day.alias("load_date"))
     high, low, open_, close = (F.col(c) for c in ("high", "low", "open", "close"))
     return bars.select(
         "*", dec((high + low + close) / 3, 4, 14).alias("typ3"), dec((high + low + open_ + close) / 4, 4, 14).alias("typ4")

@@ -19,8 +19,8 @@ PRICES = ("open", "low", "high", "close", "typ3", "typ4")
 def index_components(bars: DataFrame, d: DateLike, days: int = 40, min_rows: int = 36, top: int = 300) -> DataFrame:
     """Prices of the largest codes over the last days, rebased to today's close, with cap weights (%).
 
-    A code needs `min_rows` rows in the period and a row today. Missing days take the next
-    present bar of the code.
+    A code needs `min_rows` rows in the period and a row today. Days without open and
+    close take the next bar of the code that has both.
     """
     day = as_date(d)
     upto = bars.where(F.col("load_date") <= day)
@@ -33,7 +33,8 @@ def index_components(bars: DataFrame, d: DateLike, days: int = 40, min_rows: int
     weights = largest.select("code", "match_price", dec(ratio(F.col("market_cap"), total) * 100, 4, 9).alias("weight_ratio"))
     cols = [*PRICES, "volume", "turnover", "market_cap"]
     grid = densify(weights.select("code"), newest, "load_date").join(period.select("code", "load_date", *cols), ["code", "load_date"], "left")
-    whole = fill_from_next(grid, "code", "load_date", cols, F.col("open").isNotNull() | F.col("close").isNotNull())
+    has_open, has_close = F.col("open").isNotNull(), F.col("close").isNotNull()
+    whole = fill_from_next(grid, "code", "load_date", cols, has_open & has_close, ~has_open & ~has_close)
     out = whole.join(weights, "code")
     return out.select(
         "code",

@@ -73,6 +73,21 @@ def test_fill_from_next(spark):
     assert rows(joins.fill_from_next(df, "code", "d", ["x"], F.col("x").isNotNull())) == [("a", 1, 5), ("a", 2, 5), ("a", 3, 7), ("a", 4, 7)]
 
 
+def test_half_empty_rows_neither_fill_nor_take(spark):
+    df = spark.createDataFrame([("a", 1, None, None), ("a", 2, 5, None), ("a", 3, 6, 7), ("a", 4, None, None)], "code string, d int, o int, c int")
+    o, c = F.col("o").isNotNull(), F.col("c").isNotNull()
+    got = joins.fill_from_next(df, "code", "d", ["o", "c"], o & c, ~o & ~c)
+    assert rows(got) == [("a", 1, 6, 7), ("a", 2, 5, None), ("a", 3, 6, 7)]
+
+
+def test_look_back_equals_the_range_join(spark):
+    days = [("a", f"2001-01-{d:02d}", d % 5) for d in range(1, 29, 2)] + [("b", "2001-01-03", 1)]
+    df = spark.createDataFrame(days, "code string, day string, x int").withColumn("day", F.col("day").cast("date"))
+    spans = df.select("code", F.col("day").alias("hi"), F.date_sub("day", 6).alias("lo"))
+    joined = joins.range_join(spans, df, "code", "day", "lo", "hi", 7).groupBy("code", "hi").agg(F.count("*"), F.sum("x"))
+    assert rows(joins.look_back(df, "code", "day", 6, n=F.count("*"), s=F.sum("x")).drop("x")) == rows(joined)
+
+
 def test_pair_next_is_strictly_later(spark):
     # A one-row swing is entry and exit at once; its partner is the exit of the next swing.
     df = spark.createDataFrame([("a", d, e, x) for d, e, x in [(1, True, True), (2, False, False), (3, True, False), (4, False, True), (5, True, False)]], "code string, d int, e boolean, x boolean")
