@@ -21,6 +21,26 @@ def fragment(name: str, sql: str) -> None:
     FRAGMENTS[name] = sql
 
 
+def at_other_day(name: str, day: str, other: str, suffix: str = "_y") -> str:
+    """Name of a copy of fragment `name` that reads `other` for `day`, resting on copies of all that names `day`."""
+
+    def moves(n: str) -> bool:
+        text = FRAGMENTS[n]
+        return day in text or any(m != n and re.search(rf"\b{m}\b", text) and moves(m) for m in list(FRAGMENTS))
+
+    def copy(n: str) -> str:
+        if n + suffix not in FRAGMENTS:
+            text = FRAGMENTS[n].replace(day, other)
+            for m in [m for m in list(FRAGMENTS) if re.search(rf"\b{m}\b", text) and (m == n or moves(m))]:
+                text = re.sub(rf"\b{m}\b", m + suffix, text)
+                if m != n:
+                    copy(m)
+            fragment(n + suffix, text)
+        return n + suffix
+
+    return copy(name)
+
+
 def with_fragments(sql: str) -> str:
     """Prefix `sql` with every fragment it needs, in dependency order."""
     ordered: list[str] = []

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeline.catalog.duck import ASOF, DAY
 from tapeline.catalog.daily import _classes
-from tapeline.catalog.registry import fragment, query
+from tapeline.catalog.registry import at_other_day, fragment, query
 from tapeline.operators.folds import parabolic_sar, smoothed_candles
 from tapeline.plans import daily, loading, market_index, rankings, reports, views
 from tapeline.plans.daily import as_date
@@ -55,6 +55,10 @@ def run_for(spark: SparkSession, sf: str, with_text: bool = False) -> DailyRun:
     return DailyRun(panels.quotes_of(totals), panels.categories, ASOF, SETTINGS, **extra)
 
 
+#: The trading day before ASOF, for the check SQL; the plans find it themselves.
+DAY_BEFORE = "DATE '2001-06-28'"
+
+
 # --- rankings ---------------------------------------------------------------------------
 
 fragment(
@@ -519,14 +523,14 @@ def daily_summary(spark: SparkSession, sf: str) -> DataFrame:
     f"""
 SELECT s.category, s.code, s.price::VARCHAR AS price, s.ema25, coalesce(s.sar_buff || '~' || (round(avg_diff + std_diff, 2)::DECIMAL(9,2))::VARCHAR || '%', 'NULL') AS sar_buff, s.trend, coalesce(s.rec, 'NULL') AS rec,
   coalesce((financial_healthy::DECIMAL(3,2))::VARCHAR, 'NULL') AS financial_healthy, coalesce((pe_ranking::DECIMAL(4,3))::VARCHAR, 'NULL') AS pe_ranking,
-  CASE WHEN s.code = 'Brand#1' OR coalesce(s.sar_buff[:-2]::DOUBLE < avg_diff + std_diff, FALSE) THEN 'true' ELSE 'false' END AS watch_point
+  CASE WHEN s.code NOT IN (SELECT code FROM {at_other_day("r_sum", DAY, DAY_BEFORE)}) OR coalesce(s.sar_buff[:-2]::DOUBLE < avg_diff + std_diff, FALSE) THEN 'true' ELSE 'false' END AS watch_point
 FROM r_sum s JOIN d_mr m ON s.code = m.code""",
 )
 def daily_mail(spark: SparkSession, sf: str) -> DataFrame:
     r = run_for(spark, sf, with_text=True)
     today = reports.daily_summary(r, reports.daily_long_list(r))
-    previous = today.where(F.col("code") != "Brand#1")
-    return reports.daily_mail(today, previous, r.ranges)
+    before = r.day_before()
+    return reports.daily_mail(today, reports.daily_summary(before, reports.daily_long_list(before)), r.ranges)
 
 
 def _text(*parts: str) -> str:
@@ -536,7 +540,7 @@ def _text(*parts: str) -> str:
 def summary_sql(side: str, gap_down: str) -> str:
     stop = f"CASE WHEN s.ud_trend = 'down' THEN round({gap_down}, 3)::DECIMAL(9,3) ELSE round((s.n_sar::DOUBLE / e.price::DOUBLE - 1) * 100, 3)::DECIMAL(9,3) END"
     return f"""
-WITH t AS (SELECT * FROM full_{side}), y AS (SELECT category, code, total_ranking, category_ranking FROM cur_ema_ha_{side}),
+WITH t AS (SELECT * FROM full_{side}), y AS (SELECT category, code, total_ranking, category_ranking FROM {at_other_day("full_" + side, DAY, DAY_BEFORE)}),
 l AS (SELECT coalesce(t.category, y.category) AS category, coalesce(t.code, y.code) AS code, t.total_ranking, y.total_ranking AS lt, t.category_ranking, y.category_ranking AS lc FROM t FULL JOIN y ON t.code = y.code)
 SELECT {_text("l.category", "'('", "CASE WHEN i.ema25 <= i.ema10 THEN '+' WHEN i.ema25 IS NULL THEN NULL ELSE '-' END", "', '", "CASE WHEN i.h_open <= i.h_close THEN '+' WHEN i.h_open IS NULL THEN NULL ELSE '-' END", "','", "CASE WHEN i.s_open <= i.s_close THEN '-' WHEN i.s_open IS NULL THEN NULL ELSE '+' END", "')'")} AS category,
   l.code, e.price::DOUBLE AS price, {_text("l.total_ranking", "'('", "l.category_ranking", "')/'", "l.lt", "'('", "l.lc", "')'")} AS ranking, e.indicator AS option, h.status, h.sequence AS trend,
@@ -551,7 +555,16 @@ LEFT JOIN v_sht b ON l.code = b.code LEFT JOIN d_mr m ON l.code = m.code LEFT JO
 @query("long_summary_report", summary_sql("long_end", "(1 - s.n_sar::DOUBLE / e.price::DOUBLE) * 100"))
 def long_summary_report(spark: SparkSession, sf: str) -> DataFrame:
     r = run_for(spark, sf, with_text=True)
-    return reports.summary_report(r, "long_end", r.full_list("long_end"), r.current("ema", "ha", "long_end"))
+    return reports.summary_report(r, "long_end", r.full_list("long_end"), r.day_before().full_list("long_end"))
+
+
+@query(
+    "long_summary_page",
+    f"SELECT * EXCLUDE (rnum, cnum) FROM ({summary_sql('long_end', '(1 - s.n_sar::DOUBLE / e.price::DOUBLE) * 100')}) WHERE rnum <= 70 AND cnum <= 6",
+)
+def long_summary_page(spark: SparkSession, sf: str) -> DataFrame:
+    r = run_for(spark, sf, with_text=True)
+    return reports.summary_page(reports.summary_report(r, "long_end", r.full_list("long_end"), r.day_before().full_list("long_end")))
 
 
 @query(
@@ -560,17 +573,20 @@ def long_summary_report(spark: SparkSession, sf: str) -> DataFrame:
 )
 def short_summary_page(spark: SparkSession, sf: str) -> DataFrame:
     r = run_for(spark, sf, with_text=True)
-    return reports.summary_page(reports.summary_report(r, "short_end", r.full_list("short_end"), r.current("ema", "ha", "short_end")))
+    return reports.summary_page(reports.summary_report(r, "short_end", r.full_list("short_end"), r.day_before().full_list("short_end")))
 
 
 @query(
     "index_flags",
-    """
-SELECT c.category, c.load_date, CASE WHEN c.s_close >= 1 THEN '+' ELSE '-' END AS daily_perf, CASE WHEN c.h_close >= c.h_open THEN '++' ELSE '--' END AS ha, CASE WHEN c.ema10 >= c.ema25 THEN '++' ELSE '--' END AS ema FROM ix_dir c""",
+    f"""
+SELECT c.category, c.load_date, CASE WHEN c.s_close >= p.s_close THEN '+' ELSE '-' END AS daily_perf,
+  CASE WHEN p.h_close >= p.h_open THEN '+' ELSE '-' END || CASE WHEN c.h_close >= c.h_open THEN '+' ELSE '-' END AS ha,
+  CASE WHEN p.ema10 >= p.ema25 THEN '+' ELSE '-' END || CASE WHEN c.ema10 >= c.ema25 THEN '+' ELSE '-' END AS ema
+FROM ix_dir c LEFT JOIN {at_other_day("ix_dir", DAY, DAY_BEFORE)} p ON c.category = p.category""",
 )
 def index_flags(spark: SparkSession, sf: str) -> DataFrame:
-    index = run_for(spark, sf).index
-    return market_index.index_flags(index, index.withColumn("s_close", F.lit(1.0)))
+    r = run_for(spark, sf)
+    return market_index.index_flags(r.index, r.day_before().index)
 
 
 _COUNTS = {

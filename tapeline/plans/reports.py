@@ -57,6 +57,11 @@ class DailyRun:
         self.shorts, self.announcements, self._analysis = shorts, announcements, analysis
         self._lookbacks: dict[tuple[str, str], DataFrame] = {}
 
+    def day_before(self) -> DailyRun:
+        """The run of the previous trading day, from the same inputs."""
+        last = self.bars.where(F.col("load_date") < self.day).agg(F.max("load_date")).first()[0]
+        return DailyRun(self._bars, self._categorise, str(last), self.settings, self.shorts, self.announcements, self._analysis)
+
     @cached_property
     def bars(self) -> DataFrame:
         return stage(self._bars.where(F.col("load_date") <= self.day))
