@@ -9,18 +9,18 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
-import duckdb
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 from xxhash import xxh64_intdigest
 
 from tapeline.llm import bpe, chat, exact_dedup, licenses, lm, packing, quality, sharding, simhash, suffix_dedup
+from tapeline.llm.components import connected_components
 from tapeline.llm.queries import QUERIES
 from tapeline.llm.sql import ORACLES
-from tapeline.llm.components import connected_components
 
 WORD = r"[^\x20\x09-\x0D]+"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
