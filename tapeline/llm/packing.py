@@ -55,7 +55,11 @@ def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[
 
 
 class WordTokenizer:
-    """Ids of a text, word by word. The tokenizer drops white space and never looks across it."""
+    """Ids of a text, word by word. The tokenizer drops white space and never looks across it.
+
+    Its added tokens (marks such as <|endoftext|>) are found in the text as it is written, before it is lowered;
+    words that hold one are known by their text after a blank and go to the whole tokenizer one by one.
+    """
 
     def __init__(self, path: str) -> None:
         import os
@@ -64,6 +68,11 @@ class WordTokenizer:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.marks = [t.content for t in added]
+        if any(t.normalized or [t.content] != t.content.split() for t in added):
+            raise ValueError("an added token holds white space or is looked for in normalised text")
+        # a word that only becomes a mark by lowering is none; _marked lifts this for words that hold one
         self.tokenizer.encode_special_tokens = True
         self.between = self._ids(SEPARATOR)
         if len(self.between) != 1:
@@ -79,6 +88,21 @@ class WordTokenizer:
     def _ids(self, text: str, tokenizer=None) -> np.ndarray:
         return np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
+    def _marked(self, word: str) -> np.ndarray:
+        self.tokenizer.encode_special_tokens = False
+        try:
+            return self._ids(word)
+        finally:
+            self.tokenizer.encode_special_tokens = True
+
+    def _split(self, text: str) -> list[str]:
+        # the tokenizer lowers all letters; of Latin-1 texts this is done here, so that fewer words differ
+        latin = _latin(text)
+        if not any(mark in text for mark in self.marks):
+            return (text.lower() if latin else text).replace("\n", " ").split(" ")
+        words = text.replace("\n", " ").split(" ")
+        return [" " + w if any(mark in w for mark in self.marks) else w.lower() if latin else w for w in words]
+
     def _keep(self, place: dict[str, int], start_of: np.ndarray, size_of: np.ndarray, flat: np.ndarray) -> None:
         """The words known (their place), where their ids start in `flat`, and how many there are."""
         self.place, self.start_of, self.size_of, self.flat = place, start_of, size_of, flat
@@ -106,7 +130,7 @@ class WordTokenizer:
             if parts := LETTERS_AND_END(word):
                 (simple if word in parts.groups() else ended).append(word)
             else:
-                (others if SEPARATOR in word else rest).append(word)
+                (others if SEPARATOR in word or word[0] == " " else rest).append(word)
         halves = [half for word in ended for half in LETTERS_AND_END(word).groups()]
         extra = list(set(halves).difference(self.place, simple))
         ids = np.concatenate([self._apart(simple, self.plain), self._apart(rest, self.tokenizer)])
@@ -114,7 +138,7 @@ class WordTokenizer:
         cuts = [np.append(np.flatnonzero(x == self.between[0]), len(x)) for x in (ids, plus)]
         starts, sizes = cuts[0][:-1] + 1, np.diff(cuts[0]) - 1
         if others:
-            apart = [self._ids(w) for w in others]
+            apart = [self._marked(w[1:]) if w[0] == " " else self._ids(w) for w in others]
             more = np.array([len(x) for x in apart])
             starts, sizes = np.append(starts, len(ids) + np.cumsum(more) - more), np.append(sizes, more)
             ids = np.concatenate([ids, *apart])
@@ -138,8 +162,7 @@ class WordTokenizer:
         self.hits = np.append(self.hits, np.zeros(len(words), np.int64))
 
     def encode(self, texts: list[str], remember: int = REMEMBER) -> list[np.ndarray]:
-        # the tokenizer lowers all letters; of Latin-1 texts this is done here, so that fewer words differ
-        split = [(text.lower() if _latin(text) else text).replace("\n", " ").split(" ") for text in texts]
+        split = [self._split(text) for text in texts]
         words = [w for own in split for w in own]
         if len(self.place) > remember:
             self.forget(remember // 2)
