@@ -16,7 +16,9 @@ and no task needs a sorted neighbour from another one. Three passes:
    out: the window that starts at each byte, by the hash of all its bytes. All but the earliest
    of a group are repeats.
 
-Hashes have 96 bits: a 64-bit key, which deals the rows out, and a 32-bit tag from a second function.
+The 64-bit key, which deals the rows out, covers the block of an anchor or all bytes of a window; the 64-bit tag,
+from a second function, covers all that an anchor reaches, or the window again. So reaches around one block are told
+apart by 64 bits, and windows by 128.
 """
 
 from __future__ import annotations
@@ -42,8 +44,8 @@ COMMON = 32
 MAX_SLOTS = 1 << 27
 
 ANCHOR, MARK, WINDOW, SPAN = 0, 1, 2, 3
-ROW = "kind byte, key long, tag int, doc long, at int, till int"
-_ROW = [("kind", pa.int8()), ("key", pa.int64()), ("tag", pa.int32()), ("doc", pa.int64()), ("at", pa.int32()), ("till", pa.int32())]
+ROW = "kind byte, key long, tag long, doc long, at int, till int"
+_ROW = [("kind", pa.int8()), ("key", pa.int64()), ("tag", pa.int64()), ("doc", pa.int64()), ("at", pa.int32()), ("till", pa.int32())]
 
 _random = np.random.default_rng(20240607)
 _CODES = _random.integers(0, 1 << 64, (2, 256), np.uint64, endpoint=False) | np.uint64(1)
@@ -106,7 +108,7 @@ def anchors(data: np.ndarray, ends: np.ndarray, threshold: int, gram: int) -> tu
     The windows filed under an anchor start one after another; start to stop is all that they
     reach, and the tag covers these bytes.
     """
-    empty = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int32)
+    empty = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
     if len(data) < threshold:
         return empty
     whole = Bytes(data)
@@ -128,7 +130,7 @@ def anchors(data: np.ndarray, ends: np.ndarray, threshold: int, gram: int) -> tu
         low = np.where(held, start, low)
         high = np.where(held, np.maximum(high, start + threshold), high)
     tag = whole.hash(1, low, high) ^ _mixed(((at - low) << 32 | (high - at)).astype(np.uint64))
-    return low, high, own, (tag >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return low, high, own, tag.view(np.int64)
 
 
 def _batch(kind: int, n: int, **columns: np.ndarray) -> pa.RecordBatch:
@@ -189,7 +191,7 @@ def _window_rows(texts: list[bytes], docs: np.ndarray, reaches: list[tuple[np.nd
     if not found:
         return []
     doc, at, key, tag = (np.concatenate(x) for x in zip(*found))
-    tag = (tag >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    tag = tag.view(np.int64)
     order, later = _later(key, tag, doc, at)
     gone = order[later]
     keep = np.ones(len(doc), bool)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tapeline.llm import packing
+from tapeline.llm import packing, suffix_dedup
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -23,3 +24,12 @@ def test_packing_keeps_the_tokenizers_own_marks(spark):
         ids = np.array([*reader.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 1], "<u4")
         assert (r["length"], r["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes())), texts[r["doc_id"]]
     assert len(rows) == len(texts)
+
+
+def test_suffix_dedup_tells_reaches_apart_that_share_32_bits(spark):
+    # around this block, which is the anchor of all windows here, these contexts agree in the upper half of their hash
+    block, part = "2bdaeb08eac115284b1823ba4c734c949c498237", lambda s: hashlib.sha256(s.encode()).hexdigest()[:60]
+    pairs = [(23403, 80096), (19971, 100706), (27241, 100821), (24896, 106738), (54269, 115194), (118844, 147523)]
+    rows = [(i, part(f"l{i}") + block + part(f"r{i}")) for pair in pairs for i in pair]
+    got = suffix_dedup.removed(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 12 and {r["n_removed"] for r in got} == {0}
