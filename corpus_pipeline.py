@@ -35,7 +35,7 @@ def _with_text(row: DataFrame, text: str, columns: list[str]) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the others lose their failing lines."""
-    judged = quality.judge(packed(docs, "text"))
+    judged = quality.judge(packed(docs, "text"), fails=quality.junk_line)
     # a plain filter would be pushed below the verdict and compute it twice
     verdict = F.struct("row", "clean_text", "kept")
     one = judged.select(F.explode_outer(F.filter(F.array(verdict), lambda v: v["kept"])).alias("v")).where("v IS NOT NULL")

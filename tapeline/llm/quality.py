@@ -6,6 +6,8 @@ removed, and a document that loses too much of its text that way is rejected.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,18 @@ BOILERPLATE = (
     r"lorem ipsum|read more|share (this|on)|back to top|skip to"
 )
 
+#: junk_line takes separators and phrases for a sign of junk only in lines of at most this many words,
+#: or where there is a separator for every so many words, or where the phrases make up half of the line.
+SHORT_LINE, WORDS_PER_ITEM = 10, 5
+#: Bars and >> anywhere; » and › only between blanks, as they are quotation marks elsewhere.
+BARS = r"\||>>"
+SEPARATORS = BARS + r"|(?<=[\x20\x09])[»›](?=[\x20\x09])"
+OPENING_QUOTE = "[«‹]"
+PHRASES = (
+    r"\b(all rights reserved|cookies?|privacy policy|terms of (use|service)|click here|sign up|log in|subscribe|javascript|"
+    r"lorem ipsum|read more|share (this|on)|back to top|skip to)\b"
+)
+
 
 def _words(text: Column) -> Column:
     return F.filter(F.split(text, SPACES, -1), lambda w: w != "")
@@ -69,20 +83,47 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     return F.when(F.size(words) >= window, count).otherwise(none)
 
 
+def _unpunctuated(line: Column) -> Column:
+    """No sentence end at all, or too many marks for its words."""
+    marks = F.regexp_count(line, F.lit(MARKS))
+    marks = F.when(marks == 0, F.lit(False)).otherwise(marks * 100 > F.size(_words(line)) * MAX_MARKS_PERCENT)
+    return ~line.rlike(ENDS) | marks
+
+
 def line_fails(line: Column) -> Column:
-    """Does a line with a word fail the punctuation, navigation or boilerplate rule?
+    """Does a line with a word fail the punctuation, navigation or boilerplate rule, as the check SQL states them?
 
-    Punctuation: no sentence end at all, or too many marks for its words. Each rule reads one line.
+    Each rule reads one line. Navigation and boilerplate also meet prose: quoted phrases in » and long lines
+    that name a cookie.
     """
-    marks = F.regexp_count(line, F.lit(MARKS))
-    marks = F.when(marks == 0, F.lit(False)).otherwise(marks * 100 > F.size(_words(line)) * MAX_MARKS_PERCENT)
-    return ~line.rlike(ENDS) | marks | line.rlike(NAVIGATION) | F.lower(line).rlike(BOILERPLATE)
+    return _unpunctuated(line) | line.rlike(NAVIGATION) | F.lower(line).rlike(BOILERPLATE)
+
+
+def junk_line(line: Column) -> Column:
+    """Does a line with a word fail the punctuation rule, or is it a menu or boilerplate as a whole?
+
+    A menu has two separators, or a bar or >> at its end. Of a long line the separators or
+    phrases must make up most, so prose that holds some stays.
+    """
+    short = F.size(_words(line)) <= SHORT_LINE
+
+    def menu(n: Column) -> Column:
+        return (n >= 2) & (short | (F.size(_words(line)) <= n * WORDS_PER_ITEM))
+
+    separators = F.when(line.rlike(OPENING_QUOTE), F.regexp_count(line, F.lit(BARS))).otherwise(F.regexp_count(line, F.lit(SEPARATORS)))
+    navigation = line.rlike(NAVIGATION) & (let(separators, menu) | (short & line.rlike(rf"({BARS})[\x20\x09-\x0D]*$")))
+
+    def mostly(lower: Column) -> Column:
+        rest = F.char_length(F.regexp_replace(lower, PHRASES, ""))
+        return lower.rlike(PHRASES) & (short | (rest * 2 <= F.char_length(lower)))
+
+    return _unpunctuated(line) | navigation | let(F.lower(line), mostly)
 
 
-def judge(df: DataFrame, text_col: str = "text") -> DataFrame:
+def judge(df: DataFrame, text_col: str = "text", fails: Callable[[Column], Column] = line_fails) -> DataFrame:
     """All rows with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, kept_chars, clean_text.
 
-    clean_text is the text without its failing lines (lines without a word stay). Null texts
+    clean_text is the text without the lines that `fails` holds of (lines without a word stay). Null texts
     count as empty: no words, base_failed, not kept. Extra columns named like an added one
     give way to it. Nothing is shuffled; the work of a row is n log n in its words.
     """
@@ -93,7 +134,7 @@ def judge(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     def of_lines(lines: Column) -> Column:
         with_word = F.filter(lines, lambda x: x.rlike(A_WORD))
-        clean = F.filter(lines, lambda x: F.when(x.rlike(A_WORD), ~line_fails(x)).otherwise(F.lit(True)))
+        clean = F.filter(lines, lambda x: F.when(x.rlike(A_WORD), ~fails(x)).otherwise(F.lit(True)))
         return F.struct(
             let(with_word, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
             F.array_join(clean, "\n").alias("clean_text"),

@@ -6,10 +6,11 @@ import hashlib
 import zlib
 
 import numpy as np
+import corpus_pipeline
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tapeline.llm import packing, suffix_dedup
+from tapeline.llm import packing, quality, suffix_dedup
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -33,3 +34,32 @@ def test_suffix_dedup_tells_reaches_apart_that_share_32_bits(spark):
     rows = [(i, part(f"l{i}") + block + part(f"r{i}")) for pair in pairs for i in pair]
     got = suffix_dedup.removed(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(got) == 12 and {r["n_removed"] for r in got} == {0}
+
+
+def test_pipeline_quality_keeps_quoted_phrases_and_long_lines(spark):
+    prose = [
+        "Il dit « bonjour » puis « merci » et sortit de la maison sans attendre.",
+        "« Il est parti. »",
+        "Er sagte »gut« und »schlecht« zugleich, und niemand widersprach ihm an diesem Abend.",
+        "The firm holds a larger market share on this coast than any of its rivals had held before.",
+        "Each catalog in the library was copied by hand, and the copies were kept in another town for safety.",
+        "My grandmother gave each of us a cookie and sent us out to play until supper was ready.",
+        " ".join(f"Cook{i} gave{i} guest{i} a cookie at{i} noon{i}." for i in range(30)),
+        "The table was set as a | b in the first draft and as a | c in the second one, which the editor liked better.",
+    ]
+    junk = [
+        "Home | News | About us.",
+        "Home » News » Weather today.",
+        " | ".join(f"Item {i}" for i in range(40)) + ".",
+        "Welcome to the shop. |",
+        "All rights reserved.",
+        "We use cookies!",
+        "Read more. Sign up. Log in. Subscribe. Back to top. Click here. Privacy policy.",
+    ]
+    rows = [(i, line) for i, line in enumerate(prose + junk)]
+    lines = spark.createDataFrame(rows, "doc_id long, text string")
+    failing = {r["doc_id"] for r in lines.where(quality.junk_line(lines["text"])).collect()}
+    assert failing == set(range(len(prose), len(rows)))
+    docs = spark.createDataFrame([(1, "\n".join(prose + junk), 0)], "doc_id long, text string, n_chars long")
+    kept = corpus_pipeline.quality_rules(spark, docs, "").collect()
+    assert [r["text"] for r in kept] == ["\n".join(prose)]
