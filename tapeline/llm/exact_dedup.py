@@ -64,6 +64,13 @@ def mark_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_slots: int = MAX_SLOTS) -> DataFrame:
-    """The rows that stay, with the columns of `df`."""
+    """The rows that stay, one of each text, with the columns of `df`.
+
+    Of rows that share the largest id of their text (or have null ids only), any one stays.
+    """
     whole = packed(df, id_col, text_col).toDF("whole", "id", "text")
-    return mark_copies(whole, "id", "text", max_slots).where("kept").select("whole.*")
+    staying = mark_copies(whole, "id", "text", max_slots).where("kept")
+    # grouped rows only, and tasks pick one of each text before they shuffle
+    single = staying.where("group_size = 1").select("whole.*")
+    one = staying.where("group_size > 1").groupBy("text_sha256").agg(F.first("whole").alias("whole"))
+    return single.unionByName(one.select("whole.*"))

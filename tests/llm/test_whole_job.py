@@ -10,7 +10,7 @@ import corpus_pipeline
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from tapeline.llm import packing, quality, suffix_dedup
+from tapeline.llm import exact_dedup, packing, quality, suffix_dedup
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -63,3 +63,9 @@ def test_pipeline_quality_keeps_quoted_phrases_and_long_lines(spark):
     docs = spark.createDataFrame([(1, "\n".join(prose + junk), 0)], "doc_id long, text string, n_chars long")
     kept = corpus_pipeline.quality_rules(spark, docs, "").collect()
     assert [r["text"] for r in kept] == ["\n".join(prose)]
+
+
+def test_drop_copies_leaves_one_row_of_each_text(spark):
+    rows = [(4, "same"), (4, "same"), (2, "same"), (None, "lost"), (None, "lost"), (None, "lost"), (7, None), (7, ""), (9, "own"), (None, "alone")]
+    left = exact_dedup.drop_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted((r["text"] or "", r["doc_id"] or -1) for r in left) == [("", 7), ("alone", -1), ("lost", -1), ("own", 9), ("same", 4)]
