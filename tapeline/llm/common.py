@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,3 +143,45 @@ def text_slices(batches, text: str = "text", rows: int = 256):
         for at in range(0, batch.num_rows, rows):
             part = batch.slice(at, rows)
             yield part, [x or b"" for x in part.column(text).cast(pa.binary()).to_pylist()]
+
+
+def numbered(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """`df` with `pos`, from 0 in the order of `order` (nulls first) among the rows of `key`, and `n`, how many those are.
+
+    A null `key` is a key like any other. Rows are dealt out by ranges of key and order and each
+    task numbers its own, so a key with a third of all rows is numbered by many tasks; what
+    lines the tasks up has one row for each key and task. `order` must tell the rows of a key apart.
+    """
+    by = [F.col(c).asc_nulls_first() for c in (key, *order)]
+    lined = staged(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("at", F.monotonically_increasing_id()))
+    task = F.shiftright("at", 33)
+    runs = lined.groupBy(F.col(key).alias("run_key"), task.alias("run_task")).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("many"))
+    whole = W.partitionBy("run_key")
+    earlier = F.sum("many").over(whole.orderBy("run_task").rowsBetween(W.unboundedPreceding, -1))
+    runs = runs.select("run_key", "run_task", "first", F.coalesce(earlier, F.lit(0)).alias("earlier"), F.sum("many").over(whole).alias("n"))
+    joined = lined.join(runs, F.col(key).eqNullSafe(F.col("run_key")) & (task == F.col("run_task")))
+    return joined.select(*df.columns, (F.col("at") - F.col("first") + F.col("earlier")).alias("pos"), "n")
+
+
+def whole_groups(batches, *keys: str):
+    """Arrow tables that hold whole groups of `keys`, from batches sorted by them: at most one group more than a batch."""
+    import pyarrow as pa
+
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k) for k in keys]
+        ends = [c[-1].as_py() for c in columns]
+        start = batch.num_rows - 1
+        while start and all(c[start - 1].as_py() == end for c, end in zip(columns, ends)):
+            start -= 1
+        if start or ends != last:
+            if done := [*held, *([batch.slice(0, start)] if start else [])]:
+                yield pa.Table.from_batches(done).combine_chunks()
+            held = []
+        held.append(batch.slice(start))
+        last = ends
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tapeline.llm import bpe, chat, exact_dedup, licenses, lm, packing, quality, sharding, simhash, suffix_dedup
+from tapeline.llm import bpe, chat, exact_dedup, licenses, lm, merkle, packing, quality, sharding, simhash, suffix_dedup
 from tapeline.llm.common import table
 
 
@@ -56,6 +57,15 @@ def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    changed = F.when(crc % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.leaf_digest(*[changed if c == "text" else F.col(c) for c in merkle.FIELDS])
+    out = merkle.manifest(table(spark, sf_dir, "documents"), extra={"found": found})
+    out = out.withColumn("proof_sha256", merkle.proof_digest(F.col("proof"))).withColumn("folded_root", merkle.fold(F.col("found"), F.col("proof")))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -67,4 +77,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_log_bilinear": op10_log_bilinear,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }

@@ -46,4 +46,63 @@ WITH d AS (
 SELECT *, NOT base_failed AND 100 * kept_chars >= 50 * word_chars AS kept FROM judged
 """
 
-ORACLES = {"op2_exact_dedup": EXACT_DEDUP, "op6_line_rules": LINE_RULES}
+#: Unsigned CRC-32 (reflected polynomial 0xEDB88320) of a column of short ASCII texts.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split({text}, '')]),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 1, 2, 3, 4, 5, 6, 7]),
+        lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT)"""
+
+
+def _leaf(text: str) -> str:
+    parts = [f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+MERKLE = f"""
+WITH RECURSIVE d AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+  FROM (
+    SELECT row_number() OVER () AS rid, doc_id, source, {_leaf("text")} AS leaf, {_leaf("changed")} AS found
+    FROM (SELECT *, CASE WHEN {CRC32.format(text="doc_id::VARCHAR")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS changed FROM documents)
+  )
+), nodes AS (
+  SELECT source, 0 AS level, pos, leaf AS digest, n FROM d
+  UNION ALL
+  SELECT source, level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), max((n + 2) // 3) FROM nodes WHERE n > 1 GROUP BY source, level, pos // 3
+), subroots AS (
+  SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), upper AS (
+  SELECT 0 AS level, pos, digest, n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), max((n + 2) // 3) FROM upper WHERE n > 1 GROUP BY level, pos // 3
+), beside AS (
+  SELECT source, level, pos, 0 AS high, coalesce(string_agg(digest, '') OVER l, '') AS lft, coalesce(string_agg(digest, '') OVER r, '') AS rgt
+  FROM nodes WHERE n > 1
+  WINDOW l AS (PARTITION BY source, level, pos // 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         r AS (PARTITION BY source, level, pos // 3 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+  UNION ALL
+  SELECT NULL, level, pos, 1, coalesce(string_agg(digest, '') OVER l, ''), coalesce(string_agg(digest, '') OVER r, '')
+  FROM upper WHERE n > 1
+  WINDOW l AS (PARTITION BY level, pos // 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         r AS (PARTITION BY level, pos // 3 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+), path AS (
+  SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY high, level) - 1 AS step, lft, rgt
+  FROM (
+    SELECT rid, high, level, lft, rgt FROM d JOIN beside b ON high = 0 AND d.source IS NOT DISTINCT FROM b.source AND b.pos = d.pos // (3 ** level)::BIGINT
+    UNION ALL
+    SELECT rid, high, level, lft, rgt FROM d JOIN subroots s ON d.source IS NOT DISTINCT FROM s.source
+    JOIN beside b ON high = 1 AND b.pos = s.pos // (3 ** level)::BIGINT
+  )
+), folded AS (
+  SELECT rid, 0 AS step, found AS digest FROM d
+  UNION ALL
+  SELECT rid, step + 1, sha256(lft || digest || rgt) FROM folded JOIN path USING (rid, step)
+), ends AS (
+  SELECT rid, arg_max(digest, step) AS folded_root FROM folded GROUP BY rid
+), proofs AS (
+  SELECT rid, string_agg(lft || rgt, '' ORDER BY step) AS said FROM path GROUP BY rid
+)
+SELECT doc_id, leaf, s.digest AS subroot, u.digest AS root, sha256(coalesce(said, '')) AS proof_sha256, folded_root, folded_root = u.digest AS verified
+FROM d JOIN subroots s ON d.source IS NOT DISTINCT FROM s.source JOIN upper u ON u.n = 1 JOIN ends USING (rid) LEFT JOIN proofs USING (rid)
+"""
+
+ORACLES = {"op2_exact_dedup": EXACT_DEDUP, "op6_line_rules": LINE_RULES, "op12_merkle_manifest": MERKLE}

@@ -380,7 +380,8 @@ def test_chat(spark):
 
 def test_queries_against_their_sql(spark, sf):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for name in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
     for name, text in ORACLES.items():
         cursor = con.execute(text)
         names = [d[0] for d in cursor.description]
