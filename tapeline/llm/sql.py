@@ -105,4 +105,41 @@ SELECT doc_id, leaf, s.digest AS subroot, u.digest AS root, sha256(coalesce(said
 FROM d JOIN subroots s ON d.source IS NOT DISTINCT FROM s.source JOIN upper u ON u.n = 1 JOIN ends USING (rid) LEFT JOIN proofs USING (rid)
 """
 
-ORACLES = {"op2_exact_dedup": EXACT_DEDUP, "op6_line_rules": LINE_RULES, "op12_merkle_manifest": MERKLE}
+TRIE = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS said_by, coalesce(text, '') AS said,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations
+), c AS (
+  SELECT conv_id, {CRC32.format(text="conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM conversations)
+), both_parts AS (
+  SELECT c.conv_id, pos, said_by, said FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND pos <= h
+  UNION ALL
+  SELECT c.conv_id, pos, said_by, said FROM c JOIN t USING (conv_id) WHERE pos > h
+), paths AS (
+  SELECT conv_id, row_number() OVER w AS depth, length(said) AS size, string_agg(sha256(strlen(said_by) || ':' || said_by || said), '') OVER w AS node
+  FROM both_parts WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+  UNION ALL
+  SELECT conv_id, 0, 0, '' FROM c
+), marked AS (
+  SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM paths
+), nodes AS (
+  SELECT node, min(conv_id) AS conv_id, min(depth) AS depth, max(size) AS size, count(*) AS n_convs,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '') AS ends
+  FROM marked GROUP BY node
+), children AS (
+  SELECT left(node, length(node) - 64) AS node, count(*) AS n FROM nodes WHERE node <> '' GROUP BY 1
+), weighed AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children, (n_convs - 1) * size AS saved FROM nodes LEFT JOIN children USING (node)
+), below AS (
+  SELECT p.node, sum(CASE WHEN p.conv_id = w.conv_id THEN saved ELSE 0 END) OVER d AS saved,
+    sum(CASE WHEN p.conv_id = w.conv_id AND n_children = 0 THEN 1 ELSE 0 END) OVER d AS leaves
+  FROM paths p JOIN weighed w USING (node) WINDOW d AS (PARTITION BY p.conv_id ORDER BY p.depth DESC)
+), sums AS (
+  SELECT node, sum(saved)::BIGINT AS saved_tokens, sum(leaves)::BIGINT AS n_leaves FROM below GROUP BY node
+)
+SELECT w.conv_id, w.depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, sha256(w.ends) AS ends_sha256
+FROM weighed w JOIN sums USING (node) LEFT JOIN weighed u ON w.node <> '' AND u.node = left(w.node, length(w.node) - 64)
+"""
+
+ORACLES = {"op2_exact_dedup": EXACT_DEDUP, "op6_line_rules": LINE_RULES, "op12_merkle_manifest": MERKLE, "op13_prefix_trie": TRIE}
