@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import bpe, chat, exact_dedup, licenses, lm, merkle, packing, quality, sharding, simhash, suffix_dedup, trie
+from tapeline.llm import bpe, chat, exact_dedup, licenses, lm, merkle, online_packing, packing, quality, sharding, simhash, suffix_dedup, trie
 from tapeline.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+def op11_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return online_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     changed = F.when(crc % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_log_bilinear": op10_log_bilinear,
+    "op11_online_packing": op11_online_packing,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_prefix_trie": op13_prefix_trie,
 }
