@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import staged, whole_groups
+from tapeline.llm.common import give_back, staged, whole_groups
 from tapeline.llm.words import REMEMBER, WordTokenizer, slices
 
 CAPACITY = 2048
@@ -120,8 +120,11 @@ def _first_sequence(round_: int, task: int) -> int:
     return round_ << 58 | task << 30
 
 
+_tokenizers: dict[str, WordTokenizer] = {}  # what a worker keeps for its next task
+
+
 def _packed(batches: Iterator[pa.RecordBatch], path: str, id_col: str, capacity: int, end_id: int, windows: int, remember: int) -> Iterator[pa.RecordBatch]:
-    tokenizer = WordTokenizer(path, remember)
+    tokenizer = _tokenizers.pop(path, None) or WordTokenizer(path, remember)
     task = TaskContext.get().partitionId()
     rows, packer = None, None
     for part, texts in slices(batches):
@@ -135,6 +138,9 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, id_col: str, capacity:
     if rows is not None:
         rows.leave(packer.leftover())
         yield from rows.flush()
+    tokenizer.forget(remember // 2)
+    _tokenizers[path] = tokenizer
+    give_back()
 
 
 def _merged(batches: Iterator[pa.RecordBatch], id_col: str, capacity: int, round_: int, last: bool) -> Iterator[pa.RecordBatch]:

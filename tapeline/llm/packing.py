@@ -8,11 +8,9 @@ in bulk; the resulting plan deals out places to the numbered pieces of each leng
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,186 +18,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import staged, text_slices
+from tapeline.llm.common import give_back, staged
+from tapeline.llm.words import REMEMBER, WordTokenizer, slices
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a task remembers from one slice of texts to the next, of which its worker keeps half for the next
-#: task: a bound on memory (about 200 bytes a word), not on results.
-REMEMBER = 1_000_000
-#: Words given to the tokenizer at once, and a word of one token that stands between them.
-JOINED, SEPARATOR = 200, "0"
 #: Pieces of one length are numbered in this many buckets at least, by as many tasks.
 BUCKETS = 64
 
-#: Lower-case Latin-1 letters, which normalising leaves alone, and an end of ASCII punctuation, which is a token run of its own.
-LETTERS_AND_END = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]*)([!-/:-@\[-`{-~]*)").fullmatch
-
 Runs = tuple[tuple[int, int], ...]  # (length, copies) in a sequence
 
 
-def _latin(text: str) -> bool:
-    if text.isascii():
-        return True
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
-
-
-def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The stretches of `flat` one after the other, and where each ends."""
-    ends = np.cumsum(sizes)
-    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]))], ends
-
-
-class WordTokenizer:
-    """Ids of a text, word by word. The tokenizer drops white space and never looks across it.
-
-    Its added tokens (marks such as <|endoftext|>) are found in the text as it is written, before it is lowered;
-    words that hold one are known by their text after a blank and go to the whole tokenizer one by one.
-    """
-
-    def __init__(self, path: str) -> None:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
-
-        self.tokenizer = Tokenizer.from_file(path)
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.marks = [t.content for t in added]
-        if any(t.normalized or [t.content] != t.content.split() for t in added):
-            raise ValueError("an added token holds white space or is looked for in normalised text")
-        # a word that only becomes a mark by lowering is none; _marked lifts this for words that hold one
-        self.tokenizer.encode_special_tokens = True
-        self.between = self._ids(SEPARATOR)
-        if len(self.between) != 1:
-            raise ValueError(f"{SEPARATOR!r} is not one token")
-        # where LETTERS_AND_END matches there is nothing to normalise and only blanks to split at
-        self.plain = Tokenizer.from_str(self.tokenizer.to_str())
-        self.plain.encode_special_tokens = True
-        self.plain.normalizer = normalizers.Sequence([])
-        bytes_only = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytes_only])
-        self._keep({"": 0}, np.zeros(1, np.int64), np.zeros(1, np.int64), np.empty(0, np.uint32))
-
-    def _ids(self, text: str, tokenizer=None) -> np.ndarray:
-        return np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _marked(self, word: str) -> np.ndarray:
-        self.tokenizer.encode_special_tokens = False
-        try:
-            return self._ids(word)
-        finally:
-            self.tokenizer.encode_special_tokens = True
-
-    def _split(self, text: str) -> list[str]:
-        # the tokenizer lowers all letters; of Latin-1 texts this is done here, so that fewer words differ
-        latin = _latin(text)
-        if not any(mark in text for mark in self.marks):
-            return (text.lower() if latin else text).replace("\n", " ").split(" ")
-        words = text.replace("\n", " ").split(" ")
-        return [" " + w if any(mark in w for mark in self.marks) else w.lower() if latin else w for w in words]
-
-    def _keep(self, place: dict[str, int], start_of: np.ndarray, size_of: np.ndarray, flat: np.ndarray) -> None:
-        """The words known (their place), where their ids start in `flat`, and how many there are."""
-        self.place, self.start_of, self.size_of, self.flat = place, start_of, size_of, flat
-        self.hits = np.zeros(len(place), np.int64)
-
-    def forget(self, keep: int) -> None:
-        """Keep the `keep` words that were met most often."""
-        order = np.argsort(-self.hits, kind="stable")[:keep]
-        order = np.unique(np.append(order[self.hits[order] > 1], 0))
-        words = list(self.place)
-        sizes = self.size_of[order]
-        ids, ends = _gathered(self.flat, self.start_of[order], sizes)
-        self._keep({words[w]: i for i, w in enumerate(order)}, ends - sizes, sizes, ids)
-
-    def _apart(self, words: list[str], tokenizer) -> np.ndarray:
-        """Ids of the words, joined by a word between them whose token none of them can give."""
-        line = f" {SEPARATOR} ".join
-        joined = [self._ids(line(["", *words[at : at + JOINED]]), tokenizer) for at in range(0, len(words), JOINED)]
-        return np.concatenate([np.empty(0, np.uint32), *joined])
-
-    def _learn(self, words: list[str]) -> None:
-        """Many at once. A word of letters and an end of punctuation has the ids of both, often known from other words."""
-        simple, ended, rest, others = [], [], [], []
-        for word in words:
-            if parts := LETTERS_AND_END(word):
-                (simple if word in parts.groups() else ended).append(word)
-            else:
-                (others if SEPARATOR in word or word[0] == " " else rest).append(word)
-        halves = [half for word in ended for half in LETTERS_AND_END(word).groups()]
-        extra = list(set(halves).difference(self.place, simple))
-        ids = np.concatenate([self._apart(simple, self.plain), self._apart(rest, self.tokenizer)])
-        plus = self._apart(extra, self.plain)
-        cuts = [np.append(np.flatnonzero(x == self.between[0]), len(x)) for x in (ids, plus)]
-        starts, sizes = cuts[0][:-1] + 1, np.diff(cuts[0]) - 1
-        if others:
-            apart = [self._marked(w[1:]) if w[0] == " " else self._ids(w) for w in others]
-            more = np.array([len(x) for x in apart])
-            starts, sizes = np.append(starts, len(ids) + np.cumsum(more) - more), np.append(sizes, more)
-            ids = np.concatenate([ids, *apart])
-        first, known = len(self.place), len(self.place) + len(starts)
-        self.place.update(zip(simple + rest + others, range(first, known)))
-        start_of = [self.start_of, len(self.flat) + starts]
-        size_of = [self.size_of, sizes]
-        flat = [self.flat, ids]
-        if ended:
-            helpers = dict(zip(extra, range(known, known + len(extra))))
-            at = np.array([self.place[half] if half in self.place else helpers[half] for half in halves])
-            whole = np.concatenate([*flat, plus])
-            own = np.concatenate([*size_of, np.diff(cuts[1]) - 1])[at]
-            from_both, _ = _gathered(whole, np.concatenate([*start_of, len(self.flat) + len(ids) + cuts[1][:-1] + 1])[at], own)
-            sizes = own.reshape(-1, 2).sum(axis=1)
-            self.place.update(zip(ended, range(known, known + len(ended))))
-            start_of.append(len(whole) + np.cumsum(sizes) - sizes)
-            size_of.append(sizes)
-            flat = [whole, from_both]
-        self.start_of, self.size_of, self.flat = (np.concatenate(x) for x in (start_of, size_of, flat))
-        self.hits = np.append(self.hits, np.zeros(len(words), np.int64))
-
-    def encode(self, texts: list[str], remember: int = REMEMBER) -> list[np.ndarray]:
-        split = [self._split(text) for text in texts]
-        words = [w for own in split for w in own]
-        if len(self.place) > remember:
-            self.forget(remember // 2)
-        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
-        if len(unknown := np.flatnonzero(at < 0).tolist()):
-            missing = [words[i] for i in unknown]
-            self._learn(list(set(missing)))
-            at[unknown] = np.fromiter(map(self.place.__getitem__, missing), np.int64, len(missing))
-        np.add.at(self.hits, at, 1)
-        flat, ends = _gathered(self.flat, self.start_of[at], self.size_of[at])
-        last = np.cumsum([len(own) for own in split])
-        return np.split(flat, ends[last[:-1] - 1])
-
-
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
 def tokenize(
-    df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, remember: int = REMEMBER
+    df: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    remember: int = REMEMBER,
+    keep: bool = True,
 ) -> DataFrame:
-    """One row for each piece: id, piece, start, length, ids_crc32. A text's ids end with `end_id`; only longer ones are cut."""
+    """One row for each piece: id, piece, start, length, ids_crc32. A text's ids end with `end_id`; only longer ones are cut.
+
+    A worker keeps the tokenizer and half of the words it remembers for its next task, unless `keep` is false.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _tokenizers:
-            _tokenizers[path] = WordTokenizer(path)
-        own = _tokenizers[path]
-        for part, texts in text_slices(batches):
+        own = _tokenizers.pop(path, None) or WordTokenizer(path, remember)
+        for part, texts in slices(batches):
             owner, rows = [], []
-            for i, ids in enumerate(own.encode([t.decode() for t in texts], remember)):
+            for i, ids in enumerate(own.encode(texts)):
                 whole = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(whole), capacity)):
                     cut = whole[start : start + capacity]
                     owner.append(i)
                     rows.append((piece, start, len(cut), zlib.crc32(cut.tobytes())))
             arrays = [pa.array(list(x), kind) for x, kind in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(owner)), *arrays], [id_col, "piece", "start", "length", "ids_crc32"])
-        own.forget(remember // 2)
+            ids = part.column("id").take(pa.array(owner)).combine_chunks()
+            yield pa.RecordBatch.from_arrays([ids, *arrays], [id_col, "piece", "start", "length", "ids_crc32"])
+        if keep:
+            own.forget(remember // 2)
+            _tokenizers[path] = own
+        del own
+        give_back()
 
     kind = df.schema[id_col].dataType.simpleString()
     slim = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -308,16 +173,23 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[dict[str, np.nda
 
 
 def pack(
-    df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, remember: int = REMEMBER
+    df: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    remember: int = REMEMBER,
+    keep: bool = True,
 ) -> DataFrame:
     """One row for each piece with its sequence_id and offset.
 
     Null texts count as empty: one piece that holds `end_id`. Ids of any type, repeated or null, pass
     through; rows that repeat are packed each. An empty table gives no rows. Pieces of one length are numbered in hash
     buckets whose counts are lined up, so a length that a third of all pieces share is
-    numbered by many tasks. The driver sees `capacity` counts.
+    numbered by many tasks. The driver sees `capacity` counts. `remember` and `keep` bound the words a worker holds, see `tokenize`.
     """
-    pieces = staged(tokenize(df, path, id_col, text_col, capacity, end_id, remember).withColumn("spread", F.xxhash64(id_col, "piece", "ids_crc32")))
+    pieces = staged(tokenize(df, path, id_col, text_col, capacity, end_id, remember, keep).withColumn("spread", F.xxhash64(id_col, "piece", "ids_crc32")))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():

@@ -31,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import packed, slot_bits, slots_for, staged, text_slices, with_bit, with_row_key
+from tapeline.llm.common import give_back, packed, slot_bits, slots_for, staged, text_slices, with_bit, with_row_key
 
 THRESHOLD = 100
 GRAM = 40
 #: Bytes of text hashed at once, and bytes of text after which a task gives out what it has found.
-CHUNK = 1 << 20
-HELD = 12 << 20
+CHUNK = 1 << 18
+HELD = 8 << 20
 #: Different reaches of one block in a task's text, from which on it spells out their windows at once.
 #: So a task never sends more rows than this of one block, however common it is.
 COMMON = 32
@@ -256,6 +256,8 @@ def covered_spans(rows: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM)
                 texts, docs, size = [], [], 0
         if texts:
             yield from _first_pass(texts, np.concatenate(docs), threshold, gram)
+        del texts, docs
+        give_back()
 
     def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = _columns(batches)
@@ -277,11 +279,14 @@ def covered_spans(rows: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM)
         edge[stays[np.repeat(many > 1, many)]] = True
         edge[gone] = False
         yield _batch(ANCHOR, int(edge.sum()), key=key[edge], tag=tag[edge], doc=doc[edge], at=at[edge], till=till[edge])
+        del c, held, own, key, tag, doc, at, till, order, later, gone, stays, run, many, edge
+        give_back()
 
     def spell_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches, rows=512):
             starts, stops = ([np.array(x, np.int64) for x in part.column(c).to_pylist()] for c in ("starts", "stops"))
             yield from _window_rows(texts, part.column("row_key").to_numpy(), list(zip(starts, stops)), threshold)
+        give_back()
 
     def third_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = _columns(batches)
@@ -294,6 +299,8 @@ def covered_spans(rows: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM)
         order, later = _later(key, tag, doc, at)
         gone = order[later]
         yield from _spans(doc[gone], at[gone], at[gone] + threshold)
+        del c, held, key, tag, doc, at, order, later, gone
+        give_back()
 
     found = staged(rows.select("row_key", "text").mapInArrow(first_pass, ROW).repartition("key").mapInArrow(second_pass, ROW))
     edges = staged(found.where(F.col("kind") == ANCHOR).groupBy(F.col("doc").alias("row_key")).agg(F.collect_list(F.struct("at", "till")).alias("reaches")))
