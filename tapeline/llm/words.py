@@ -44,8 +44,53 @@ def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[n
     return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)], ends
 
 
+class Known:
+    """Ids of the texts met, by text: a bounded store whose arrays give the ids of many texts at once."""
+
+    def __init__(self, remember: int = REMEMBER) -> None:
+        self.remember = remember
+        self._keep({}, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32))
+
+    def _keep(self, place: dict[str, int], start_of: np.ndarray, size_of: np.ndarray, flat: np.ndarray) -> None:
+        """The texts known (their place), where their ids start in `flat`, and how many there are."""
+        self.place, self.start_of, self.size_of, self.flat = place, start_of, size_of, flat
+        self.hits = np.zeros(len(place), np.int64)
+
+    def find(self, texts: list[str]) -> np.ndarray:
+        """The place of each text, -1 for one that is not known."""
+        return np.fromiter(map(self.place.get, texts, repeat(-1)), np.int64, len(texts))
+
+    def learn(self, texts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """New texts, with their ids one after the other and how many each has."""
+        first = len(self.place)
+        self.place.update(zip(texts, range(first, first + len(texts))))
+        self.start_of = np.append(self.start_of, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.size_of = np.append(self.size_of, sizes)
+        self.flat = np.append(self.flat, ids)
+        self.hits = np.append(self.hits, np.zeros(len(texts), np.int64))
+
+    def ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts at these places one after the other, and where each ends."""
+        return gathered(self.flat, self.start_of[at], self.size_of[at])
+
+    def forget(self, keep: int) -> None:
+        """Keep the `keep` texts that were met most often, of those that are not too long."""
+        texts = list(self.place)
+        order = np.argsort(-self.hits, kind="stable")
+        order = order[self.hits[order] > 1][:keep]
+        order = np.sort(order[[len(texts[w]) <= REMEMBER_CHARS for w in order]].astype(np.int64))
+        ids, ends = self.ids(order)
+        sizes = self.size_of[order]
+        self._keep({texts[w]: i for i, w in enumerate(order.tolist())}, ends - sizes, sizes, ids)
+
+    def trim(self) -> None:
+        """Forget half when there is too much."""
+        if len(self.place) > self.remember:
+            self.forget(self.remember // 2)
+
+
 class WordTokenizer:
-    """Ids of texts, and a bounded store of the words met.
+    """Ids of texts, with a bounded store of the words met.
 
     The tokenizer's added tokens (marks such as <|endoftext|>) are found in the text as it is written, before it is lowered;
     words that hold one are known by their text after a blank and go to the whole tokenizer one by one.
@@ -55,7 +100,7 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.remember = remember
+        self.known = Known(remember)
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.marks = [t.content for t in added]
@@ -77,7 +122,6 @@ class WordTokenizer:
         self.plain.normalizer = normalizers.Sequence([])
         bytes_only = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytes_only])
-        self._keep({}, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32))
 
     def _ids(self, text: str, tokenizer=None) -> np.ndarray:
         return np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -89,26 +133,8 @@ class WordTokenizer:
         finally:
             self.tokenizer.encode_special_tokens = True
 
-    def _keep(self, place: dict[str, int], start_of: np.ndarray, size_of: np.ndarray, flat: np.ndarray) -> None:
-        """The words known (their place), where their ids start in `flat`, and how many there are."""
-        self.place, self.start_of, self.size_of, self.flat = place, start_of, size_of, flat
-        self.hits = np.zeros(len(place), np.int64)
-
     def forget(self, keep: int) -> None:
-        """Keep the `keep` words that were met most often, of those that are not too long."""
-        words = list(self.place)
-        order = np.argsort(-self.hits, kind="stable")
-        order = order[self.hits[order] > 1][:keep]
-        order = np.sort(order[[len(words[w]) <= REMEMBER_CHARS for w in order]])
-        sizes = self.size_of[order]
-        ids, ends = gathered(self.flat, self.start_of[order], sizes)
-        self._keep({words[w]: i for i, w in enumerate(order.tolist())}, ends - sizes, sizes, ids)
-
-    def _learn_ids(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        """Ids of as many words after the known ones."""
-        self.start_of = np.append(self.start_of, len(self.flat) + np.cumsum(sizes) - sizes)
-        self.size_of = np.append(self.size_of, sizes)
-        self.flat = np.append(self.flat, ids)
+        self.known.forget(keep)
 
     def _by_ends(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their number for words of one kind of characters: one token of each, its last, ends a word."""
@@ -133,36 +159,25 @@ class WordTokenizer:
         bare = pc.equal(stems, "").to_numpy(zero_copy_only=False)
         plain = letters & (whole | bare)
         ended = letters & ~plain
-        first = len(self.place)
         simple = words.filter(pa.array(plain)).to_pylist()
         both = words.filter(pa.array(ended))
         stem = stems.filter(pa.array(ended))
         tail = pa.array([w[n:] for w, n in zip(both.to_pylist(), pc.utf8_length(stem).to_pylist())], pa.string())
         stem, tail = stem.dictionary_encode(), tail.dictionary_encode()
         halves = [stem.dictionary.to_pylist(), tail.dictionary.to_pylist()]
-        extra = list(set(halves[0]).union(halves[1]).difference(self.place, simple))
-        self._learn_ids(*self._by_ends(simple + extra))
-        self.place.update(zip(simple, range(first, first + len(simple))))
-        helpers = dict(zip(extra, range(first + len(simple), first + len(simple) + len(extra))))
-        self.place.update(helpers)
+        simple += set(halves[0]).union(halves[1]).difference(self.known.place, simple)
+        self.known.learn(simple, *self._by_ends(simple))
         if len(both):
-            at = np.empty((len(both), 2), np.int64)
-            for i, (half, coded) in enumerate(zip(halves, (stem, tail))):
-                at[:, i] = np.fromiter(map(self.place.__getitem__, half), np.int64, len(half))[coded.indices.to_numpy()]
-            own = self.size_of[at.ravel()]
-            ids, _ = gathered(self.flat, self.start_of[at.ravel()], own)
-            self.place.update(zip(both.to_pylist(), range(len(self.place), len(self.place) + len(both))))
-            self._learn_ids(ids, own.reshape(-1, 2).sum(axis=1))
+            at = np.stack([self.known.find(half)[coded.indices.to_numpy()] for half, coded in zip(halves, (stem, tail))], axis=1)
+            ids, _ = self.known.ids(at.ravel())
+            self.known.learn(both.to_pylist(), ids, self.known.size_of[at].sum(axis=1))
         rest, others = [], []
         for word in words.filter(pa.array(~letters)).to_pylist():
             (others if SEPARATOR in word or word[0] == " " else rest).append(word)
-        self._learn_ids(*self._by_separator(rest))
-        self.place.update(zip(rest, range(len(self.place), len(self.place) + len(rest))))
+        self.known.learn(rest, *self._by_separator(rest))
         if others:
             apart = [self._marked(w[1:]) if w[0] == " " else self._ids(w) for w in others]
-            self._learn_ids(np.concatenate(apart), np.array([len(x) for x in apart]))
-            self.place.update(zip(others, range(len(self.place), len(self.place) + len(others))))
-        self.hits = np.append(self.hits, np.zeros(len(self.place) - len(self.hits), np.int64))
+            self.known.learn(others, np.concatenate(apart), np.array([len(x) for x in apart]))
 
     def _words(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
         """The words of all texts, and how many each has. Empty ones are no words."""
@@ -188,19 +203,18 @@ class WordTokenizer:
         words, many = self._words(texts)
         coded = words.dictionary_encode()
         distinct, index = coded.dictionary.cast(pa.string()), coded.indices.to_numpy()
-        if len(self.place) > self.remember:
-            self.forget(self.remember // 2)
+        self.known.trim()
         names = distinct.to_pylist()
-        at = np.fromiter(map(self.place.get, names, repeat(-1)), np.int64, len(names))
+        at = self.known.find(names)
         empty = np.array([not name for name in names], bool)
         unknown = np.flatnonzero((at < 0) & ~empty)
         if len(unknown):
             self._learn(distinct.take(pa.array(unknown)))
-            at[unknown] = np.fromiter(map(self.place.__getitem__, [names[i] for i in unknown.tolist()]), np.int64, len(unknown))
-        self.hits[at[~empty]] += np.bincount(index, minlength=len(names))[~empty]
-        starts = np.where(empty, 0, self.start_of[np.where(empty, 0, at)]) if len(self.start_of) else np.zeros(len(names), np.int64)
-        sizes = np.where(empty, 0, self.size_of[np.where(empty, 0, at)]) if len(self.start_of) else np.zeros(len(names), np.int64)
-        flat, ends = gathered(self.flat, starts[index], sizes[index])
+            at[unknown] = self.known.find([names[i] for i in unknown.tolist()])
+        self.known.hits[at[~empty]] += np.bincount(index, minlength=len(names))[~empty]
+        starts, sizes = np.zeros((2, len(names)), np.int64)
+        starts[~empty], sizes[~empty] = self.known.start_of[at[~empty]], self.known.size_of[at[~empty]]
+        flat, ends = gathered(self.known.flat, starts[index], sizes[index])
         last = np.append(0, ends)[np.cumsum(many)]
         return np.split(flat, last[:-1])
 

@@ -105,4 +105,4 @@ def test_words(reader):
                 assert ids.tolist() == reader.encode(text, add_special_tokens=False).ids
     assert large.encode([]) == [] and [len(x) for x in large.encode(["", " "])] == [0, 0]
     large.forget(10)
-    assert len(large.place) <= 10 and max(map(len, large.place)) <= 48
+    assert len(large.known.place) <= 10 and max(map(len, large.known.place)) <= 48

@@ -315,6 +315,16 @@ def test_bpe(docs, texts, empty):
         ids = own.encode(text)
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode_ordinary(text)
         assert own.decode(ids) == text.encode()
+    long = ["ab é" * 30_000 + "z" * 5000, " " * 4000, "\n", " x" * 700]
+    for batch in (strange + long, [t or "" for t in texts], [], [""]):  # words side by side in one queue, and stores that are full
+        for keep in (10**6, 20):
+            own.chunks.remember = own.parts.remember = keep
+            encoded = own.encode_all(batch)
+            assert [ids.tolist() for ids in encoded] == [whole.encode_ordinary(text) for text in batch]
+            assert own.decode_all(encoded) == [text.encode() for text in batch]
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 30))) for _ in range(3000)] + ["aaaaaaaaa", "abababab", "é" * 9]
+    ids, sizes = own.merge_together([w.encode() for w in words])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [own.merge(w.encode()) for w in words]
     got = by_id(bpe.digest(docs, RANKS, public_tokenizers.PATTERN))
     for i, text in enumerate(t or "" for t in texts):
         ids = np.array(whole.encode_ordinary(text), "<u4").tobytes()
