@@ -65,21 +65,36 @@ def stream_insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("user_id", "day").agg(F.count("*").alias("n"))
 
 
+#: Days of the derived bars in each file of the stream, and by how many days the codes' files are apart: rows come out of order.
+FILE_DAYS, APART = (700, 3, 40, 1100, 365, 10_000), 25
+
+
 def bars_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The derived bars as a folder of files in date order, one file per micro-batch."""
+    """The derived bars as a folder of uneven files, one for each micro-batch, and a heartbeat that closes the last day."""
     bars = stage(panels.quotes(spark, sf).select("code", "load_date", "open", "high", "low", "close"))
     path = scratch(spark, "bar-files")
-    for lo, hi in (("1900", "1997"), ("1997", "1999"), ("1999", "2999")):
-        part = bars.where((F.col("load_date") >= F.lit(f"{lo}-01-01").cast("date")) & (F.col("load_date") < F.lit(f"{hi}-01-01").cast("date")))
-        part.coalesce(1).write.mode("append").parquet(path)
+    first = bars.agg(F.min("load_date")).first()[0]
+    day = F.date_diff("load_date", F.lit(first)) + F.pmod(F.xxhash64("code"), F.lit(APART))
+    start = 0
+    for days in FILE_DAYS:
+        part = bars.where((day >= start) & (day < start + days))
+        part.orderBy(F.desc("load_date")).coalesce(1).write.mode("append").parquet(path)
+        start += days
+    beat = bars.agg(F.date_add(F.max("load_date"), 365).alias("load_date"))
+    beat.select(*[F.col(c) if c == "load_date" else F.lit(None).cast(bars.schema[c].dataType).alias(c) for c in bars.columns]).coalesce(1).write.mode("append").parquet(path)
     return ticks.read_stream(spark, path, bars, files_per_batch=1)
 
 
+def folded(spark: SparkSession, fold: DataFrame) -> DataFrame:
+    """All rows of a fold that were in time, after its stream has ended."""
+    path = scratch(spark, "folds")
+    state.run_fold(fold, ticks.batch_sink(path, "late"))
+    return spark.read.parquet(path).where(~F.col("late")).drop("batch", "late")
+
+
 @query("stream_candles", "SELECT code, load_date, open::DOUBLE AS open, high::DOUBLE AS high, low::DOUBLE AS low, close::DOUBLE AS close FROM d_ha")
 def stream_candles(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch(spark, "candles")
-    ticks.run_available(state.stream_candles(bars_stream(spark, sf)), ticks.batch_sink(path))
-    return spark.read.parquet(path).drop("batch")
+    return folded(spark, state.stream_candles(bars_stream(spark, sf)))
 
 
 @query(
@@ -87,6 +102,4 @@ def stream_candles(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT code, load_date, extreme::DOUBLE AS extreme, ud_trend, af::DOUBLE AS af, sar::DOUBLE AS sar, n_sar::DOUBLE AS n_sar FROM d_sar",
 )
 def stream_sar(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch(spark, "sar")
-    ticks.run_available(state.stream_sar(bars_stream(spark, sf)), ticks.batch_sink(path))
-    return spark.read.parquet(path).drop("batch")
+    return folded(spark, state.stream_sar(bars_stream(spark, sf)))

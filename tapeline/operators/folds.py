@@ -124,7 +124,7 @@ def parabolic_sar(bars: DataFrame, step: float = 0.05, cap: float = 0.5, suffix:
     return sar_columns(fold, suffix)
 
 
-def sar_columns(fold: DataFrame, suffix: str = "") -> DataFrame:
+def sar_columns(fold: DataFrame, suffix: str = "", extra: tuple[str, ...] = ()) -> DataFrame:
     return fold.select(
         "code",
         "load_date",
@@ -133,6 +133,7 @@ def sar_columns(fold: DataFrame, suffix: str = "") -> DataFrame:
         (F.col("a").cast("decimal(5,0)") / 100).cast("decimal(5,3)").alias(f"af{suffix}"),
         from_thousandths("s").alias(f"sar{suffix}"),
         from_thousandths("n").alias(f"n_sar{suffix}"),
+        *extra,
     )
 
 

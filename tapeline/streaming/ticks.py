@@ -19,11 +19,18 @@ from tapeline.plans.intraday import tick_bars
 from tapeline.staging import scratch
 
 
-def read_stream(spark: SparkSession, path: str, like: DataFrame, files_per_batch: int | None = None) -> DataFrame:
-    """Parquet files as a stream. A single file is reached through a one-letter glob class."""
+def read_stream(
+    spark: SparkSession, path: str, like: DataFrame, files_per_batch: int | None = None, bytes_per_batch: int | None = None
+) -> DataFrame:
+    """Parquet files as a stream. A single file is reached through a one-letter glob class.
+
+    A backfill of many files is read in batches of at most so many files or bytes (at least one file).
+    """
     reader = spark.readStream.schema(like.schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     folder, _, name = path.rstrip("/").rpartition("/")
     return reader.parquet(f"{folder}/[{name[0]}]{name[1:]}")
 
