@@ -61,7 +61,7 @@ def stream_insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "insert")
     live = events_stream(spark, sf).select("user_id", F.col("ts").cast("date").alias("day"), "event_id")
     for _ in range(2):  # a full replay with a fresh checkpoint must change nothing
-        ticks.run_available(live, ticks.insert_sink(path, ["user_id", "day"]))
+        ticks.run_available(live, ticks.insert_sink(path, ["user_id", "day"], by="day"))
     return spark.read.parquet(path).groupBy("user_id", "day").agg(F.count("*").alias("n"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tapeline.operators.keyindex import KeyIndex
 from tapeline.operators.windows import latest_per_key, newest_dates
 from tapeline.staging import stage
 
@@ -23,15 +24,20 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _complete(keys: list[str]) -> Column:
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & F.col(k).isNotNull()
+    return complete
+
+
 def absent_rows(target: DataFrame | None, new: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
     """Rows of `new` that a unique index on `keys` would accept.
 
     One row per key (the first by `order`, by all columns if not given), and none whose key
     is stored already. A key with a NULL never conflicts, so those rows all pass.
     """
-    complete = F.lit(True)
-    for k in keys:
-        complete = complete & F.col(k).isNotNull()
+    complete = _complete(keys)
     rest = [F.col(c) for c in new.columns if c not in keys]
     unique = latest_per_key(new.where(complete), keys, order or rest or [F.lit(0)])
     if target is not None:
@@ -44,16 +50,15 @@ def insert_ignore(
 ) -> None:
     """Append the rows whose key is not stored yet. Running it twice changes nothing.
 
-    `by` names a key column (a date) the table is partitioned by: then only the partitions
-    between the smallest and largest new value are read to look for conflicts.
+    `by` names a key column (a date) the table is partitioned by. The table's key index tells which partitions may hold
+    one of the new keys; only those are read, so a new day reads nothing. Without `by` there is one
+    bitmap for all keys, and the stored keys are read only if one of the new ones may be among them.
     """
-    target = read_table(spark, path)
-    if by:
-        new = stage(new)
-        if target is not None:
-            lo, hi = (new.agg(f(by)).scalar() for f in (F.min, F.max))
-            target = target.where(F.col(by).between(lo, hi))
-    writer = absent_rows(target, new, keys, order).write.mode("append")
+    index = KeyIndex(spark, path, keys, by)
+    complete = _complete(keys)
+    rows = stage(index.absent(stage(absent_rows(None, new, keys, order).where(complete))))
+    index.add(rows)
+    writer = rows.unionByName(new.where(~complete)).write.mode("append")
     (writer.partitionBy(by) if by else writer).parquet(path)
 
 

@@ -61,11 +61,11 @@ def batch_sink(path: str, *partition_by: str) -> Callable[[DataFrame, int], None
     return write
 
 
-def insert_sink(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """Insert-if-absent per batch; a replayed batch finds its keys stored."""
+def insert_sink(path: str, keys: list[str], by: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Insert-if-absent per batch; a replayed batch finds its keys stored. A batch reads only partitions that may hold its keys."""
 
     def write(batch: DataFrame, _: int) -> None:
-        insert_ignore(batch.sparkSession, path, batch, keys)
+        insert_ignore(batch.sparkSession, path, batch, keys, by=by)
 
     return write
 

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tapeline.operators import tables
+from tapeline.operators.keyindex import KeyIndex
 from tapeline.plans import loading
 from tapeline.sources import files
 
@@ -30,6 +32,60 @@ def test_insert_ignore_reads_only_the_dates_it_touches(spark, tmp_path):
     assert rows(spark.read.parquet(path).select("k", "d")) == [("a", days[0]), ("a", days[1]), ("a", days[2]), ("b", days[1])]
 
 
+def spoil(path, day):
+    """Make the stored rows of a day unreadable."""
+    for file in (path / f"d={day}").glob("*.parquet"):
+        file.write_bytes(b"spoilt")
+
+
+def test_insert_reads_no_partition_that_cannot_hold_the_key(spark, tmp_path):
+    path, schema = tmp_path / "t", "k string, d date, v int"
+    days = [dt.date(2020, 1, i) for i in (1, 2, 3, 4)]
+    first = [(f"k{i}", d, i) for d in days[:3] for i in range(50)]
+    tables.insert_ignore(spark, str(path), spark.createDataFrame(first, schema), ["k", "d"], by="d")
+    for d in days[:2]:
+        spoil(path, d)
+    # a new day, new keys of a stored day, and stored keys of a day that can be read
+    more = [("k1", days[3], 1), ("new", days[0], 2), ("k1", days[2], 3), ("k60", days[2], 4), (None, days[1], 5)]
+    for _ in range(2):
+        tables.insert_ignore(spark, str(path), spark.createDataFrame([m for m in more if m[0] != "new" or _ == 0], schema), ["k", "d"], by="d")
+    left = spark.read.schema(schema).parquet(str(path)).where(F.col("d") >= F.lit(days[2]))
+    assert sorted((r["k"], r["d"]) for r in left.collect()) == sorted([(f"k{i}", days[2]) for i in [*range(50), 60]] + [("k1", days[3])])
+    with pytest.raises(Exception, match="(?i)parquet|footer"):  # a stored key of a spoilt day has to be looked up
+        tables.insert_ignore(spark, str(path), spark.createDataFrame([("k1", days[0], 1)], schema), ["k", "d"], by="d")
+
+
+def test_key_index_of_full_bitmaps_and_of_older_tables(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k long, d date"
+    days = [dt.date(2020, 1, i) for i in (1, 2)]
+    old = spark.createDataFrame([(i, d) for d in days for i in range(300)], schema)
+    old.write.partitionBy("d").parquet(path)  # stored without an index
+    index = KeyIndex(spark, path, ["k", "d"], "d", slots=64)
+    new = spark.createDataFrame([(i, days[1]) for i in range(200, 500)], schema)
+    assert sorted(r["k"] for r in index.absent(new).collect()) == list(range(300, 500))
+    assert index.marked(new).where("_maybe").count() > 290  # every bit is set, the result is exact
+    assert KeyIndex(spark, path, ["k", "d"], "d").slots == 64
+
+
+def test_insert_is_repeated_after_a_crash_between_index_and_data(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k string, d date"
+    new = spark.createDataFrame([("a", dt.date(2020, 1, 1)), ("b", dt.date(2020, 1, 2))], schema)
+    KeyIndex(spark, path, ["k", "d"], "d").add(new)
+    for _ in range(2):
+        tables.insert_ignore(spark, path, new, ["k", "d"], by="d")
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_insert_without_partitions_looks_up_only_what_may_be_stored(spark, tmp_path):
+    path = tmp_path / "t"
+    tables.insert_ignore(spark, str(path), spark.range(100), ["id"])
+    for file in path.glob("*.parquet"):
+        file.write_bytes(b"spoilt")
+    tables.insert_ignore(spark, str(path), spark.range(100, 150), ["id"])
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        tables.insert_ignore(spark, str(path), spark.range(99, 101), ["id"])
+
+
 def test_null_keys_never_conflict(spark):
     new = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
     stored = spark.createDataFrame([(None, 9), ("a", 9)], "k string, v int")
