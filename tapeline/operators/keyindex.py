@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeline.operators.partitions import MISSING, folder_names, partition_values, read_partitions, texts_of
+from tapeline.operators.partitions import MISSING, folder_names, partition_values, read_partitions, rebalanced, texts_of
 from tapeline.staging import stage
 
 #: Bits of a partition: half a megabyte when full, 4 KB for each stretch in use.
@@ -45,7 +45,7 @@ class KeyIndex:
         """Set the bits of these rows."""
         bits = rows.select(self._part().alias("part"), self._slot().alias("slot")).groupBy("part", F.bitmap_bucket_number("slot").alias("bucket"))
         made = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-        made.write.mode("append").option("compression", "zstd").partitionBy("part").parquet(self.at)
+        rebalanced(made, "part").write.mode("append").option("compression", "zstd").partitionBy("part").parquet(self.at)
         self.exists = True
 
     def marked(self, rows: DataFrame) -> DataFrame:

@@ -42,3 +42,8 @@ def read_partitions(spark: SparkSession, path: str, schema: T.StructType, by: st
 def texts_of(df: DataFrame, by: str) -> list[str]:
     """The distinct partition values in `df` as folders name them. A batch touches few of them, however many rows it has."""
     return [r[0] for r in df.select(F.coalesce(F.col(by).cast("string"), F.lit(MISSING))).distinct().collect()]
+
+
+def rebalanced(df: DataFrame, by: str) -> DataFrame:
+    """Rows of a partition together before a partitioned write, so that it has few files; a large partition is split."""
+    return df.hint("rebalance", by)

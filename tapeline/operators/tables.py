@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tapeline.operators.keyindex import KeyIndex
+from tapeline.operators.partitions import rebalanced
 from tapeline.operators.windows import latest_per_key, newest_dates
 from tapeline.staging import stage
 
@@ -58,8 +59,11 @@ def insert_ignore(
     complete = _complete(keys)
     rows = stage(index.absent(stage(absent_rows(None, new, keys, order).where(complete))))
     index.add(rows)
-    writer = rows.unionByName(new.where(~complete)).write.mode("append")
-    (writer.partitionBy(by) if by else writer).parquet(path)
+    accepted = rows.unionByName(new.where(~complete))
+    if by:
+        rebalanced(accepted, by).write.mode("append").partitionBy(by).parquet(path)
+    else:
+        accepted.write.mode("append").parquet(path)
 
 
 def overwrite_snapshot(df: DataFrame, path: str) -> None:
