@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tapeline.llm.common import give_back, staged
-from tapeline.llm.words import REMEMBER, WordTokenizer, slices
+from tapeline.llm.words import REMEMBER, SLICE, WordTokenizer, slices
 
 CAPACITY = 4096
 END_ID = 1
@@ -41,15 +41,17 @@ def tokenize(
     end_id: int = END_ID,
     remember: int = REMEMBER,
     keep: bool = True,
+    slice_bytes: int = SLICE,
 ) -> DataFrame:
     """One row for each piece: id, piece, start, length, ids_crc32. A text's ids end with `end_id`; only longer ones are cut.
 
-    A worker keeps the tokenizer and half of the words it remembers for its next task, unless `keep` is false.
+    A worker keeps the tokenizer and half of the words it remembers for its next task, unless `keep` is false. It holds a
+    slice of about `slice_bytes` of texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _tokenizers.pop(path, None) or WordTokenizer(path, remember)
-        for part, texts in slices(batches):
+        for part, texts in slices(batches, most=slice_bytes):
             owner, rows = [], []
             for i, ids in enumerate(own.encode(texts)):
                 whole = np.append(ids, np.uint32(end_id)).astype("<u4")
@@ -181,15 +183,17 @@ def pack(
     end_id: int = END_ID,
     remember: int = REMEMBER,
     keep: bool = True,
+    slice_bytes: int = SLICE,
 ) -> DataFrame:
     """One row for each piece with its sequence_id and offset.
 
     Null texts count as empty: one piece that holds `end_id`. Ids of any type, repeated or null, pass
     through; rows that repeat are packed each. An empty table gives no rows. Pieces of one length are numbered in hash
     buckets whose counts are lined up, so a length that a third of all pieces share is
-    numbered by many tasks. The driver sees `capacity` counts. `remember` and `keep` bound the words a worker holds, see `tokenize`.
+    numbered by many tasks. The driver sees `capacity` counts. `remember`, `keep` and
+    `slice_bytes` bound what a worker holds, see `tokenize`.
     """
-    pieces = staged(tokenize(df, path, id_col, text_col, capacity, end_id, remember, keep).withColumn("spread", F.xxhash64(id_col, "piece", "ids_crc32")))
+    pieces = staged(tokenize(df, path, id_col, text_col, capacity, end_id, remember, keep, slice_bytes).withColumn("spread", F.xxhash64(id_col, "piece", "ids_crc32")))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
