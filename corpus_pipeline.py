@@ -19,8 +19,8 @@ from tapeline.staging import scratch
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
-#: The packing stage shares its Python workers with other stages, so it remembers fewer words than the operator alone.
-WORDS_HELD = 200_000
+#: The packing stage shares its Python workers with other stages, so it holds less than the operator alone and nothing between tasks.
+WORDS_HELD, SLICE_HELD = 100_000, 2_000_000
 
 _of_last_stage: list[str] = []
 
@@ -62,7 +62,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, packed into sequences of 4096 tokens."""
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER), remember=WORDS_HELD)
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER), remember=WORDS_HELD, keep=False, slice_bytes=SLICE_HELD)
 
 
 def _alone(stage: Stage) -> Stage:
