@@ -38,6 +38,9 @@ class KeyIndex:
     def _part(self) -> Column:
         return F.lit(ALL) if self.by is None else F.coalesce(F.col(self.by).cast("string"), F.lit(MISSING))
 
+    def _parts(self, rows: DataFrame) -> list[str]:
+        return [ALL] if self.by is None else texts_of(rows, self.by)
+
     def _slot(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.slots)) + 1
 
@@ -50,8 +53,7 @@ class KeyIndex:
 
     def marked(self, rows: DataFrame) -> DataFrame:
         """`rows` with the boolean `_maybe`: may the key be stored? Reads the bitmaps of the partitions in `rows` only."""
-        parts = [ALL] if self.by is None else texts_of(rows, self.by)
-        bits = read_partitions(self.spark, self.at, BITS, "part", parts)
+        bits = read_partitions(self.spark, self.at, BITS, "part", self._parts(rows))
         bits = bits.groupBy(F.col("part").alias("_part"), F.col("bucket").alias("_bucket")).agg(F.bitmap_or_agg("bits").alias("_bits"))
         keyed = rows.withColumns({"_part": self._part(), "_slot": self._slot()}).withColumn("_bucket", F.bitmap_bucket_number("_slot"))
         place = F.bitmap_bit_position("_slot")
@@ -63,7 +65,7 @@ class KeyIndex:
         """The rows whose key is not stored. Of the table, only the partitions that may hold one of the keys are read."""
         if not self.exists:
             self._catch_up(rows.schema)
-        if not self.exists:
+        if not self.exists or not set(self._parts(rows)) & set(partition_values(self.spark, self.at, "part")):
             return rows
         marked = stage(self.marked(rows))
         maybe = marked.where("_maybe").drop("_maybe")

@@ -29,14 +29,20 @@ def partition_values(spark: SparkSession, path: str, by: str) -> list[str]:
     return sorted(unescape(name[len(start) :]) for name in folder_names(spark, path) if name.startswith(start))
 
 
-def read_partitions(spark: SparkSession, path: str, schema: T.StructType, by: str, values: list[str]) -> DataFrame:
-    """Rows of these partitions; no other folder is listed or read. Values without a folder are left out."""
+def read_partitions(spark: SparkSession, path: str, schema: T.StructType | None, by: str, values: list[str]) -> DataFrame:
+    """Rows of these partitions; no other folder is listed or read. Values without a folder are left out.
+
+    Without a schema one file of these partitions tells it, so one of them must be there.
+    """
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     there = set(partition_values(spark, path, by))
     folders = [f"{path}/{by}={escape(v)}" for v in values if v in there]
     if not folders:
+        if schema is None:
+            raise ValueError(f"{path} has none of these partitions: {values}")
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.option("basePath", path).parquet(*folders)
 
 
 def texts_of(df: DataFrame, by: str) -> list[str]:

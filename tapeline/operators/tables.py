@@ -57,7 +57,9 @@ def insert_ignore(
     """
     index = KeyIndex(spark, path, keys, by)
     complete = _complete(keys)
-    rows = stage(index.absent(stage(absent_rows(None, new, keys, order).where(complete))))
+    unique = stage(absent_rows(None, new, keys, order).where(complete))
+    absent = index.absent(unique)
+    rows = absent if absent is unique else stage(absent)
     index.add(rows)
     accepted = rows.unionByName(new.where(~complete))
     if by:

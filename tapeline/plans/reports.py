@@ -51,20 +51,32 @@ class DailyRun:
         shorts: DataFrame | None = None,
         announcements: DataFrame | None = None,
         analysis: DataFrame | None = None,
+        later: DailyRun | None = None,
     ):
+        self._later = later
         self.d, self.day, self.settings = d, as_date(d), settings
         self._bars, self._categorise = bars, categorise
         self.shorts, self.announcements, self._analysis = shorts, announcements, analysis
         self._lookbacks: dict[tuple[str, str], DataFrame] = {}
 
     def day_before(self) -> DailyRun:
-        """The run of the previous trading day, from the same inputs."""
-        last = self.bars.where(F.col("load_date") < self.day).agg(F.max("load_date")).first()[0]
-        return DailyRun(self._bars, self._categorise, str(last), self.settings, self.shorts, self.announcements, self._analysis)
+        """The run of the previous trading day; what each row has from earlier days only is taken from this run.
+
+        On the first day there is none before it: the run of the calendar day before has no rows.
+        """
+        before = self.bars.where(F.col("load_date") < self.day)
+        last = before.agg(F.coalesce(F.max("load_date"), F.date_sub(self.day, 1))).first()[0]
+        return DailyRun(self._bars, self._categorise, str(last), self.settings, self.shorts, self.announcements, self._analysis, self)
+
+    def _up_to(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A frame of which each row depends on earlier days only: that of the later run, cut at this day."""
+        if self._later is not None:
+            return getattr(self._later, name).where(F.col("load_date") <= self.day)
+        return stage(make())
 
     @cached_property
     def bars(self) -> DataFrame:
-        return stage(self._bars.where(F.col("load_date") <= self.day))
+        return self._up_to("bars", lambda: self._bars.where(F.col("load_date") <= self.day))
 
     @cached_property
     def cats(self) -> DataFrame:
@@ -77,19 +89,19 @@ class DailyRun:
     @cached_property
     def actionable(self) -> DataFrame:
         s = self.settings
-        return stage(daily.actionable_list(self.bars, None, turnover_cuts=s.turnover_cuts, style=s.popularity))
+        return self._up_to("actionable", lambda: daily.actionable_list(self.bars, None, turnover_cuts=s.turnover_cuts, style=s.popularity))
 
     @cached_property
     def candles(self) -> DataFrame:
-        return stage(smoothed_candles(self.bars))
+        return self._up_to("candles", lambda: smoothed_candles(self.bars))
 
     @cached_property
     def ema(self) -> DataFrame:
-        return stage(daily.moving_averages(self.bars))
+        return self._up_to("ema", lambda: daily.moving_averages(self.bars))
 
     @cached_property
     def candle_ema(self) -> DataFrame:
-        return stage(daily.moving_averages(self.candles))
+        return self._up_to("candle_ema", lambda: daily.moving_averages(self.candles))
 
     @cached_property
     def macd(self) -> DataFrame:
@@ -97,17 +109,20 @@ class DailyRun:
 
     @cached_property
     def trend(self) -> DataFrame:
-        return stage(daily.ema_trend(self.ema))
+        return self._up_to("trend", lambda: daily.ema_trend(self.ema))
 
     @cached_property
     def sar(self) -> DataFrame:
-        return stage(parabolic_sar(self.bars))
+        return self._up_to("sar", lambda: parabolic_sar(self.bars))
 
     @cached_property
     def sar_pair(self) -> DataFrame:
-        slow = parabolic_sar(self.bars, 0.02, 0.2, "2").select("code", "load_date", "ud_trend2", "n_sar2")
-        fast = parabolic_sar(self.bars, 0.03, 0.3, "3").select("code", "load_date", "ud_trend3", "n_sar3")
-        return stage(slow.join(fast, ["code", "load_date"]))
+        def both() -> DataFrame:
+            slow = parabolic_sar(self.bars, 0.02, 0.2, "2").select("code", "load_date", "ud_trend2", "n_sar2")
+            fast = parabolic_sar(self.bars, 0.03, 0.3, "3").select("code", "load_date", "ud_trend3", "n_sar3")
+            return slow.join(fast, ["code", "load_date"])
+
+        return self._up_to("sar_pair", both)
 
     @cached_property
     def volume(self) -> DataFrame:
