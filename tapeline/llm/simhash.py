@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import join_groups, packed, staged, text_slices, with_row_key
+from tapeline.llm.common import give_back, join_groups, packed, staged, text_slices, with_row_key
 from tapeline.llm.components import connected_components
 
 SHINGLE = 3
@@ -58,6 +58,7 @@ def fingerprints(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for part, texts in text_slices(batches):
             found = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([part.column("row_key"), part.column("id"), pa.array(found)], ["row_key", "id", "fingerprint"])
+        give_back()
 
     return rows.select("row_key", "id", "text").mapInArrow(run, f"row_key long, id {rows.schema['id'].dataType.simpleString()}, fingerprint long")
 
@@ -195,6 +196,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         a, b = link_bucket_members(keys, own, max_bits)
         pairs = np.unique(np.stack([rep[a], rep[b]], axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        del held, table, keys, own, rep, order, a, b, pairs
+        give_back()
 
     keyed = prints.select("rep", "fingerprint").mapInArrow(spread, "key long, fingerprint long, rep long")
     return keyed.repartition("key").mapInArrow(compare, "a long, b long")

@@ -37,7 +37,7 @@ THRESHOLD = 100
 GRAM = 40
 #: Bytes of text hashed at once, and bytes of text after which a task gives out what it has found.
 CHUNK = 1 << 18
-HELD = 8 << 20
+HELD = 4 << 20
 #: Different reaches of one block in a task's text, from which on it spells out their windows at once.
 #: So a task never sends more rows than this of one block, however common it is.
 COMMON = 32
