@@ -20,7 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
 #: The packing stage shares its Python workers with other stages, so it holds less than the operator alone and nothing between tasks.
-WORDS_HELD, SLICE_HELD = 100_000, 2_000_000
+WORDS_HELD, SLICE_HELD = 100_000, 1_000_000
 
 _of_last_stage: list[str] = []
 
