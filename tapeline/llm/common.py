@@ -103,7 +103,8 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     fields = F.struct(*[F.col(c) for c in names])
     hot = groups.where(F.col(size) * HOT > total).select(F.col(key).alias("hot_key"), fields.alias("hot"))
     cold = groups.where(F.col(size) * HOT <= total).select(
-        F.col(key).alias("cold_key"), F.lit(0).cast("long").alias("cold_salt"), fields.alias("cold")
+        # no literal: the optimizer would take it out of the join's keys, and hot rows would meet again
+        F.col(key).alias("cold_key"), (F.col(size) * 0).cast("long").alias("cold_salt"), fields.alias("cold")
     )
     keyed = rows.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left").withColumn(
         "salt", F.when(F.col("hot").isNotNull(), F.xxhash64(F.col(spread)).bitwiseOR(F.lit(1))).otherwise(F.lit(0))
