@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tapeline.catalog import duck  # noqa: F401
 from tapeline.catalog.duck import ASOF, DAY
 from tapeline.catalog.registry import query
-from tapeline.operators.folds import parabolic_sar, smoothed_candles
+from tapeline.operators.folds import parabolic_sar, parabolic_sars, smoothed_candles
 from tapeline.plans import daily
 from tapeline.sources.panels import quotes, quotes_table
 
@@ -100,10 +100,8 @@ def sar(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT code, load_date, ud_trend2, n_sar2::DOUBLE AS n_sar2, ud_trend3, n_sar3::DOUBLE AS n_sar3 FROM d_sar23",
 )
 def sar_two(spark: SparkSession, sf: str) -> DataFrame:
-    bars = quotes_table(spark, sf)
-    slow = parabolic_sar(bars, 0.02, 0.2, "2").select("code", "load_date", "ud_trend2", "n_sar2")
-    fast = parabolic_sar(bars, 0.03, 0.3, "3").select("code", "load_date", "ud_trend3", "n_sar3")
-    return slow.join(fast, ["code", "load_date"])
+    both = parabolic_sars(quotes(spark, sf), {"2": (0.02, 0.2), "3": (0.03, 0.3)})
+    return both.select("code", "load_date", "ud_trend2", "n_sar2", "ud_trend3", "n_sar3")
 
 
 @query(

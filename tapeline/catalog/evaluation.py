@@ -106,7 +106,7 @@ SELECT load_date, dow, rnum, analysis, weight, short_position, code, open, close
   JOIN t_short s ON f.code = s.code AND f.load_date = s.load_date JOIN t_consensus c ON f.code = c.code AND f.load_date = c.load_date)"""
 
 
-fragment("c_cur", current_sql("WHERE target_ratio > 0.5") + " WHERE rnum <= 400")
+fragment("c_cur", current_sql("WHERE target_ratio > 0.5"))
 fragment("c_full", current_sql(""))
 _CUR = "SELECT load_date, dow, rnum, analysis, weight, short_position, code, open::DOUBLE AS open, close::DOUBLE AS close, volume, target_ratio, pe_rank, total_weight, total_rank FROM "
 
@@ -122,7 +122,7 @@ def _feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFram
 
 @query("current_list", _CUR + "c_cur")
 def current_list(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluation.current_list(*_feeds(spark, sf), newest=400)
+    return evaluation.current_list(*_feeds(spark, sf), newest=None)
 
 
 @query("current_list_full", _CUR + "c_full")
@@ -205,25 +205,25 @@ _POINTS = {5: (400_000.0, 100_000.0), 10: (700_000.0, 200_000.0), 15: (1_000_000
     + ", ".join(f"round(1 - 1 / (1 + exp(-((s{k} - {a}) * {1 / b!r}::DOUBLE))), 4) AS s{k}" for k, (a, b) in _POINTS.items())
     + f", CASE WHEN s10 > {_POINTS[10][0]} AND s15 > {_POINTS[15][0]} THEN 0.0 ELSE 1.0 END::DOUBLE AS flag FROM (SELECT f.load_date, "
     + ", ".join(f"sum(CASE WHEN pe_rank > {k} THEN 0 ELSE close * short_position END)::DOUBLE AS s{k}" for k in _POINTS)
-    + " FROM (SELECT *, rank() OVER (PARTITION BY load_date ORDER BY forward_pe DESC) AS pe_rank FROM t_finance) f JOIN t_short s ON f.code = s.code AND f.load_date = s.load_date GROUP BY 1) ORDER BY load_date DESC LIMIT 1000",
+    + " FROM (SELECT *, rank() OVER (PARTITION BY load_date ORDER BY forward_pe DESC) AS pe_rank FROM t_finance) f JOIN t_short s ON f.code = s.code AND f.load_date = s.load_date GROUP BY 1)",
 )
 def short_pressure(spark: SparkSession, sf: str) -> DataFrame:
     totals = panels.totals_table(spark, sf)
     finance = loading.finance_update(panels.web_finance(totals))
-    return evaluation.short_pressure(finance, loading.shorts_update(panels.web_short(totals)), _POINTS, newest=1000)
+    return evaluation.short_pressure(finance, loading.shorts_update(panels.web_short(totals)), _POINTS, newest=None)
 
 
 fragment(
     "i_perf",
     """
 SELECT a.code, a.ranking, e.load_date, (e.market_price - a.market_price)::DOUBLE / a.market_price::DOUBLE AS ratio
-FROM i_full a JOIN i_day n ON a.load_date = n.load_date JOIN i_day m ON n.ix = m.ix - 1 JOIN i_full e ON e.load_date = m.load_date AND e.code = a.code WHERE a.ranking < 6 AND n.rnum <= 401""",
+FROM i_full a JOIN i_day n ON a.load_date = n.load_date JOIN i_day m ON n.ix = m.ix - 1 JOIN i_full e ON e.load_date = m.load_date AND e.code = a.code WHERE a.ranking < 6""",
 )
 
 
 def _perf(spark: SparkSession, sf: str) -> DataFrame:
     full = stage(_instances(spark, sf, None))
-    return evaluation.next_day_performance(full, full.select("code", "load_date", "market_price"), calendar(full), newest=400)
+    return evaluation.next_day_performance(full, full.select("code", "load_date", "market_price"), calendar(full), newest=None)
 
 
 @query("next_day_performance", "SELECT * REPLACE (round(ratio, 6) AS ratio) FROM i_perf")

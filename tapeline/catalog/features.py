@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.catalog.registry import fragment, query
+from tapeline.catalog.registry import ORACLES, fragment, query
 from tapeline.plans import eavt, features, market_features
 from tapeline.plans.daily import calendar
 from tapeline.plans.features import FAMILIES, MEDIAN_PLACE, SPANS
@@ -550,20 +550,41 @@ LEFT JOIN (SELECT date_index, round(max(increase_rank)::DOUBLE / {UNIVERSE}, 3)
 )
 
 
+@query(
+    "training_output_individual",
+    "SELECT * FROM tr_set WHERE load_date IN (SELECT load_date FROM m_feat) AND date_index <> 114",
+)
+def training_output_individual(spark: SparkSession, sf: str) -> DataFrame:
+    return _output(spark, sf)[0]
+
+
+@query("training_output_market", f"SELECT * FROM ({ORACLES['market_features']}) WHERE load_date IN (SELECT load_date FROM tr_set) AND date_index <> 114")
+def training_output_market(spark: SparkSession, sf: str) -> DataFrame:
+    return _output(spark, sf)[1]
+
+
+def _output(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    individual = stage(_training(spark, sf))
+    market = stage(market_features.market_features(stage(market_features.market_indicators(panel(spark, sf), CAP))))
+    return features.common_dates(individual, market, 114)
+
+
 @query(
     "trends_long",
     " UNION ALL ".join(
-        f"""SELECT code, date_index, 'list{n:02d}' AS attr, {n} AS n, round((v - vo) / m, 6) AS newest FROM (
-  SELECT code, date_index, market_price::DOUBLE AS v, lag(market_price, {n - 1}) OVER w::DOUBLE AS vo, avg(market_price::DOUBLE) OVER (PARTITION BY code ORDER BY date_index ROWS 19 PRECEDING) AS m,
-    count(*) OVER (PARTITION BY code ORDER BY date_index ROWS 19 PRECEDING) AS c FROM w_tx WINDOW w AS (PARTITION BY code ORDER BY date_index)) WHERE c = 20 AND date_index >= 20"""
+        f"""SELECT code, date_index, 'list{n:02d}' AS attr, place - 1 AS place, round((vs[place] - vs[1]) / m, 6) AS val FROM (
+  SELECT code, date_index, list(market_price::DOUBLE) OVER (PARTITION BY code ORDER BY date_index ROWS {n - 1} PRECEDING) AS vs,
+    avg(market_price::DOUBLE) OVER (PARTITION BY code ORDER BY date_index ROWS 19 PRECEDING) AS m,
+    count(*) OVER (PARTITION BY code ORDER BY date_index ROWS 19 PRECEDING) AS c FROM w_tx), unnest(range(1, {n + 1})) AS t(place) WHERE c = 20 AND date_index >= 20"""
         for n in (20, 10, 5)
     ),
 )
 def trends_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Every value of every list as a row."""
     lists = features.rebased_lists(panel(spark, sf))
     long = features.trends_long(lists, ["code", "date_index"], ["list20", "list10", "list05"])
-    newest = F.round(F.get("val", F.size("val") - 1), 6)
-    return long.select("code", "date_index", "attr", F.size("val").cast("long").alias("n"), newest.alias("newest"))
+    values = long.select("code", "date_index", "attr", F.posexplode("val").alias("place", "val"))
+    return values.withColumns({"place": F.col("place").cast("long"), "val": F.round("val", 6)})
 
 
 _PERIODS = {"s1": ("1995-01-01", "1997-06-01"), "s2": ("1999-02-17", "2000-05-18")}

@@ -307,6 +307,29 @@ def merge_history(spark: SparkSession, sf: str) -> DataFrame:
     return loading.merge_history(finance.where("load_date >= DATE '1998-01-01'"), short, consensus, old)
 
 
+# Two loads of one moment: both of them are the latest.
+fragment(
+    "t_short_tied",
+    "SELECT code, load_date, CASE WHEN v % 21 = 0 THEN NULL ELSE s + hour END AS short_position FROM (SELECT *, unnest(CASE WHEN v % 6 = 0 THEN [9, 17] ELSE [17] END) AS hour FROM d_base)",
+)
+
+
+@query(
+    "merge_history_with_ties",
+    """
+SELECT f.code, f.load_date, f.close::DOUBLE AS close, short_position FROM t_finance f LEFT JOIN t_short s ON f.code = s.code AND f.load_date = s.load_date WHERE f.load_date < DATE '1999-01-01'
+UNION SELECT f.code, f.load_date, f.close::DOUBLE, short_position FROM t_finance f LEFT JOIN t_short_tied s ON f.code = s.code AND f.load_date = s.load_date WHERE f.load_date >= DATE '1998-01-01'""",
+)
+def merge_history_with_ties(spark: SparkSession, sf: str) -> DataFrame:
+    totals = panels.totals_table(spark, sf)
+    finance = loading.finance_update(panels.web_finance(totals)).select("code", "load_date", "close")
+    web_short, keys = panels.web_short(totals), ["code", "load_date"]
+    tied = loading.shorts_update(web_short.withColumn("sys_load", F.date_trunc("day", "sys_load")), ties=True).select(*keys, "short_position")
+    old = finance.join(loading.shorts_update(web_short).select(*keys, "short_position"), keys, "left").where("load_date < DATE '1999-01-01'")
+    none = tied.select(*keys).limit(0)
+    return loading.merge_history(finance.where("load_date >= DATE '1998-01-01'"), tied, none, old)
+
+
 @query(
     "general_transactions",
     """
@@ -315,6 +338,28 @@ SELECT e.code || '.AX' AS code, e.load_date AS record_date, (coalesce(ho, h) * 0
 FROM e JOIN (SELECT load_date, row_number() OVER (ORDER BY load_date) AS date_index FROM (SELECT DISTINCT load_date FROM e)) i ON e.load_date = i.load_date""",
 )
 def general_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    return _general(spark, sf).select("code", "record_date", "market_open", "market_price", "market_volume", "date_index")
+
+
+_GENERAL = """
+WITH e AS (SELECT * FROM d_base WHERE code <> 'Brand#3' AND load_date <> DATE '1998-04-26' AND v % 4 <> 0),
+g AS (SELECT code || '.AX' AS code, e.load_date AS record_date, c, h, l, date_index FROM e JOIN (SELECT load_date, row_number() OVER (ORDER BY load_date) AS date_index FROM (SELECT DISTINCT load_date FROM e)) i ON e.load_date = i.load_date)"""
+
+
+@query("general_ranges", _GENERAL + " SELECT code, record_date, (h * 0.01)::DOUBLE AS market_day_high, (l * 0.01)::DOUBLE AS market_day_low, date_index FROM g")
+def general_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    return _general(spark, sf).select("code", "record_date", "market_day_high", "market_day_low", "date_index")
+
+
+@query(
+    "general_performance",
+    _GENERAL + " SELECT s.code, s.date_index, (s.c * 0.01)::DOUBLE AS start_price, (e.c * 0.01)::DOUBLE AS end_price FROM g s JOIN g e ON s.code = e.code AND e.date_index = s.date_index + 25",
+)
+def general_performance(spark: SparkSession, sf: str) -> DataFrame:
+    return loading.general_performance(_general(spark, sf))
+
+
+def _general(spark: SparkSession, sf: str) -> DataFrame:
     totals = panels.totals_table(spark, sf)
     text = {c: F.col(c).cast("string") for c in ("open", "high", "low", "close")}
     hist = panels.quotes_of(totals).where("volume % 4 <> 0").select(
@@ -333,8 +378,7 @@ def general_transactions(spark: SparkSession, sf: str) -> DataFrame:
         F.col("low").alias("market_day_low"),
         F.lit(0).cast("long").alias("market_volume"),
     )
-    out = loading.general(export, hist, ["Brand#3.AX"], ["1998-04-26"])
-    return out.select("code", "record_date", "market_open", "market_price", "market_volume", "date_index")
+    return loading.general(export, hist, ["Brand#3.AX"], ["1998-04-26"])
 
 
 @query(

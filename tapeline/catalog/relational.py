@@ -599,6 +599,39 @@ def lag_by_row_offset(spark: SparkSession, sf: str) -> DataFrame:
     return windows.lag_by_column(placed, "code", "load_date", "close", "back", 11, "then_close").drop("close")
 
 
+@query(
+    "lag_by_any_offset",
+    """
+SELECT code, load_date, back, lag(close, back::INT) OVER (PARTITION BY code ORDER BY load_date)::DOUBLE AS then_close FROM (
+  SELECT *, CASE WHEN (volume * 7) % 3 = 0 THEN (volume * 31) % 1500 ELSE volume % 40 END AS back FROM d_bars)""",
+)
+def lag_by_any_offset(spark: SparkSession, sf: str) -> DataFrame:
+    far = F.when((F.col("volume") * 7) % 3 == 0, (F.col("volume") * 31) % 1500).otherwise(F.col("volume") % 40)
+    bars = panels.quotes(spark, sf).select("code", "load_date", "close", far.alias("back"))
+    return windows.lag_by_offset(bars, "code", "load_date", "close", "back", "then_close").drop("close")
+
+
+fragment(
+    "wk_span",
+    "SELECT code, load_date AS lo, load_date + CASE WHEN v % 97 = 0 THEN 2000 WHEN v % 11 = 0 THEN 200 ELSE v % 25 END::INT AS hi FROM w_base WHERE v % 3 = 0",
+)
+
+
+@query(
+    "bars_within_spans",
+    """
+SELECT s.code, s.lo, s.hi, count(*) AS n, sum(b.v)::BIGINT AS volume, max(b.h) / 100.0 AS top FROM wk_span s JOIN d_base b ON b.code = s.code AND b.load_date BETWEEN s.lo AND s.hi GROUP BY 1, 2, 3""",
+)
+def bars_within_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Range join of two tables: weekly spans of 1 to 2001 days with the daily bars inside."""
+    v = F.col("v")
+    days = F.when(v % 97 == 0, 2000).when(v % 11 == 0, 200).otherwise(v % 25).cast("int")
+    spans = panels.totals_table(spark, sf, "week").where(v % 3 == 0).select("code", F.col("load_date").alias("lo"), F.date_add("load_date", days).alias("hi"))
+    bars = panels.totals_table(spark, sf).select("code", F.col("load_date").alias("day"), "v", "h")
+    inside = joins.range_join(spans, bars, "code", "day", "lo", "hi")
+    return inside.groupBy("code", "lo", "hi").agg(F.count("*").alias("n"), F.sum("v").alias("volume"), (F.max("h") / 100).cast("double").alias("top"))
+
+
 @query(
     "rolling_frames",
     """

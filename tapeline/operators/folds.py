@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -124,17 +124,40 @@ def parabolic_sar(bars: DataFrame, step: float = 0.05, cap: float = 0.5, suffix:
     return sar_columns(fold, suffix)
 
 
-def sar_columns(fold: DataFrame, suffix: str = "", extra: tuple[str, ...] = ()) -> DataFrame:
-    return fold.select(
-        "code",
-        "load_date",
-        from_thousandths("e").alias(f"extreme{suffix}"),
-        F.when(F.col("up") == 1, "up").otherwise("down").alias(f"ud_trend{suffix}"),
-        (F.col("a").cast("decimal(5,0)") / 100).cast("decimal(5,3)").alias(f"af{suffix}"),
-        from_thousandths("s").alias(f"sar{suffix}"),
-        from_thousandths("n").alias(f"n_sar{suffix}"),
-        *extra,
+def together(steps: list[Step], width: int) -> Step:
+    """One step for several machines over the same rows: the state is theirs side by side, `width` values each."""
+
+    def run(state: tuple | None, row: tuple) -> tuple:
+        parts = [None] * len(steps) if state is None else [state[i * width : (i + 1) * width] for i in range(len(steps))]
+        return tuple(value for step, part in zip(steps, parts, strict=True) for value in step(part, row))
+
+    return run
+
+
+def parabolic_sars(bars: DataFrame, settings: dict[str, tuple[float, float]]) -> DataFrame:
+    """Parabolic stops of several settings {suffix: (step, cap)} from one shuffle and one sort of the bars."""
+    whole = bars.where("high IS NOT NULL AND low IS NOT NULL").select(
+        "code", "load_date", thousandths(F.col("high")).alias("_high"), thousandths(F.col("low")).alias("_low")
     )
+    steps = [sar_step(round(step * 100), round(cap * 100)) for step, cap in settings.values()]
+    names = [f"{c}{suffix}" for suffix in settings for c in ("e", "up", "a", "s", "n")]
+    fold = ordered_fold(whole, "code", "load_date", ["_high", "_low"], together(steps, 5), names)
+    columns = [c for suffix in settings for c in _sar_columns(suffix, suffix)]
+    return fold.select("code", "load_date", *columns)
+
+
+def sar_columns(fold: DataFrame, suffix: str = "", extra: tuple[str, ...] = ()) -> DataFrame:
+    return fold.select("code", "load_date", *_sar_columns("", suffix), *extra)
+
+
+def _sar_columns(of: str, suffix: str) -> list[Column]:
+    return [
+        from_thousandths(f"e{of}").alias(f"extreme{suffix}"),
+        F.when(F.col(f"up{of}") == 1, "up").otherwise("down").alias(f"ud_trend{suffix}"),
+        (F.col(f"a{of}").cast("decimal(5,0)") / 100).cast("decimal(5,3)").alias(f"af{suffix}"),
+        from_thousandths(f"s{of}").alias(f"sar{suffix}"),
+        from_thousandths(f"n{of}").alias(f"n_sar{suffix}"),
+    ]
 
 
 def streaks(df: DataFrame, key: str, order: str, direction: str, out: str) -> DataFrame:

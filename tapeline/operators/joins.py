@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from tapeline.functions.numeric import ratio
 from tapeline.functions.series import by
 
+#: Buckets that a span covers at most, before wider ones are taken.
+WIDEST = 8
+
 
 def enrich(df: DataFrame, other: DataFrame, keys: list[str], defaults: dict[str, object] | None = None) -> DataFrame:
     """Left join; missing values of the right side may get defaults."""
@@ -49,20 +52,36 @@ def with_last_n(df: DataFrame, key: str, idx: str, cols: list[str], n: int) -> D
     return wide.withColumn("_first", F.lag(idx, n - 1).over(w)).where(F.col(idx) - F.col("_first") == n - 1).drop("_first")
 
 
-def range_join(left: DataFrame, right: DataFrame, key: str, date: str, lo: str, hi: str, bucket_days: int) -> DataFrame:
+def range_join(left: DataFrame, right: DataFrame, key: str, date: str, lo: str, hi: str, bucket_days: int | None = None) -> DataFrame:
     """Rows of `right` whose date lies in [lo, hi] of a `left` row with the same key.
 
     Both sides carry a time bucket, so the join is an equi join on (key, bucket): a key with
     a long history is spread over many tasks and only overlapping buckets meet. `right` must
     not share column names with `left` other than the key.
-    """
 
-    def bucket(c: Column) -> Column:
-        return F.floor(F.unix_date(c) / bucket_days)
-
-    spans = left.withColumn("_b", F.explode(F.sequence(bucket(F.col(lo)), bucket(F.col(hi)))))
-    points = right.withColumn("_b", bucket(F.col(date)))
-    return spans.join(points, [key, "_b"]).where((F.col(date) >= F.col(lo)) & (F.col(date) <= F.col(hi))).drop("_b")
+    Buckets are as wide as nine of ten spans are long, if their width is not given. A span that would cover more than
+    WIDEST buckets lies in buckets WIDEST times as wide, or that many times again, so it never covers more than WIDEST + 1;
+    a row of `right` stands in one bucket of each width in use, which are few. Spans with a missing or reversed end match nothing.
+    """
+    spans = left.where(F.col(lo) <= F.col(hi))
+    length = F.date_diff(hi, lo) + 1
+    most, usual = spans.agg(F.max(length), F.percentile_approx(length, 0.9)).first()
+    if most is None:
+        return left.join(right, key).where(F.lit(False))
+    widths = [bucket_days or max(1, usual)]
+    while most > widths[-1] * WIDEST:
+        widths.append(widths[-1] * WIDEST)
+
+    def bucket(c: Column, width: Column | int) -> Column:
+        return F.floor(F.unix_date(c) / width)
+
+    width = F.lit(widths[-1])
+    for w in reversed(widths[:-1]):
+        width = F.when(length <= w * WIDEST, F.lit(w)).otherwise(width)
+    spans = spans.withColumn("_w", width).withColumn("_b", F.explode(F.sequence(bucket(F.col(lo), F.col("_w")), bucket(F.col(hi), F.col("_w")))))
+    points = right.where(F.col(date).isNotNull()).withColumn("_w", F.explode(F.array(*map(F.lit, widths))))
+    points = points.withColumn("_b", bucket(F.col(date), F.col("_w")))
+    return spans.join(points, [key, "_w", "_b"]).where((F.col(date) >= F.col(lo)) & (F.col(date) <= F.col(hi))).drop("_w", "_b")
 
 
 def look_back(df: DataFrame, key: str, date: str, days: int, **aggs: Column) -> DataFrame:

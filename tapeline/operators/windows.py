@@ -15,6 +15,10 @@ from tapeline.functions.series import by, last_rows
 from tapeline.staging import stage
 
 BUCKETS = 200
+#: A value with more than 1/HOT of all rows is heavy.
+HOT = 1000
+#: Rows of one key that `lag_by_offset` looks up together.
+BLOCK = 256
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -35,7 +39,7 @@ def rank_per_date(df: DataFrame, date: str, order: list[Column], out: str = "ran
     return df.withColumn(out, F.row_number().over(W.partitionBy(date).orderBy(*order)))
 
 
-def rank_ties(df: DataFrame, part: str | None, order: Column, out: str) -> DataFrame:
+def rank_ties(df: DataFrame, part: str | list[str] | None, order: Column, out: str) -> DataFrame:
     """rank(): equal values share a position. Without a partition the frame must be one row per code."""
     w = (W.partitionBy(part) if part else W).orderBy(order)
     return df.withColumn(out, F.rank().over(w))
@@ -50,26 +54,39 @@ def rank_all(df: DataFrame, value: str, out: str = "rank", descending: bool = Tr
     value. The distinct values are cut at approximate quantiles into buckets of similar size;
     a running count over the buckets (at most `buckets` rows) gives each bucket its offset,
     and values are ranked inside their bucket in parallel. The cuts only balance the work:
-    the ranks are exact wherever they fall. Both steps are written once, so every branch sees
-    the same buckets.
+    the ranks are exact wherever they fall.
+
+    Ranks go back to the rows by a join on the value. Values of more than a thousandth of all rows
+    (fewer than a thousand of them, by counting) are broadcast; their rows, and those without a value, carry a
+    number of their own through the shuffle, so no task gets them together.
     """
     direction = -1 if descending else 1
-    counts = stage(df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n")))
+    counts = stage(df.groupBy(value).agg(F.count("*").alias("_n")))
+    known = counts.where(F.col(value).isNotNull())
     signed = F.col(value).cast("double") * direction
-    cuts = counts.agg(F.percentile_approx(signed, [i / buckets for i in range(1, buckets)])).scalar()
-    below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    keyed = stage(counts.withColumns({"_v": signed, "_cuts": cuts}).withColumn("_b", below).drop("_cuts"))
+    cuts = known.agg(F.percentile_approx(signed, [i / buckets for i in range(1, buckets)])).first()[0] or []
+    limits = F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>")
+    keyed = known.withColumn("_v", signed).withColumn("_b", F.size(F.filter(limits, lambda c: c < F.col("_v"))))
     ahead = W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     sizes = keyed.groupBy("_b").agg(F.sum("_n").alias("_size"))
     offsets = sizes.select("_b", F.coalesce(F.sum("_size").over(ahead), F.lit(0)).alias("_offset"))
     # Order by the value itself: two large whole numbers may share a double.
     inside = W.partitionBy("_b").orderBy(F.desc(value) if descending else F.asc(value))
     before = inside.rowsBetween(W.unboundedPreceding, -1)
-    ranks = keyed.withColumn("_in", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(offsets, "_b")
-    missing = df.where(F.col(value).isNull()).count() if nulls_first else 0
-    present = 0 if nulls_first else (counts.agg(F.sum("_n")).first()[0] or 0)
-    ranked = df.join(ranks.select(value, (F.col("_offset") + F.col("_in") + 1 + missing).alias(out)), value, "left")
-    return ranked.withColumn(out, F.coalesce(out, F.lit(present + 1).cast("long")))
+    placed = keyed.withColumn("_in", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(offsets, "_b")
+    total, missing = (counts.where(c).agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar() for c in ("true", F.col(value).isNull()))
+    ranks = stage(placed.select(F.col(value).alias("_value"), "_n", (F.col("_offset") + F.col("_in") + 1).alias("_rank"), total.alias("_total")))
+    heavy = ranks.where(F.col("_n") * HOT > F.col("_total")).select(F.col("_value").alias("_heavy"), F.col("_rank").alias("_heavy_rank"))
+    others = ranks.where(F.col("_n") * HOT <= F.col("_total")).select(F.col("_value").alias("_other"), (F.col("_n") * 0).alias("_zero"), F.col("_rank").alias("_other_rank"))
+    # _zero is no literal: the optimizer would take it out of the join's keys
+    apart = F.col("_heavy_rank").isNotNull() | F.col(value).isNull()
+    spread = df.join(F.broadcast(heavy), F.col(value) == F.col("_heavy"), "left").withColumn("_own", F.when(apart, F.monotonically_increasing_id() + 1).otherwise(F.lit(0)))
+    joined = spread.join(others, (F.col(value) == F.col("_other")) & (F.col("_own") == F.col("_zero")), "left")
+    found = F.coalesce("_heavy_rank", "_other_rank")
+    # the constant part is one row, read by a scalar subquery
+    none = F.lit(1).cast("long") if nulls_first else (total - missing + 1).cast("long")
+    rank = F.when(F.col(value).isNull(), none).otherwise(found + missing if nulls_first else found)
+    return joined.select(*df.columns, rank.cast("long").alias(out))
 
 
 def lags(df: DataFrame, key: str, order: str, col: str, ns: list[int]) -> DataFrame:
@@ -94,6 +111,19 @@ def lag_by_column(df: DataFrame, key: str, order: str, col: str, offset: str, mo
     return df.withColumn("_h", boxed).withColumn(out, picked).drop("_h")
 
 
+def lag_by_offset(df: DataFrame, key: str, order: str, col: str, offset: str, out: str) -> DataFrame:
+    """lag with an offset taken from each row, over the whole history; NULL beyond it and for a negative or missing offset.
+
+    A key's values stand in arrays of BLOCK rows, one row each, and a row looks its element up by (key, block).
+    """
+    placed = stage(df.withColumn("_place", (F.row_number().over(by(key, order)) - 1).cast("long")))
+    blocks = placed.groupBy(key, F.floor(F.col("_place") / BLOCK).alias("_block")).agg(F.array_sort(F.collect_list(F.struct("_place", F.col(col).alias("v")))).alias("_values"))
+    target = F.when(F.col(offset) >= 0, F.col("_place") - F.col(offset))
+    aimed = placed.withColumn("_aim", F.when(target >= 0, target)).withColumn("_block", F.floor(F.col("_aim") / BLOCK))
+    looked = aimed.join(blocks, [key, "_block"], "left")
+    return looked.select(*df.columns, F.get("_values", (F.col("_aim") % BLOCK).cast("int")).getField("v").alias(out))
+
+
 def rolling_min(df: DataFrame, key: str, order: str, col: str, n: int, out: str) -> DataFrame:
     """Minimum of the last n rows."""
     return df.withColumn(out, F.min(col).over(last_rows(by(key, order), n)))

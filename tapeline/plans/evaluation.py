@@ -149,10 +149,10 @@ def normalised_prices(finance: DataFrame, votes: DataFrame, rows: int = 10, plac
     return wide.join(held, "load_date", "left_semi")
 
 
-def short_pressure(finance: DataFrame, shorts: DataFrame, points: dict[int, tuple[float, float]], newest: int = 10) -> DataFrame:
+def short_pressure(finance: DataFrame, shorts: DataFrame, points: dict[int, tuple[float, float]], newest: int | None = 10) -> DataFrame:
     """Short value of the codes up to each earnings rank, mapped to 1 - sigmoid((x - a) / b), and a warning flag.
 
-    `points` maps a rank cap to (a, b). The flag is 0 when the two middle caps exceed their a.
+    `points` maps a rank cap to (a, b). The flag is 0 when the two middle caps exceed their a. `newest` days, or all.
     """
     placed = rank_ties(finance, "load_date", F.desc("forward_pe"), "pe_rank")
     rows = placed.join(shorts.select("code", "load_date", "short_position"), ["code", "load_date"])
@@ -163,17 +163,21 @@ def short_pressure(finance: DataFrame, shorts: DataFrame, points: dict[int, tupl
     warned = F.lit(True)
     for k in mid:
         warned = warned & (F.col(f"_s{k}").cast("double") > points[k][0])
-    newest_days = calendar(sums.select("load_date")).where(F.col("rnum") <= newest).select("load_date")
-    return sums.join(newest_days, "load_date", "left_semi").select(
+    if newest is not None:
+        newest_days = calendar(sums.select("load_date")).where(F.col("rnum") <= newest).select("load_date")
+        sums = sums.join(newest_days, "load_date", "left_semi")
+    return sums.select(
         "load_date",
         *[dec(squash(F.col(f"_s{k}"), 1 / points[k][1], points[k][0], "inverse"), 4, 6).alias(f"s{k}") for k in order],
         F.when(warned, F.lit(0.0)).otherwise(F.lit(1.0)).alias("flag"),
     )
 
 
-def next_day_performance(ranked: DataFrame, prices: DataFrame, days: DataFrame, top: int = 5, newest: int = 10) -> DataFrame:
-    """Return of each day's best codes to the next trading day."""
-    best = ranked.where(F.col("ranking") <= top).join(days.select("load_date", "date_index", "rnum"), "load_date").where(F.col("rnum") <= newest + 1)
+def next_day_performance(ranked: DataFrame, prices: DataFrame, days: DataFrame, top: int = 5, newest: int | None = 10) -> DataFrame:
+    """Return of each day's best codes to the next trading day, on the `newest` days or all."""
+    best = ranked.where(F.col("ranking") <= top).join(days.select("load_date", "date_index", "rnum"), "load_date")
+    if newest is not None:
+        best = best.where(F.col("rnum") <= newest + 1)
     later = prices.join(days.select("load_date", "date_index"), "load_date").select(
         "code", (F.col("date_index") - 1).alias("date_index"), "load_date", F.col("market_price").alias("_later")
     )

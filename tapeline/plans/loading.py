@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from tapeline.functions.numeric import dec, ratio
 from tapeline.functions.series import by
 from tapeline.functions.text import between, blank, first_filled, magnitude
+from tapeline.operators.joins import forward_return
 from tapeline.operators.rows import latest_batch, project
 from tapeline.operators.tables import open_batches
-from tapeline.operators.windows import latest_per_key
+from tapeline.operators.windows import latest_per_key, rank_ties
 from tapeline.sources.files import file_info_type, file_record_date
 from tapeline.sources.panels import EXCHANGE_SUFFIX, MARKET_UTC_HOURS, with_typical
 
@@ -64,8 +65,10 @@ def quotes_update(web_quote: DataFrame, web_ticker: DataFrame) -> DataFrame:
     return with_typical(typed.join(fresh_quotes(web_ticker), ["code", "load_date"], "left_semi"))
 
 
-def newest_load(df: DataFrame, key: str, ts: str, date: str = "load_date") -> DataFrame:
-    """The newest load of each key and day. The clock time orders loads; text order breaks ties."""
+def newest_load(df: DataFrame, key: str, ts: str, ties: bool = False, date: str = "load_date") -> DataFrame:
+    """The newest load of each key and day. The clock time orders loads; text order breaks ties, or with `ties` all rows of that time stay."""
+    if ties:
+        return rank_ties(df.withColumn(date, F.col(ts).cast("date")), [key, date], F.desc(ts), "_rank").where("_rank = 1").drop("_rank")
     others = [F.desc_nulls_last(c) for c in sorted(df.columns) if c not in (key, ts)]
     return latest_per_key(df.withColumn(date, F.col(ts).cast("date")), [key, date], [F.desc(ts), *others])
 
@@ -148,10 +151,10 @@ def consensus_or_default(web_consensus: DataFrame, default: int = 5) -> DataFram
     )
 
 
-def shorts_update(web_short: DataFrame, latest_only: bool = False) -> DataFrame:
-    """Latest short position per code and day; key (code, load_date)."""
+def shorts_update(web_short: DataFrame, latest_only: bool = False, ties: bool = False) -> DataFrame:
+    """Latest short position per code and day; key (code, load_date). With `ties` all rows of the latest load time are kept."""
     rows = latest_batch(web_short, "sys_load") if latest_only else web_short
-    newest = newest_load(rows, "product_code", "sys_load")
+    newest = newest_load(rows, "product_code", "sys_load", ties)
     return newest.select(
         F.trim("product_code").alias("code"),
         "load_date",
@@ -278,6 +281,11 @@ def general(export: DataFrame, hist: DataFrame, drop_codes: list[str], drop_date
     return rows.join(calendar(rows, "record_date").select("record_date", "date_index"), "record_date")
 
 
+def general_performance(transactions: DataFrame, ahead: int = 25) -> DataFrame:
+    """Price of each row and of the same code `ahead` indexed dates later."""
+    return forward_return(transactions, "code", "date_index", ahead, "market_price", "market_price").select("code", "date_index", "start_price", "end_price")
+
+
 def etl_log(batches: DataFrame, landings: dict[str, DataFrame], unkeyed: dict[str, DataFrame], day: Column) -> DataFrame:
     """Records per job on one day. Keyed landings count by batch, the others go to one job name."""
     today = batches.where(F.col("start_time").cast("date") == day)

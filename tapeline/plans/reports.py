@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tapeline.functions.numeric import dec, ratio
 from tapeline.functions.text import joined, or_null_text
-from tapeline.operators.folds import parabolic_sar, smoothed_candles
+from tapeline.operators.folds import parabolic_sar, parabolic_sars, smoothed_candles
 from tapeline.operators.joins import compare_lists
 from tapeline.operators.tables import backup_snapshot, insert_ignore, overwrite_snapshot
 from tapeline.plans import daily, market_index, rankings, views
@@ -118,9 +118,8 @@ class DailyRun:
     @cached_property
     def sar_pair(self) -> DataFrame:
         def both() -> DataFrame:
-            slow = parabolic_sar(self.bars, 0.02, 0.2, "2").select("code", "load_date", "ud_trend2", "n_sar2")
-            fast = parabolic_sar(self.bars, 0.03, 0.3, "3").select("code", "load_date", "ud_trend3", "n_sar3")
-            return slow.join(fast, ["code", "load_date"])
+            stops = parabolic_sars(self.bars, {"2": (0.02, 0.2), "3": (0.03, 0.3)})
+            return stops.select("code", "load_date", "ud_trend2", "n_sar2", "ud_trend3", "n_sar3")
 
         return self._up_to("sar_pair", both)
 

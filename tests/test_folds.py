@@ -63,6 +63,18 @@ def test_sar_by_hand():
     assert s == (9000, 1, 5, 9100, 9095)  # crossed: up from min(extreme, high), next stop drawn to the low
 
 
+def test_settings_share_one_shuffle_and_equal_single_folds(spark, sf):
+    from tapeline.sources.panels import quotes_table
+
+    bars = quotes_table(spark, sf)
+    both = folds.parabolic_sars(bars, {"2": (0.02, 0.2), "3": (0.03, 0.3), "": (0.05, 0.5)})
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("MapInArrow") == 1
+    for suffix, setting in (("2", (0.02, 0.2)), ("3", (0.03, 0.3)), ("", (0.05, 0.5))):
+        one = folds.parabolic_sar(bars, *setting, suffix)
+        assert rows(both.select(*one.columns)) == rows(one)
+
+
 def test_sar_flips_only_on_breach(spark, sf):
     from pyspark.sql import Window as W
 

@@ -44,6 +44,48 @@ def test_range_join_against_brute_force_with_a_hot_key(spark):
     assert got.count() == expected
 
 
+def test_range_join_measures_its_buckets_and_spreads_long_spans(spark):
+    rng = random.Random(11)
+    spans = [(rng.choice("ab"), day(s), day(s + rng.choice([0, 1, 3, 3, 5, 90, 2500, -2]))) for s in (rng.randint(0, 900) for _ in range(80))]
+    points = [(rng.choice("abc"), day(rng.randint(-50, 3500)), i) for i in range(900)]
+    a = spark.createDataFrame([*spans, ("a", None, day(3)), ("a", day(3), None)], "code string, lo date, hi date")
+    b = spark.createDataFrame([*points, ("a", None, -1)], "code string, day date, i int")
+    got = joins.range_join(a, b, "code", "day", "lo", "hi")
+    assert got.columns == ["code", "lo", "hi", "day", "i"]
+    want = sorted((k, lo, hi, i) for k, lo, hi in spans for k2, d, i in points if k == k2 and lo <= d <= hi)
+    assert sorted((r["code"], r["lo"], r["hi"], r["i"]) for r in got.collect()) == want
+    assert joins.range_join(a.limit(0), b, "code", "day", "lo", "hi").count() == 0
+
+
+def test_lag_by_offset_over_the_whole_history(spark):
+    rng = random.Random(5)
+    data = []
+    for code, n in (("a", 900), ("b", 256), ("c", 1)):
+        data += [(code, i, None if i % 9 == 0 else i * 7, rng.choice([0, 1, i, i + 1, rng.randint(0, 900), -1, None])) for i in range(n)]
+    df = spark.createDataFrame(data, "code string, i int, x int, back int").repartition(3)
+    value = {(c, i): x for c, i, x, _ in data}
+    got = {(r["code"], r["i"]): r["then"] for r in windows.lag_by_offset(df, "code", "i", "x", "back", "then").collect()}
+    assert got == {(c, i): value.get((c, i - b)) if b is not None and b >= 0 else None for c, i, _, b in data}
+
+
+def test_rank_all_spreads_missing_and_heavy_values(spark):
+    rng = random.Random(9)
+    values = [None] * 9000 + [7] * 500 + [rng.randint(0, 10**6) for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v long").repartition(6)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = windows.rank_all(df, "v").withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    known = [v for v in values if v is not None]
+    order = {v: 1 + sum(x > v for x in known) for v in set(known)} | {None: len(known) + 1}
+    assert {r["id"]: r["rank"] for r in out} == {i: order[v] for i, v in enumerate(values)}
+    sizes = [sum(r["p"] == p for r in out) for p in {r["p"] for r in out}]
+    assert len(sizes) == 4 and max(sizes) < 3500  # of 10,000 rows over four tasks
+
+
 def test_lag_by_column(spark):
     df = spark.createDataFrame([("a", i, i * 10, o) for i, o in enumerate([0, 1, 5, 2])], "code string, load_date int, x int, o int")
     got = windows.lag_by_column(df, "code", "load_date", "x", "o", 5, "y").orderBy("load_date").collect()
