@@ -78,15 +78,15 @@ def flag(pred: Column) -> Column:
     return F.when(pred, F.lit(1)).otherwise(F.lit(0))
 
 
-#: Values that `first_by` and `last_by` can carry are whole numbers from -HALF to HALF - 1.
-HALF = 5 * 10**18
+#: Half of the range that a packed value has: every 64-bit whole number lies within.
+HALF = 10**19
 
 
 def first_by(seq: Column, value: Column) -> Column:
     """Aggregate: the value at the smallest `seq`, the smallest value among ties.
 
     Both are whole numbers. They are packed into one decimal, so the aggregation stays a hash
-    aggregation with map-side partials; a struct would force a sort. A value beyond HALF or a
+    aggregation with map-side partials; a struct would force a sort. Any long fits as a value; a
     sequence beyond 10^18 raises an error.
     """
     return _value(F.min(_packed(seq, value)))
@@ -98,10 +98,8 @@ def last_by(seq: Column, value: Column) -> Column:
 
 
 def _packed(seq: Column, value: Column) -> Column:
-    whole = value.cast("decimal(19,0)")
-    inside = F.when((whole >= F.lit(Decimal(-HALF))) & (whole < F.lit(Decimal(HALF))), whole + F.lit(Decimal(HALF)))
-    checked = F.when(whole.isNull(), F.lit(None)).otherwise(F.coalesce(inside, F.raise_error(F.lit("value out of range")).cast("decimal(20,0)")))
-    return (seq.cast("decimal(18,0)") * F.lit(Decimal(2 * HALF)) + checked).cast("decimal(38,0)")
+    wide = seq.cast("decimal(18,0)") * F.lit(Decimal(2 * HALF)).cast("decimal(20,0)")
+    return (wide + (value.cast("decimal(19,0)") + F.lit(Decimal(HALF)).cast("decimal(20,0)"))).cast("decimal(38,0)")
 
 
 def _value(packed: Column) -> Column:

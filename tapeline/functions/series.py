@@ -41,15 +41,35 @@ EMA40 = ema_weights(40, 25)
 def weighted_last(c: Column, w: WindowSpec, weights: list[Decimal], scale: int = 3) -> Column:
     """Exact sum of weights[i] * c[t-i]; NULL unless all rows exist. Newest weight first.
 
-    Decimal arithmetic, so the result has no floating-point noise, rounds the same way
-    everywhere and holds every price that decimal(18, scale) does.
+    No floating-point noise, rounds the same way everywhere, and holds every price that decimal(18, scale) does.
     """
-    n, stored = len(weights), f"decimal(38,{WEIGHT_DIGITS + scale})"
-    history = list_last(c.cast(f"decimal(18,{scale})"), w, n)
-    oldest_first = F.array(*[F.lit(x).cast(f"decimal({WEIGHT_DIGITS + 1},{WEIGHT_DIGITS})") for x in reversed(weights)])
-    products = F.zip_with(history, oldest_first, lambda value, weight: value * weight)
-    total = F.aggregate(products, F.lit(0).cast(stored), lambda acc, x: (acc + x).cast(stored))
-    return F.when(F.size(history) == n, total)
+    history = list_last(wholes(c, scale), w, len(weights))
+    return F.when(F.size(history) == len(weights), weighted_of(history, weights, scale))
+
+
+def wholes(c: Column, scale: int = 3) -> Column:
+    """c * 10^scale as a whole number."""
+    return (c.cast(f"decimal(18,{scale})") * 10**scale).cast("long")
+
+
+def weighted_of(history: Column, weights: list[Decimal], scale: int = 3) -> Column:
+    """Exact sum of weights[-1 - i] * history[i] / 10^scale for an array of as many `wholes`, oldest first.
+
+    Sums of whole numbers where all products surely fit 64 bits, else of decimals.
+    """
+    stored = f"decimal(38,{WEIGHT_DIGITS + scale})"
+    factors = [int(x.scaleb(WEIGHT_DIGITS)) for x in reversed(weights)]
+    most = (2**63 - 1) // max(1, sum(map(abs, factors)))
+    fits = (F.array_max(history) <= F.lit(most)) & (F.array_min(history) >= F.lit(-most))
+
+    def total(values: list[Column], kind: str, of: str) -> Column:
+        products = F.zip_with(history, F.array(*values), lambda value, weight: value.cast(of) * weight)
+        return F.aggregate(products, F.lit(0).cast(kind), lambda acc, x: (acc + x).cast(kind))
+
+    whole = total([F.lit(x).cast("long") for x in factors], "long", "long").cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-(WEIGHT_DIGITS + scale)))
+    shares = [F.lit(Decimal(x).scaleb(-WEIGHT_DIGITS)).cast(f"decimal({WEIGHT_DIGITS + 1},{WEIGHT_DIGITS})") for x in factors]
+    large = total(shares, f"decimal(38,{WEIGHT_DIGITS})", "decimal(19,0)").cast(f"decimal({WEIGHT_DIGITS + 20},{WEIGHT_DIGITS})") * F.lit(Decimal(1).scaleb(-scale))
+    return F.when(fits, whole.cast(stored)).otherwise(large.cast(stored))
 
 
 def list_last(c: Column, w: WindowSpec, n: int) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tapeline.functions.numeric import cases, dec, flag, ratio
-from tapeline.functions.series import EMA15, EMA40, by, last_rows, weighted_last
+from tapeline.functions.series import EMA15, EMA40, by, last_rows, list_last, newest_of, weighted_last, weighted_of, wholes
 from tapeline.operators.folds import streaks
 
 DateLike = dt.date | str | Column
@@ -87,15 +87,17 @@ def weighted_ma(series: DataFrame, value: str, weights: list[Decimal], out: str,
 
 def moving_averages(bars: DataFrame, short: list[Decimal] = EMA15, long: list[Decimal] = EMA40) -> DataFrame:
     """code, load_date, price, ema15, ema40 where both means have a full history."""
-    w = by()
-    out = bars.select(
+    n = max(len(short), len(long))
+    # a row counts only if all its closes are there, so the newest ones of the long list are the short list
+    closes = bars.select("code", "load_date", F.col("close").alias("price"), list_last(wholes(F.col("close")), by(), n).alias("_h"))
+    full = closes.where(F.size("_h") == n)
+    return full.select(
         "code",
         "load_date",
-        F.col("close").alias("price"),
-        dec(weighted_last(F.col("close"), w, short), 4, 14).alias("ema15"),
-        dec(weighted_last(F.col("close"), w, long), 4, 14).alias("ema40"),
+        "price",
+        dec(weighted_of(newest_of(F.col("_h"), len(short)), short), 4, 14).alias("ema15"),
+        dec(weighted_of(newest_of(F.col("_h"), len(long)), long), 4, 14).alias("ema40"),
     )
-    return out.where("ema15 IS NOT NULL AND ema40 IS NOT NULL")
 
 
 def weighted_ma_on(bars: DataFrame, d: DateLike) -> DataFrame:
