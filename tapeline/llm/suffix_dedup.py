@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeline.llm.common import give_back, packed, slot_bits, slots_for, staged, text_slices, with_bit, with_row_key
 
@@ -388,20 +389,21 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = _rows(df, id_col, text_col)
     untouched, touched = _with_spans(rows, threshold, gram)
 
-    @F.pandas_udf("string")
-    def cut(texts, spans):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        out = []
-        for text, own in zip(texts, spans):
-            data, pieces, last = text.encode(), [], 0
-            for start, stop in _merged([] if own is None else [{"at": x["at"], "till": x["till"]} for x in own], len(data)):
-                pieces.append(data[last:start].decode(errors="ignore"))
-                last = stop
-            out.append("".join([*pieces, data[last:].decode(errors="ignore")]))
-        return pd.Series(out, dtype=object)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_slices(batches):
+            left = []
+            for data, own in zip(texts, part.column("spans").to_pylist()):
+                pieces, last = [], 0
+                for start, stop in _merged(own, len(data)):
+                    pieces.append(data[last:start].decode(errors="ignore"))
+                    last = stop
+                left.append("".join([*pieces, data[last:].decode(errors="ignore")]))
+            some = pa.array([bool(kept) or not data for kept, data in zip(left, texts)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([part.column("row").filter(some), pa.array(left, pa.string()).filter(some)], ["row", "left"])
+        give_back()
 
-    cut_rows = touched.withColumn("left", cut("text", "spans")).where("left <> '' or text = ''")
+    kept = T.StructType([touched.schema["row"], T.StructField("left", T.StringType())])
+    cut_rows = touched.select("row", "text", "spans").mapInArrow(cut, kept)
     text_kept = F.when(F.col("row")[text_col].isNull(), F.lit(None)).otherwise(F.col("left"))
     changed = cut_rows.withColumn("row", F.col("row").withField(f"`{text_col}`", text_kept))
     return untouched.select("row.*").unionByName(changed.select("row.*"))
