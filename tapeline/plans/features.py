@@ -9,6 +9,7 @@ partitioning and one sort order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
@@ -48,8 +49,10 @@ def span_pairs(stem: str, out: str, spans: tuple[int, ...], style: str = "{:02d}
     ]
 
 
-def scale_features(df: DataFrame, values: list[str], ratios: list[Pair] = (), diffs: list[Pair] = (), keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Scale and squash.
+def scale_features(
+    df: DataFrame, values: list[str], ratios: list[Pair] = (), diffs: list[Pair] = (), keys: tuple[str, ...] = KEYS, keep: Column | None = None
+) -> DataFrame:
+    """Scale and squash; the parameters are measured on all rows, those that `keep` holds for are returned.
 
     values: scaled columns. ratios: squashed quotient of two scaled columns, 1 where the
     divisor is 0. diffs: difference of two raw columns, scaled by its own minimum and mean,
@@ -65,7 +68,7 @@ def scale_features(df: DataFrame, values: list[str], ratios: list[Pair] = (), di
         return (measured[n] - lo) / F.nullif(mean - lo, F.lit(0.0))
 
     # Dividing columns get a name first, so that no expression is written out twice.
-    named = raw.withColumn("_p", params).withColumns({f"_{v}": scaled(v) for v in values})
+    named = (raw if keep is None else raw.where(keep)).withColumn("_p", params).withColumns({f"_{v}": scaled(v) for v in values})
 
     def quotient(a: str, b: str) -> Column:
         return F.when(F.col(f"_{b}") == 0, F.lit(1).cast("decimal(5,3)")).otherwise(
@@ -86,21 +89,56 @@ def scale_features(df: DataFrame, values: list[str], ratios: list[Pair] = (), di
 
 def increase_ratio(tx: DataFrame, base: str = "market_open") -> DataFrame:
     """Daily change in percent against `base` (-100 without a base) and its rank on the date."""
-    price, start = F.col("market_price"), F.col(base)
-    change = F.when(start > 0, dec(ratio((price - start) * 100, start), 6)).otherwise(F.lit(MISSING_RATIO).cast("decimal(18,6)"))
-    rows = tx.select(*KEYS, change.alias("irv"))
+    rows = tx.select(*KEYS, change_against(base).alias("irv"))
     return rows.withColumn("irr", rank_on_date(F.desc("irv")).cast("decimal(18,6)"))
 
 
-def feature_ir(tx: DataFrame) -> DataFrame:
+def change_against(base: str) -> Column:
+    """Daily change in percent against `base`, -100 without a base."""
+    price, start = F.col("market_price"), F.col(base)
+    return F.when(start > 0, dec(ratio((price - start) * 100, start), 6)).otherwise(F.lit(MISSING_RATIO).cast("decimal(18,6)"))
+
+
+@dataclass
+class Levels:
+    """Columns of a family, level upon level. A level may name columns of the ones before it.
+
+    Levels of several families are merged, so that all their windows of one level share a pass: whatever the families, the
+    rows are dealt out by date, by code and by date again.
+    """
+
+    row: dict[str, Column] = field(default_factory=dict)
+    date: dict[str, Column] = field(default_factory=dict)
+    code: dict[str, Column] = field(default_factory=dict)
+    row2: dict[str, Column] = field(default_factory=dict)
+    code2: dict[str, Column] = field(default_factory=dict)
+    row3: dict[str, Column] = field(default_factory=dict)
+    code3: dict[str, Column] = field(default_factory=dict)
+    out: dict[str, Column] = field(default_factory=dict)
+    place: dict[str, Column] = field(default_factory=dict)
+
+
+def add_levels(tx: DataFrame, *families: Levels) -> DataFrame:
+    """`tx` with the columns of all families, from one scan and three shuffles of it."""
+    for level in fields(Levels):
+        merged: dict[str, Column] = {}
+        for one in families:
+            own = getattr(one, level.name)
+            if clash := merged.keys() & own.keys():
+                raise ValueError(f"two families make {sorted(clash)}")
+            merged |= own
+        if merged:
+            tx = tx.withColumns(merged)
+    return tx
+
+
+def levels_ir() -> Levels:
     """Rolling means and positional medians of the change and of its rank, and their ranks."""
     w = order()
-    rows = increase_ratio(tx)
-    raw = rows.select(
-        *KEYS,
-        *[mean_strict(F.col(c), w, n).alias(f"_avg_{c}_{n:02d}") for c in ("irv", "irr") for n in SPANS],
-        *[kth_smallest(F.col(c), w, n, MEDIAN_PLACE[n]).alias(f"_mdn_{c}_{n:02d}") for c in ("irv", "irr") for n in SPANS],
-    )
+    cols = [(k, c, n) for k in ("avg", "mdn") for c in ("irv", "irr") for n in SPANS]
+
+    def over(kind: str, c: str, n: int) -> Column:
+        return mean_strict(F.col(c), w, n) if kind == "avg" else kth_smallest(F.col(c), w, n, MEDIAN_PLACE[n])
 
     def place(kind: str, c: str, n: int) -> Column:
         col = F.col(f"_{kind}_{c}_{n:02d}")
@@ -108,11 +146,12 @@ def feature_ir(tx: DataFrame) -> DataFrame:
             col = F.coalesce(col, F.lit(MISSING_RATIO).cast("decimal(18,6)"))
         return F.desc_nulls_first(col) if c == "irv" else F.asc_nulls_last(col)
 
-    cols = [(k, c, n) for k in ("avg", "mdn") for c in ("irv", "irr") for n in SPANS]
-    return raw.select(
-        *KEYS,
-        *[dec(F.col(f"_{k}_{c}_{n:02d}"), 4, 12).alias(f"{k}_{c}_vl_{n:02d}") for k, c, n in cols],
-        *[rank_on_date(place(k, c, n)).alias(f"{k}_{c}_rk_{n:02d}") for k, c, n in cols],
+    return Levels(
+        row={"irv": change_against("market_open")},
+        date={"irr": rank_on_date(F.desc("irv")).cast("decimal(18,6)")},
+        code={f"_{k}_{c}_{n:02d}": over(k, c, n) for k, c, n in cols},
+        out={f"{k}_{c}_vl_{n:02d}": dec(F.col(f"_{k}_{c}_{n:02d}"), 4, 12) for k, c, n in cols},
+        place={f"{k}_{c}_rk_{n:02d}": rank_on_date(place(k, c, n)) for k, c, n in cols},
     )
 
 
@@ -142,17 +181,36 @@ def rebased_slopes(rows: DataFrame, col: str, spans: tuple[int, ...] = (5, 10, 2
     return _history(rows, col).select(*keep, *[slope(n) for n in spans])
 
 
-def feature_mp(tx: DataFrame) -> DataFrame:
-    rows = rebased_slopes(tx.select(*KEYS, "market_price"), "market_price")
-    return rows.withColumns({f"slope_rank_{n:02d}": rank_on_date(F.desc_nulls_first(F.round(f"slope_value_{n:02d}", 9))) for n in (5, 10, 20)})
+def levels_mp() -> Levels:
+    """Slopes of the price, rebased to the oldest of the last n rows and divided by their 20-row mean, and their ranks."""
+    spans = (5, 10, 20)
 
+    def slope(n: int) -> Column:
+        return series.slope_of(series.rebased(series.newest_of(F.col("_mp_whole"), n), F.col("_mp_mean"), 7), n)
+
+    return Levels(
+        code={"_mp_last": series.list_last(F.col("market_price").cast("double"), order(), 20)},
+        row2={"_mp_whole": F.when(F.size("_mp_last") == 20, F.col("_mp_last"))},
+        row3={"_mp_mean": F.nullif(series.total_of(F.col("_mp_whole")) / 20, F.lit(0.0))},
+        out={f"slope_value_{n:02d}": slope(n) for n in spans},
+        place={f"slope_rank_{n:02d}": rank_on_date(F.desc_nulls_first(F.round(f"slope_value_{n:02d}", 9))) for n in spans},
+    )
 
-def feature_pe(tx: DataFrame) -> DataFrame:
+
+def levels_pe() -> Levels:
     """Positional medians of the earnings ratio (missing = -999) and their ranks."""
     w = order()
-    rows = tx.select(*KEYS, F.coalesce(F.col("forward_pe"), F.lit(MISSING_PE).cast("decimal(8,1)")).alias("pe"))
-    raw = rows.select(*KEYS, *[kth_smallest(F.col("pe"), w, n, MEDIAN_PLACE[n]).alias(f"mdn_pe_vl_{n:02d}") for n in SPANS])
-    return raw.withColumns({f"mdn_pe_rk_{n:02d}": rank_on_date(F.desc_nulls_first(f"mdn_pe_vl_{n:02d}")) for n in SPANS})
+    return Levels(
+        row={"pe": F.coalesce(F.col("forward_pe"), F.lit(MISSING_PE).cast("decimal(8,1)"))},
+        code={f"mdn_pe_vl_{n:02d}": kth_smallest(F.col("pe"), w, n, MEDIAN_PLACE[n]) for n in SPANS},
+        place={f"mdn_pe_rk_{n:02d}": rank_on_date(F.desc_nulls_first(f"mdn_pe_vl_{n:02d}")) for n in SPANS},
+    )
+
+
+def place_in_range(recent: str, top: str, down: str) -> Column:
+    """Position of a price between two others, 0 where they are not apart."""
+    low, high = F.col(down), F.col(top)
+    return F.when(high <= low, F.lit(0.0)).otherwise(ratio(F.col(recent) - low, high - low))
 
 
 def stochastic(tx: DataFrame, n: int = 5, recent: str = "market_price", skip_today: bool = False) -> DataFrame:
@@ -161,17 +219,20 @@ def stochastic(tx: DataFrame, n: int = 5, recent: str = "market_price", skip_tod
     frame = w.rowsBetween(-n, -1) if skip_today else last_rows(w, n)
     top, down = F.max("market_day_high").over(frame), F.min("market_day_low").over(frame)
     rows = tx.select(*KEYS, F.col(recent).alias("recent"), top.alias("top"), down.alias("down"))
-    rsv = F.when(F.col("top") <= F.col("down"), F.lit(0.0)).otherwise(ratio(F.col("recent") - F.col("down"), F.col("top") - F.col("down")))
-    return rows.select(*KEYS, rsv.alias("rsv"))
+    return rows.select(*KEYS, place_in_range("recent", "top", "down").alias("rsv"))
 
 
-def k_line(rows: DataFrame, n: int = 5, factor: float = 1.09625) -> DataFrame:
+def k_total(position: Column, n: int = 5, factor: float = 1.09625) -> Column:
     """Geometric-weighted mean of the last n positions: weights 2^i / 3^(i+1), plus the tail 2^n / 3^(n+1)."""
     w = order()
     total = F.lit(2.0**n / 3.0 ** (n + 1))
     for i in range(n - 1, -1, -1):
-        total = total + F.lit(2.0**i / 3.0 ** (i + 1)) * lagged(F.col("rsv"), w, i)
-    return rows.withColumn("kind", total * factor)
+        total = total + F.lit(2.0**i / 3.0 ** (i + 1)) * lagged(position, w, i)
+    return total * factor
+
+
+def k_line(rows: DataFrame, n: int = 5, factor: float = 1.09625) -> DataFrame:
+    return rows.withColumn("kind", k_total(F.col("rsv"), n, factor))
 
 
 def k_line_long(tx: DataFrame) -> DataFrame:
@@ -185,27 +246,28 @@ def k_line_long(tx: DataFrame) -> DataFrame:
     return rows.withColumn("kind", total).where("kind IS NOT NULL")
 
 
-def feature_rk(tx: DataFrame) -> DataFrame:
+def levels_rk() -> Levels:
     """Positional medians of the range position and of its K line, and their ranks."""
-    w = order()
-    spans = (3, 5, 10)
-    rows = k_line(stochastic(tx)).select(*KEYS, dec(F.col("rsv"), 4, 10).alias("rsv"), dec(F.col("kind"), 4, 10).alias("kind"))
-    raw = rows.select(
-        *KEYS,
-        *[kth_smallest(F.col("rsv"), w, n, MEDIAN_PLACE[n]).alias(f"rsv_vl_mdn_{n:02d}") for n in spans],
-        *[kth_smallest(F.col("kind"), w, n, MEDIAN_PLACE[n]).alias(f"_ki_{n:02d}") for n in spans],
-    )
+    w, spans = order(), (3, 5, 10)
 
     def capped(n: int) -> Column:
         c = F.col(f"_ki_{n:02d}")
         return F.when(c >= 1, F.lit("0.999").cast("decimal(5,3)")).otherwise(dec(c, 3, 9).cast("decimal(5,3)"))
 
-    return raw.select(
-        *KEYS,
-        *[f"rsv_vl_mdn_{n:02d}" for n in spans],
-        *[rank_on_date(F.asc_nulls_last(f"rsv_vl_mdn_{n:02d}")).alias(f"rsv_rk_mdn_{n:02d}") for n in spans],
-        *[capped(n).alias(f"ki_vl_mdn_{n:02d}") for n in spans],
-        *[rank_on_date(F.asc_nulls_last(f"_ki_{n:02d}")).alias(f"ki_rk_mdn_{n:02d}") for n in spans],
+    return Levels(
+        code={"_rk_top": F.max("market_day_high").over(last_rows(w, 5)), "_rk_down": F.min("market_day_low").over(last_rows(w, 5))},
+        row2={"_rk_place": place_in_range("market_price", "_rk_top", "_rk_down")},
+        code2={"_rk_kind": k_total(F.col("_rk_place"))},
+        row3={"rsv": dec(F.col("_rk_place"), 4, 10), "kind": dec(F.col("_rk_kind"), 4, 10)},
+        code3={
+            **{f"rsv_vl_mdn_{n:02d}": kth_smallest(F.col("rsv"), w, n, MEDIAN_PLACE[n]) for n in spans},
+            **{f"_ki_{n:02d}": kth_smallest(F.col("kind"), w, n, MEDIAN_PLACE[n]) for n in spans},
+        },
+        out={f"ki_vl_mdn_{n:02d}": capped(n) for n in spans},
+        place={
+            **{f"rsv_rk_mdn_{n:02d}": rank_on_date(F.asc_nulls_last(f"rsv_vl_mdn_{n:02d}")) for n in spans},
+            **{f"ki_rk_mdn_{n:02d}": rank_on_date(F.asc_nulls_last(f"_ki_{n:02d}")) for n in spans},
+        },
     )
 
 
@@ -213,14 +275,14 @@ def short_strength(tx: DataFrame, scale: int = 3) -> DataFrame:
     return tx.select(*KEYS, dec(ratio(F.col("short_position"), F.col("average_volume")), scale, 12).alias("ss"), F.col("reported_position").alias("rp"))
 
 
-def feature_st(tx: DataFrame) -> DataFrame:
+def levels_st() -> Levels:
     """Ranks of the positional medians of short / volume and of the reported position."""
-    w = order()
-    spans = (3, 5, 10)
-    raw = short_strength(tx).select(
-        *KEYS, *[kth_smallest(F.col(c), w, n, MEDIAN_PLACE[n]).alias(f"_{c}_{n:02d}") for c in ("ss", "rp") for n in spans]
+    w, cols = order(), [(c, n) for c in ("ss", "rp") for n in (3, 5, 10)]
+    return Levels(
+        row={"ss": dec(ratio(F.col("short_position"), F.col("average_volume")), 3, 12), "rp": F.col("reported_position")},
+        code={f"_{c}_{n:02d}": kth_smallest(F.col(c), w, n, MEDIAN_PLACE[n]) for c, n in cols},
+        place={f"mdn_{c}_rk_{n:02d}": rank_on_date(F.asc_nulls_last(f"_{c}_{n:02d}")) for c, n in cols},
     )
-    return raw.select(*KEYS, *[rank_on_date(F.asc_nulls_last(f"_{c}_{n:02d}")).alias(f"mdn_{c}_rk_{n:02d}") for c in ("ss", "rp") for n in spans])
 
 
 def strength(tx: DataFrame, base: str = "market_open", newest_heaviest: bool = True) -> DataFrame:
@@ -242,16 +304,28 @@ def strength(tx: DataFrame, base: str = "market_open", newest_heaviest: bool = T
     return rows.where(F.col("date_index") - F.col("_first") == reach).drop("_first", "_vol", "_s", "_c")
 
 
-def feature_strength(tx: DataFrame) -> DataFrame:
-    spans = (5, 10, 20)
-    rows = strength(tx)
-    ranked = rows.select(
-        "code",
-        "date_index",
-        *[dec(F.col(f"strength{n:02d}"), 6, 12).alias(f"strength_{n:02d}") for n in spans],
-        *[rank_on_date(F.desc_nulls_first(f"strength{n:02d}")).alias(f"rank_{n:02d}") for n in spans],
+def levels_sg() -> Levels:
+    """Trading strength as in `strength` and its rank, of rows whose last twenty dates are without a gap and have an open price."""
+    w, spans, start = order(), (5, 10, 20), F.col("market_open").cast("double")
+    value = F.col("market_volume").cast("double") * (F.col("market_price").cast("double") - start) / F.nullif(start, F.lit(0.0))
+    gapless = (F.col("date_index") - F.col("_sg_first") == 19) & (F.col("_sg_known") == 20)
+    volume = F.col("average_volume").cast("double")
+
+    def place(n: int) -> Column:
+        whole = F.row_number().over(W.partitionBy("date_index").orderBy(F.desc("_sg_whole"), F.desc_nulls_first(f"_sg_{n:02d}"), "code"))
+        return F.when(F.col("_sg_whole"), whole)
+
+    return Levels(
+        row={"_sg_value": value},
+        code={
+            "_sg_first": F.lag("date_index", 19).over(w),
+            "_sg_known": F.count(F.when(F.col("market_open") != 0, 1)).over(last_rows(w, 20)),
+            **{f"_sg_{n:02d}": series.triangular(F.col("_sg_value"), w, n) / volume for n in spans},
+        },
+        row2={"_sg_whole": F.coalesce(gapless, F.lit(False))},
+        out={f"strength_{n:02d}": F.when(F.col("_sg_whole"), dec(F.col(f"_sg_{n:02d}"), 6, 12)) for n in spans},
+        place={f"rank_{n:02d}": place(n) for n in spans},
     )
-    return tx.select(*KEYS).join(ranked, ["code", "date_index"], "left").select(*KEYS, *ranked.columns[2:])
 
 
 def change_extremes(tx: DataFrame) -> DataFrame:
@@ -267,34 +341,34 @@ def _spans(stem: str, spans: tuple[int, ...]) -> list[str]:
     return [f"{stem}_{n:02d}" for n in spans]
 
 
-FAMILIES: dict[str, tuple[Callable[[DataFrame], DataFrame], list[str], list[Pair], list[Pair]]] = {
-    "ir": (feature_ir, *_ir_names()),
+FAMILIES: dict[str, tuple[Callable[[], Levels], list[str], list[Pair], list[Pair]]] = {
+    "ir": (levels_ir, *_ir_names()),
     "mp": (
-        feature_mp,
+        levels_mp,
         _spans("slope_value", (5, 10, 20)) + _spans("slope_rank", (5, 10, 20)),
         span_pairs("slope_value", "divided_slope", (5, 10, 20)),
         span_pairs("slope_rank", "divided_rank", (5, 10, 20)),
     ),
     "pe": (
-        feature_pe,
+        levels_pe,
         _spans("mdn_pe_vl", SPANS) + _spans("mdn_pe_rk", SPANS),
         span_pairs("mdn_pe_vl", "divided_mdn_pe_vl", SPANS),
         span_pairs("mdn_pe_rk", "divided_mdn_pe_rk", SPANS),
     ),
     "rk": (
-        feature_rk,
+        levels_rk,
         [x for s in ("rsv_rk_mdn", "rsv_vl_mdn", "ki_rk_mdn", "ki_vl_mdn") for x in _spans(s, (10, 5, 3))],
         [p for s in ("rsv", "ki") for p in span_pairs(f"{s}_vl_mdn", f"divided_{s}_vl_mdn", (3, 5, 10))],
         [p for s in ("rsv", "ki") for p in span_pairs(f"{s}_rk_mdn", f"divided_{s}_rk_mdn", (3, 5, 10))],
     ),
     "st": (
-        feature_st,
+        levels_st,
         [x for s in ("ss", "rp") for x in _spans(f"mdn_{s}_rk", (3, 5, 10))],
         [],
         [p for s in ("ss", "rp") for p in span_pairs(f"mdn_{s}_rk", f"divided_{s}_rk", (3, 5, 10))],
     ),
     "sg": (
-        feature_strength,
+        levels_sg,
         _spans("strength", (5, 10, 20)) + _spans("rank", (5, 10, 20)),
         span_pairs("strength", "divided_strength", (5, 10, 20)),
         span_pairs("rank", "divided_rank", (5, 10, 20)),
@@ -304,8 +378,22 @@ FAMILIES: dict[str, tuple[Callable[[DataFrame], DataFrame], list[str], list[Pair
 
 def family(tx: DataFrame, name: str) -> DataFrame:
     """One scaled feature family: ir, mp, pe, rk, st or sg."""
-    make, values, ratios, diffs = FAMILIES[name]
-    return scale_features(make(tx), values, ratios, diffs)
+    levels, values, ratios, diffs = FAMILIES[name]
+    return scale_features(add_levels(tx, levels()).select(*KEYS, *values), values, ratios, diffs)
+
+
+def all_families(tx: DataFrame, *more: Levels) -> tuple[DataFrame, list[str], list[Pair], list[Pair]]:
+    """The raw columns of all families, prefixed by the family's name, with what is to be scaled; `more` levels come along."""
+    raw = add_levels(tx, *[levels() for levels, _, _, _ in FAMILIES.values()], *more)
+    named: list[Column] = []
+    values, ratios, diffs = [], [], []
+    for name, (_, own, own_ratios, own_diffs) in FAMILIES.items():
+        named += [F.col(v).alias(f"{name}_{v}") for v in own]
+        values += [f"{name}_{v}" for v in own]
+        ratios += [tuple(f"{name}_{x}" for x in pair) for pair in own_ratios]
+        diffs += [tuple(f"{name}_{x}" for x in pair) for pair in own_diffs]
+    kept = [c for one in more for level in fields(Levels) for c in getattr(one, level.name) if not c.startswith("_")]
+    return raw.select(*KEYS, *kept, *named), values, ratios, diffs
 
 
 # --- the older family, squashed with fixed scales ----------------------------------------
@@ -490,28 +578,29 @@ def training_set(
     """Candidates of well-rated dates, best scores per date, with all six families as whole thousandths.
 
     The score adds the earnings position (100 places) and the analyst rating; forward
-    performance is the close `ahead` dates later against today's open, plus 1.
+    performance is the close `ahead` dates later against today's open, plus 1. All families and the
+    candidates come from one scan of the panel and three shuffles (by date, by code, by date); the scaling
+    parameters of all columns are one aggregate row, and only the chosen rows are scaled.
     """
-    rated = tx.where("recommendation_mean IS NOT NULL").groupBy("date_index").agg(F.count("*").alias("_n")).where(F.col("_n") > min_rated)
-    placed = tx.withColumn("pe_rank", rank_on_date(F.desc(F.coalesce(F.col("forward_pe"), F.lit(0).cast("decimal(8,1)")))))
-    later = tx.select("code", (F.col("date_index") - ahead).alias("date_index"), F.col("market_price").alias("_later"))
-    open_ = F.col("market_open")
+    open_, later = F.col("market_open"), order().rangeBetween(ahead, ahead)
     growth = F.when(open_ != 0, dec(ratio(F.col("_later") - open_, open_), 3, 9)).otherwise(F.lit(0).cast("decimal(9,3)"))
-    rows = placed.join(later, ["code", "date_index"]).join(rated, "date_index", "left_semi").withColumn("performance", growth + 1)
+    fit = (F.col("average_volume") > min_volume) & (position_in_range("target_low_price", "target_median_price", "target_high_price") > 0.4)
     if drop_codes:
-        rows = rows.where(~F.col("code").isin(*drop_codes))
-    rows = rows.where(F.col("average_volume") > min_volume)
-    rows = rows.where(position_in_range("target_low_price", "target_median_price", "target_high_price") > 0.4)
+        fit = fit & ~F.col("code").isin(*drop_codes)
     score = candidate_score(F.col("pe_rank"), F.col("number_of_analyst"), F.col("recommendation_mean"), 40)
-    best = rows.withColumn("rec_rank", rank_on_date(F.desc(score))).where(F.col("date_index") > first)
-    best = best.select(*KEYS, "performance", "rec_rank")
-    frames = [best]
-    for name in FAMILIES:
-        scaled = family(tx, name).drop("load_date")
-        frames.append(scaled.select("code", "date_index", *[F.round(F.col(c) * 1000).cast("int").alias(f"{name}_{c}") for c in scaled.columns[2:]]))
-    joined = feature_join(frames, ["code", "date_index"])
-    place = F.row_number().over(W.partitionBy("date_index").orderBy("rec_rank"))
-    return joined.withColumn("_t", place).where(F.col("_t") <= top).drop("_t")
+    candidates = Levels(
+        date={
+            "pe_rank": rank_on_date(F.desc(F.coalesce(F.col("forward_pe"), F.lit(0).cast("decimal(8,1)")))),
+            "_rated": F.count("recommendation_mean").over(W.partitionBy("date_index")),
+        },
+        code={"_later": F.max("market_price").over(later), "_pairs": F.count(F.lit(1)).over(later)},
+        out={"performance": growth + 1, "candidate": F.coalesce(fit & (F.col("_rated") > min_rated) & (F.col("_pairs") > 0), F.lit(False)), "_score": score},
+        place={"rec_rank": F.row_number().over(W.partitionBy("date_index").orderBy(F.desc("candidate"), F.desc("_score"), "code"))},
+    )
+    raw, values, ratios, diffs = all_families(tx, candidates)
+    best = F.col("candidate") & (F.col("rec_rank") <= top) & (F.col("date_index") > first)
+    scaled = scale_features(raw, values, ratios, diffs, (*KEYS, "performance", "rec_rank"), best)
+    return scaled.select(*scaled.columns[:5], *[F.round(F.col(c) * 1000).cast("int").alias(c) for c in scaled.columns[5:]])
 
 
 def candidate_score(pe_rank: Column, analysts: Column, rating: Column, divisor: int) -> Column:

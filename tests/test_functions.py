@@ -122,3 +122,20 @@ def test_rank_keeps_rows_without_a_value(spark):
     rank = lambda **kw: {r["i"]: r["rank"] for r in rank_all(df, "v", **kw).collect()}
     assert rank() == {3: 1, 1: 2, 5: 2, 2: 4, 4: 4}
     assert rank(nulls_first=True) == {2: 1, 4: 1, 3: 3, 1: 4, 5: 4}
+
+
+def test_training_set_is_one_scan_and_three_shuffles(spark, sf):
+    from tapeline.catalog.features import panel
+    from tapeline.plans import features
+    from tapeline.staging import stage
+
+    tx = stage(panel(spark, sf))
+    raw, values, ratios, diffs = features.all_families(tx)
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("FileScan"), plan.count("Exchange hashpartitioning")) == (1, 3)
+    assert plan.count("hashpartitioning(date_index") == 2 and plan.count("hashpartitioning(code") == 1
+    together = features.scale_features(raw, values, ratios, diffs)
+    for name in features.FAMILIES:
+        one = features.family(tx, name)
+        both = together.select(*features.KEYS, *[f"{name}_{c}" for c in one.columns[3:]])
+        assert rows(both) == rows(one), name
