@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.catalog.registry import ORACLES, fragment, query
+from tapeline.catalog.registry import FRAGMENTS, ORACLES, fragment, query
 from tapeline.plans import eavt, features, market_features
 from tapeline.plans.daily import calendar
 from tapeline.plans.features import FAMILIES, MEDIAN_PLACE, SPANS
@@ -603,6 +605,59 @@ _register(
     lambda tx: features.two_periods(tx, _PERIODS, features.price_position),
 )
 
+# The chain of both periods: the SQL reads a copy of the panel for each period, the plan all periods at once.
+_X6 = ("strength00", "strength05", "strength10", "strength20")
+_CHAIN = {
+    "performance": "SELECT s.code, s.date_index, s.market_open::DOUBLE AS start_price, e.market_price::DOUBLE AS end_price FROM w_tx s JOIN w_tx e ON s.code = e.code AND e.date_index = s.date_index + 28",
+    "ranks": "SELECT * FROM f_rank",
+    "lists": " UNION ALL ".join(
+        f"""SELECT code, date_index, 'list{n:02d}' AS attr, place - 1 AS place, round((vs[place] - vs[1]) / m, 6) AS val FROM (
+  SELECT code, date_index, list(market_price::DOUBLE) OVER (PARTITION BY code ORDER BY date_index ROWS {n - 1} PRECEDING) AS vs,
+    avg(market_price::DOUBLE) OVER (PARTITION BY code ORDER BY date_index ROWS 19 PRECEDING) AS m,
+    count(*) OVER (PARTITION BY code ORDER BY date_index ROWS 19 PRECEDING) AS c FROM w_tx), unnest(range(1, {n + 1})) AS t(place) WHERE c = 20 AND date_index >= 20"""
+        for n in (20, 10, 5)
+    ),
+    "strength": "SELECT code, date_index, " + ", ".join(f"round({c}, 6) AS {c}" for c in _X6) + " FROM f_so",
+    "k_line": "SELECT code, load_date, date_index, round(kind, 6) AS kind FROM f_klong",
+    "short_strength": ORACLES["short_strength_scaled"],
+    "ask_bid": ORACLES["ask_bid"],
+    "price_ratio": "SELECT * FROM f_pr",
+}
+
+
+def _of_period(text: str, period: str) -> str:
+    """`text` over the panel of one period, with copies of the fragments that rest on the panel."""
+
+    def rests(name: str) -> bool:
+        return name != "w_tx" and any(m == "w_tx" or rests(m) for m in list(FRAGMENTS) if m != name and re.search(rf"\b{m}\b", FRAGMENTS[name]))
+
+    for m in [m for m in list(FRAGMENTS) if re.search(rf"\b{m}\b", text) and rests(m)]:
+        if f"{m}_{period}" not in FRAGMENTS:
+            fragment(f"{m}_{period}", _of_period(FRAGMENTS[m], period))
+        text = re.sub(rf"\b{m}\b", f"{m}_{period}", text)
+    return re.sub(r"\bw_tx\b", f"w_tx_{period}", text)
+
+
+def _chained(name: str) -> None:
+    parts = [f"SELECT '{p}' AS period, * FROM ({_of_period(_CHAIN[name], p)})" for p in _PERIODS]
+
+    @query(f"two_period_{name}", " UNION ALL ".join(parts))
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        out = features.by_period(features.period_chain(stage(features.in_periods(panel(spark, sf), _PERIODS)), UNIVERSE)[name]())
+        if name == "lists":
+            out = out.select("period", "code", "date_index", "attr", F.posexplode("val").alias("place", "val"))
+            return out.withColumns({"place": F.col("place").cast("long"), "val": F.round("val", 6)})
+        rounded = {"strength": _X6, "k_line": ("kind",)}.get(name, ())
+        columns = ["period", "code", "date_index", *_X6] if name == "strength" else [c for c in out.columns if c != "rsv"]
+        return out.select(*[F.round(c, 6).alias(c) if c in rounded else c for c in columns])
+
+
+for _p, (_a, _b) in _PERIODS.items():
+    _inside = f"SELECT * REPLACE (dense_rank() OVER (ORDER BY load_date) AS date_index) FROM w_tx WHERE load_date >= DATE '{_a}' AND load_date < DATE '{_b}'"
+    fragment(f"w_tx_{_p}", _inside)
+for _name in _CHAIN:
+    _chained(_name)
+
 # --- entity-attribute-value rows --------------------------------------------------------
 
 

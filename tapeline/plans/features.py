@@ -35,9 +35,13 @@ def order() -> WindowSpec:
     return by("code", "date_index")
 
 
-def rank_on_date(key: Column) -> Column:
+#: What tells the dates of a panel apart, and of a panel that holds several periods.
+DATE, PERIOD_DATE = ("date_index",), ("period", "date_index")
+
+
+def rank_on_date(key: Column, date: tuple[str, ...] = DATE) -> Column:
     """Place of a row among its date's codes."""
-    return F.row_number().over(W.partitionBy("date_index").orderBy(key, "code"))
+    return F.row_number().over(W.partitionBy(*date).orderBy(key, "code"))
 
 
 def span_pairs(stem: str, out: str, spans: tuple[int, ...], style: str = "{:02d}") -> list[Pair]:
@@ -87,10 +91,10 @@ def scale_features(
     )
 
 
-def increase_ratio(tx: DataFrame, base: str = "market_open") -> DataFrame:
+def increase_ratio(tx: DataFrame, base: str = "market_open", date: tuple[str, ...] = DATE) -> DataFrame:
     """Daily change in percent against `base` (-100 without a base) and its rank on the date."""
-    rows = tx.select(*KEYS, change_against(base).alias("irv"))
-    return rows.withColumn("irr", rank_on_date(F.desc("irv")).cast("decimal(18,6)"))
+    rows = tx.select(*dict.fromkeys((*KEYS, *date)), change_against(base).alias("irv"))
+    return rows.withColumn("irr", rank_on_date(F.desc("irv"), date).cast("decimal(18,6)"))
 
 
 def change_against(base: str) -> Column:
@@ -441,10 +445,10 @@ def draft_slope(tx: DataFrame) -> DataFrame:
     return _quotients(out, "slope", "divided_slope", ("05", "10", "20"), _double)
 
 
-def price_position(tx: DataFrame) -> DataFrame:
+def price_position(tx: DataFrame, date: tuple[str, ...] = DATE) -> DataFrame:
     """(P - L) / (H - L) clamped to [0, 1], and its rank on the date."""
-    rows = tx.select(*KEYS, position_in_range("market_day_low", "market_price", "market_day_high").alias("raw"))
-    return rows.select(*KEYS, dec(clamped(F.col("raw"), 0.0, 1.0), 3, 5).alias("price_ratio"), rank_on_date(F.desc("raw")).alias("rank"))
+    rows = tx.select(*dict.fromkeys((*KEYS, *date)), position_in_range("market_day_low", "market_price", "market_day_high").alias("raw"))
+    return rows.select(*KEYS, dec(clamped(F.col("raw"), 0.0, 1.0), 3, 5).alias("price_ratio"), rank_on_date(F.desc("raw"), date).alias("rank"))
 
 
 def draft_price(tx: DataFrame) -> DataFrame:
@@ -505,15 +509,15 @@ def ask_bid(tx: DataFrame) -> DataFrame:
     return rows.withColumn("split_ratio", F.when(F.col("split_ratio") < 0, zero).otherwise(F.col("split_ratio")))
 
 
-def simple_ranks(tx: DataFrame, universe: int = 300) -> DataFrame:
+def simple_ranks(tx: DataFrame, universe: int = 300, date: tuple[str, ...] = DATE) -> DataFrame:
     """Ranks of volume, earnings ratio and change; the earnings rank and its six-row mean per universe."""
     w = order()
     pe = F.coalesce(F.col("forward_pe"), F.lit(MISSING_PE).cast("decimal(8,1)"))
-    change = increase_ratio(tx, "market_previous_close").select("code", "date_index", "irv", F.col("irr").cast("int").alias("increase_rank"))
+    change = increase_ratio(tx, "market_previous_close", date).select("code", "date_index", "irv", F.col("irr").cast("int").alias("increase_rank"))
     rows = tx.select(
         *KEYS,
-        rank_on_date(F.desc_nulls_first("market_volume")).alias("volume_rank"),
-        rank_on_date(F.desc(pe)).alias("pe_rank"),
+        rank_on_date(F.desc_nulls_first("market_volume"), date).alias("volume_rank"),
+        rank_on_date(F.desc(pe), date).alias("pe_rank"),
     ).join(change, ["code", "date_index"])
     return rows.select(
         *KEYS,
@@ -641,3 +645,41 @@ def two_periods(tx: DataFrame, periods: dict[str, tuple[str, str]], make: Callab
         one = make(part).select(F.lit(name).alias("period"), "*")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+#: Stands between a period and a code; no code holds it.
+MARK = "\x1f"
+
+
+def in_periods(tx: DataFrame, periods: dict[str, tuple[str, str]]) -> DataFrame:
+    """The panel's rows once for each period they lie in, with the period's own date index.
+
+    A code is named together with its period, so that every window and join by code keeps the periods apart; `period`
+    does the same for windows by date (PERIOD_DATE). Whatever is made of this panel is one pass for all periods.
+    """
+    inside = [F.when((F.col("load_date") >= F.lit(a).cast("date")) & (F.col("load_date") < F.lit(b).cast("date")), F.lit(name)) for name, (a, b) in periods.items()]
+    rows = tx.drop("date_index").withColumn("period", F.explode(F.array_compact(F.array(*inside))))
+    days = rows.select("period", "load_date").distinct()
+    days = days.withColumn("date_index", F.row_number().over(W.partitionBy("period").orderBy("load_date")))
+    return rows.join(days, ["period", "load_date"]).withColumn("code", F.concat("period", F.lit(MARK), "code"))
+
+
+def by_period(df: DataFrame) -> DataFrame:
+    """Period and code as columns of their own again."""
+    parts = F.split("code", MARK)
+    return df.withColumns({"period": F.get(parts, F.lit(0)), "code": F.get(parts, F.lit(1))})
+
+
+def period_chain(panel: DataFrame, universe: int = 300, ahead: int = 28) -> dict[str, Callable[[], DataFrame]]:
+    """The tables made of a panel from `in_periods`, by name; each is computed for all periods at once."""
+    keys = ["code", "date_index"]
+    return {
+        "performance": lambda: forward_return(panel, "code", "date_index", ahead, "market_open", "market_price").select(*keys, "start_price", "end_price"),
+        "ranks": lambda: simple_ranks(panel, universe, PERIOD_DATE),
+        "lists": lambda: trends_long(rebased_lists(panel), keys, ["list20", "list10", "list05"]),
+        "strength": lambda: strength(panel, "market_previous_close", newest_heaviest=False),
+        "k_line": lambda: k_line_long(panel),
+        "short_strength": lambda: short_strength_scaled(panel),
+        "ask_bid": lambda: ask_bid(panel),
+        "price_ratio": lambda: price_position(panel, PERIOD_DATE),
+    }

@@ -139,3 +139,22 @@ def test_training_set_is_one_scan_and_three_shuffles(spark, sf):
         one = features.family(tx, name)
         both = together.select(*features.KEYS, *[f"{name}_{c}" for c in one.columns[3:]])
         assert rows(both) == rows(one), name
+
+
+def test_periods_share_one_pass_and_do_not_meet(spark, sf):
+    from tapeline.catalog.features import panel
+    from tapeline.plans import features
+    from tapeline.staging import stage
+
+    tx = stage(panel(spark, sf))
+    periods = {"a": ("1995-01-01", "1996-06-01"), "b": ("1996-01-01", "1997-01-01")}  # overlapping
+    stacked = stage(features.in_periods(tx, periods))
+    both = features.period_chain(stacked, 25)
+    apart = {p: features.two_periods(tx, {p: span}, lambda x: x).drop("period") for p, span in periods.items()}
+    for name, make in both.items():
+        together = features.by_period(make())
+        columns = [c for c in together.columns if c != "period"]
+        for period in periods:
+            one = features.period_chain(apart[period].withColumn("period", F.lit(period)), 25)[name]()
+            assert rows(together.where(F.col("period") == period).select(*columns)) == rows(one.select(*columns)), (name, period)
+    assert both["ask_bid"]()._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
