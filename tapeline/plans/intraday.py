@@ -213,8 +213,12 @@ class IntradayRun:
     def candle_ema(self) -> DataFrame:
         return provisional_averages(self.run.candles, self.candles(), self.d)
 
+    @cached_property
+    def _macd(self) -> DataFrame:
+        return stage(provisional_macd(self.run.candle_ema, self.candle_ema(), self.d))
+
     def macd(self) -> DataFrame:
-        return provisional_macd(self.run.candle_ema, self.candle_ema(), self.d)
+        return self._macd
 
     def trend(self) -> DataFrame:
         return swing_trend(self.run.candles, self.candles(), self.d)
@@ -240,9 +244,6 @@ class IntradayRun:
             .otherwise("")
         )
 
-    def _shorts(self) -> DataFrame:
-        return views.short_current(views.short_breaks(self.run.bars, self.run.shorts, self.run.days))
-
     def report(self, side: str, most: int = 40, per_category: int = 4) -> DataFrame:
         """The best of the full list with every provisional signal."""
         run = self.run
@@ -252,8 +253,8 @@ class IntradayRun:
             self.ema().select("code", "price", F.when(F.col("ema15") >= F.col("ema40"), "BUY").otherwise("SELL").alias("option")),
             views.candle_sequence(self.all_candles()).select("code", "status", "sequence"),
             views.sar_current(run.sar).drop("load_date"),
-            short_text(self._shorts()),
-            views.announcement_age(run.announcements, run.days, run.d),
+            short_text(run.breaks),
+            run.announcement_age,
         ]
         out = out.join(self.index_report().drop("load_date"), "category", "left")
         for p in parts:
@@ -282,7 +283,7 @@ class IntradayRun:
             F.when(c("ema10") >= c("ema25"), "+").otherwise("-").alias("index_ema"),
         )
         rows = listed.join(self.bars.select("code", "high", "low"), "code").join(signs, "category")
-        rows = rows.join(self.macd_comparison().drop("load_date"), "code").join(self.candle_comparison().drop("load_date"), "code").join(self._shorts(), "code")
+        rows = rows.join(self.macd_comparison().drop("load_date"), "code").join(self.candle_comparison().drop("load_date"), "code").join(run.breaks, "code")
 
         def above(a: Column, b: Column) -> Column:
             return a >= b if rising else a < b
@@ -302,7 +303,7 @@ class IntradayRun:
             {n: F.coalesce(x, F.lit(False)) for n, x in (("mt", macd_turn), ("mr", macd_trend), ("me", macd_edge), ("ht", ha_turn), ("hr", ha_trend), ("he", ha_edge))}
         ).where("ht OR mt")
         out = flagged.withColumn("_p", place).join(views.sar_current(run.sar).drop("load_date"), "code", "left")
-        out = out.join(views.announcement_age(run.announcements, run.days, run.d), "code", "left")
+        out = out.join(run.announcement_age, "code", "left")
         return out.select(
             joined(c("category"), "(", c("index_ha"), ",", c("index_ema"), ")").alias("category"),
             joined(c("code"), "(", F.date_format("last_update_date", "MM-dd"), ")").alias("code"),

@@ -58,6 +58,7 @@ class DailyRun:
         self._bars, self._categorise = bars, categorise
         self.shorts, self.announcements, self._analysis = shorts, announcements, analysis
         self._lookbacks: dict[tuple[str, str], DataFrame] = {}
+        self._full_lists: dict[str, DataFrame] = {}
 
     def day_before(self) -> DailyRun:
         """The run of the previous trading day; what each row has from earlier days only is taken from this run.
@@ -105,7 +106,7 @@ class DailyRun:
 
     @cached_property
     def macd(self) -> DataFrame:
-        return daily.macd(self.candle_ema)
+        return self._up_to("macd", lambda: daily.macd(self.candle_ema))
 
     @cached_property
     def trend(self) -> DataFrame:
@@ -175,8 +176,20 @@ class DailyRun:
         return rankings.current_ranking(self.ranking(measure, family, side), self.actionable, self.cats, self.d, side, descending)
 
     def full_list(self, side: str) -> DataFrame:
-        pairs = [("ema", "ha"), ("ema", "sar"), ("stb", "ha"), ("stb", "sar")]
-        return rankings.full_list([self.current(m, f, side) for m, f in pairs])
+        """One row per listed code; written once, as several reports and snapshots rest on it."""
+        if side not in self._full_lists:
+            pairs = [("ema", "ha"), ("ema", "sar"), ("stb", "ha"), ("stb", "sar")]
+            self._full_lists[side] = stage(rankings.full_list([self.current(m, f, side) for m, f in pairs]))
+        return self._full_lists[side]
+
+    @cached_property
+    def breaks(self) -> DataFrame:
+        """The newest two short breaks of each code."""
+        return stage(views.short_current(views.short_breaks(self.bars, self.shorts, self.days)))
+
+    @cached_property
+    def announcement_age(self) -> DataFrame:
+        return stage(views.announcement_age(self.announcements, self.days, self.d))
 
     def steady(self, span: str) -> DataFrame:
         s = self.settings
@@ -361,14 +374,14 @@ def summary_report(run: DailyRun, side: str, today: DataFrame, last: DataFrame)
     ema = views.ema_current(run.ema).where(on_day).select("code", "price", "indicator")
     ha = views.candle_sequence(run.candles, run.days).select("code", "status", "sequence")
     vol = views.volume_current(run.volume).select("code", joined(F.col("range"), "(", F.col("ratio"), ")").alias("volume"))
-    short = short_text(views.short_current(views.short_breaks(run.bars, run.shorts, run.days)))
+    short = short_text(run.breaks)
     moving = run.ranges.select(
         "code",
         joined(
             dec(F.col("avg_diff") + F.col("std_diff") * 1.28, 2, 9), "(", dec(F.col("avg_range") + F.col("std_range") * 1.28, 2, 9), ")"
         ).alias("daily_range"),
     )
-    age = views.announcement_age(run.announcements, run.days, run.d)
+    age = run.announcement_age
     sar = views.sar_current(run.sar).select(
         "code", F.when(F.col("ud_trend") == "up", "+").when(F.col("ud_trend") == "down", "-").otherwise("").alias("_sar"), "n_sar"
     )
