@@ -6,7 +6,7 @@ import importlib
 
 from tapeline.catalog.registry import ORACLES, QUERIES, Query, with_fragments
 
-MODULES = ("daily", "relational", "loading", "state", "intraday", "features", "evaluation", "streams", "feeds", "endofday")
+MODULES = ("daily", "relational", "loading", "state", "intraday", "features", "evaluation", "streams", "feeds", "endofday", "stored")
 
 for _module in MODULES:
     importlib.import_module(f"tapeline.catalog.{_module}")
