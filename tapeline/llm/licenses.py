@@ -47,13 +47,17 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def parse(expression: str) -> list[str] | None:
-    """Reverse Polish notation of an and/or/with expression, or None if it is malformed."""
+    """Reverse Polish notation of an and/or/with expression, or None if it is malformed.
+
+    `with` stands between one licence and one exception: neither is an expression of its own.
+    """
     out: list[str] = []
     stack: list[str] = []
     operand = True  # is an operand due?
+    before = last = ""  # the two tokens read before this one
     for token in re.findall(r"[()]|[^\s()]+", expression.lower()):
         if token == "(":
-            if not operand:
+            if not operand or last == "with":
                 return None
             stack.append(token)
         elif token == ")":
@@ -65,7 +69,7 @@ def parse(expression: str) -> list[str] | None:
                 return None
             stack.pop()
         elif token in BINDING:
-            if operand:
+            if operand or token == "with" and (last == ")" or before == "with"):
                 return None
             while stack and stack[-1] != "(" and BINDING[stack[-1]] >= BINDING[token]:
                 out.append(stack.pop())
@@ -76,6 +80,7 @@ def parse(expression: str) -> list[str] | None:
         else:
             out.append(token)
             operand = False
+        before, last = last, token
     if operand or "(" in stack:
         return None
     return out + stack[::-1]
@@ -96,7 +101,8 @@ def evaluate(rpn: list[str]) -> tuple[list[str], int]:
         if token == "with":
             stack.append(([f"{x} with {y}" for x in left for y in right], a))
         else:
-            stack.append((left + right, min(a, b) if token == "or" else a + b))
+            left += right  # in place: a long chain costs its length
+            stack.append((left, min(a, b) if token == "or" else a + b))
     return stack[0]
 
 

@@ -218,6 +218,10 @@ def test_quality_lines(spark):
 
 
 def test_licenses(spark, empty):
+    for odd in ("(a and b) with x", "a with (b and c)", "a with b with c", "a with", "with a"):
+        assert licenses.parse(odd) is None
+    assert licenses.parse("a with (x) with " * 40 + "b") is None
+    assert licenses.evaluate(licenses.parse(" and ".join(["mit", "isc with x"] * 20_000)))[1] == 40_000
     assert licenses.parse("MIT OR (Apache-2.0 AND GPL-2.0 WITH x)") == ["mit", "apache-2.0", "gpl-2.0", "x", "with", "and", "or"]
     assert licenses.evaluate(licenses.parse("a and b or c")) == (["a", "b", "c"], 1)
     assert [licenses.parse(x) for x in ("", "or", "(a", "a b", "a)", "a or", "()")] == [None] * 7
