@@ -85,15 +85,16 @@ def weighted_ma(series: DataFrame, value: str, weights: list[Decimal], out: str,
     return series.withColumn(out, ma).where(F.col(out).isNotNull())
 
 
-def moving_averages(bars: DataFrame, short: list[Decimal] = EMA15, long: list[Decimal] = EMA40) -> DataFrame:
-    """code, load_date, price, ema15, ema40 where both means have a full history."""
+def moving_averages(bars: DataFrame, short: list[Decimal] = EMA15, long: list[Decimal] = EMA40, keep: tuple[str, ...] = ()) -> DataFrame:
+    """code, load_date, price, ema15, ema40 and the columns `keep`, where both means have a full history."""
     n = max(len(short), len(long))
     # a row counts only if all its closes are there, so the newest ones of the long list are the short list
-    closes = bars.select("code", "load_date", F.col("close").alias("price"), list_last(wholes(F.col("close")), by(), n).alias("_h"))
+    closes = bars.select("code", "load_date", *keep, F.col("close").alias("price"), list_last(wholes(F.col("close")), by(), n).alias("_h"))
     full = closes.where(F.size("_h") == n)
     return full.select(
         "code",
         "load_date",
+        *keep,
         "price",
         dec(weighted_of(newest_of(F.col("_h"), len(short)), short), 4, 14).alias("ema15"),
         dec(weighted_of(newest_of(F.col("_h"), len(long)), long), 4, 14).alias("ema40"),
@@ -107,14 +108,11 @@ def weighted_ma_on(bars: DataFrame, d: DateLike) -> DataFrame:
 
 
 def weighted_ma_rolling(bars: DataFrame, newest: int = 11) -> DataFrame:
-    """Moving averages on each code's newest dates."""
+    """Moving averages on each code's newest dates; only the rows they need are averaged."""
     newest_first = W.partitionBy("code").orderBy(F.desc("load_date"))
-    return (
-        moving_averages(bars.withColumn("_n", F.row_number().over(newest_first)).withColumn("close", F.col("close")))
-        .withColumn("_n", F.row_number().over(newest_first))
-        .where(F.col("_n") <= newest)
-        .drop("_n")
-    )
+    reach = newest + max(len(EMA15), len(EMA40)) - 1
+    rows = bars.select("code", "load_date", "close", F.row_number().over(newest_first).alias("_n")).where(F.col("_n") <= reach)
+    return moving_averages(rows, keep=("_n",)).where(F.col("_n") <= newest).drop("_n")
 
 
 def match_point(bars: DataFrame, weights: list[Decimal] = EMA40) -> DataFrame:
