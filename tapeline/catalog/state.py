@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeline.catalog.duck import ASOF, DAY
 from tapeline.catalog.daily import _classes
-from tapeline.catalog.registry import at_other_day, fragment, query
+from tapeline.catalog.registry import FRAGMENTS, at_other_day, fragment, query
 from tapeline.operators.folds import parabolic_sar, smoothed_candles
 from tapeline.plans import daily, loading, market_index, rankings, reports, views
 from tapeline.plans.daily import as_date
@@ -273,6 +273,20 @@ def index_components(spark: SparkSession, sf: str) -> DataFrame:
     return run_for(spark, sf).components.select("code", "load_date", "open", "low", "high", "close", "volume", "match_price", "weight_ratio")
 
 
+def _rebased(c: str, digits: int) -> str:
+    return f"(round({c}::DOUBLE / match_price::DOUBLE, 3)::DECIMAL({digits},3))::DOUBLE AS {c}"
+
+
+@query(
+    "index_components_whole",
+    FRAGMENTS["ix_comp"].replace("n.volume FROM gr", "n.volume, n.typ3, n.typ4, n.turnover, n.market_cap FROM gr").split("SELECT fl.code, fl.load_date")[0]
+    + f"SELECT fl.code, fl.load_date, {', '.join(_rebased(c, 12) for c in market_index.PRICES)}, {_rebased('turnover', 24)}, volume, market_cap::DOUBLE AS market_cap, "
+    "match_price::DOUBLE AS match_price, weight_ratio::DOUBLE AS weight_ratio FROM fl JOIN wt ON fl.code = wt.code",
+)
+def index_components_whole(spark: SparkSession, sf: str) -> DataFrame:
+    return run_for(spark, sf).components
+
+
 def index_sql(prefix: str, comp: str) -> None:
     """Index rows, their candle recursion and the ratios, from a component table."""
     fragment(
