@@ -45,7 +45,7 @@ HEADLINE = [
 ]
 
 #: Timed too, but not part of the total, so that it stays comparable from round to round.
-MORE = ["training_set", "market_features", "conversion_long_report", "parabolic_sar_two_settings", "bars_within_spans", "lag_by_any_offset", "stream_sar"]
+MORE = ["training_set", "conversion_long_report", "parabolic_sar_two_settings", "bars_within_spans", "lag_by_any_offset", "stream_sar"]
 
 
 def main() -> None:
