@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tapeline.catalog.state import run_for
 from tapeline.operators.snapshots import RunLedger, SnapshotStore
-from tapeline.plans.endofday import EndOfDay, MissingStep, stored_mail, stored_page
+from tapeline.plans.endofday import EndOfDay, MissingStep, Step, stored_mail, stored_page
 
 DAY, BEFORE = "2001-06-29", "2001-06-28"
 
@@ -118,3 +119,28 @@ def test_newest_snapshot_is_found_without_reading(spark, tmp_path):
     assert [store.newest("t", k).first()["v"] for k in (0, 1)] == [2, 1]
     assert store.newest("t", until="2020-01-30").first()["v"] == 1
     assert store.newest("t", 3) is None and store.newest("none") is None
+
+
+def test_day_without_rows_is_the_newest_snapshot(spark, tmp_path):
+    """A summary that lists no code is stored as such: neither an error nor the older day's rows."""
+    columns = "category string, code string, report_date date, price double, ema25 string, sar_buff string, trend string, rec string, financial_healthy double, pe_ranking double, load_date date"
+    ranges = spark.createDataFrame([("A", dt.date(2020, 1, 2), 1.0, 0.5)], "code string, load_date date, avg_diff double, std_diff double")
+
+    def go(d, summary):
+        run = EndOfDay(spark, str(tmp_path), SimpleNamespace(d=d, day=F.lit(d).cast("date")))
+        by_day = {"simple_moving_range": Step(lambda: ranges), "daily_summary": Step(lambda: spark.createDataFrame(summary, columns), ("code", "report_date", "load_date"))}
+        by_day["a_ranking"] = Step(lambda: ranges, daily=False)
+        run.steps = lambda: by_day
+        assert run.go() == list(by_day)
+        return run.store
+
+    day = dt.date(2020, 1, 2)
+    store = go("2020-01-01", [])
+    assert stored_mail(store).count() == 0 and store.newest("daily_summary").columns[0] == "category"
+    store = go("2020-01-02", [("S", "A", day, 1.0, "1%", "2%", "t", "Buy", 0.5, 1.0, day)])
+    assert [r["code"] for r in stored_mail(store).collect()] == ["A"]
+    store = go("2020-01-03", [])
+    assert store.dates("daily_summary") == ["2020-01-03", "2020-01-02", "2020-01-01"]
+    assert store.newest("daily_summary").count() == 0 and stored_mail(store).count() == 0
+    assert store.read("daily_summary", store.dates("daily_summary")).count() == 1
+    assert store.dates("a_ranking") == ["2020-01-02"]
