@@ -156,3 +156,23 @@ def test_retention(spark):
 def test_forex_queue_drains_to_newest_taken(spark):
     q = spark.createDataFrame([(1,), (2,), (3,)], "sys_dt int")
     assert rows(loading.drained(q, q.where("sys_dt <= 2"))) == [(3,)]
+
+
+def test_insert_computes_new_rows_once(spark, tmp_path):
+    """Rows with and without a whole key come from one pass over `new`, and those without are spread."""
+    passes = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            passes.add(batch.num_rows)
+            yield batch
+
+    kept = [(1, "a", dt.date(2020, 1, 1)), (1, "b", dt.date(2020, 1, 1)), (None, "c", dt.date(2020, 1, 1)), (None, "c", dt.date(2020, 1, 1)), (2, "d", None)]
+    schema = "k int, v string, load_date date"
+    new = spark.createDataFrame(kept, schema).mapInArrow(seen, schema)
+    for runs in (1, 2):  # a second time only the rows without a whole key come again
+        tables.insert_ignore(spark, f"{tmp_path}/t", new, ["k", "load_date"], by="load_date")
+        assert passes.value == len(kept) * runs
+        stored = spark.read.parquet(f"{tmp_path}/t")
+        assert rows(stored.where("k = 1").select("v")) == [("a",)]
+        assert stored.where("k IS NULL OR load_date IS NULL").count() == 3 * runs
