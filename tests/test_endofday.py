@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tapeline.catalog.state import run_for
 from tapeline.operators.snapshots import RunLedger, SnapshotStore
+from tapeline.plans import views
 from tapeline.plans.endofday import EndOfDay, MissingStep, Step, stored_mail, stored_page
 
 DAY, BEFORE = "2001-06-29", "2001-06-28"
@@ -144,3 +145,21 @@ def test_day_without_rows_is_the_newest_snapshot(spark, tmp_path):
     assert store.newest("daily_summary").count() == 0 and stored_mail(store).count() == 0
     assert store.read("daily_summary", store.dates("daily_summary")).count() == 1
     assert store.dates("a_ranking") == ["2020-01-02"]
+
+
+def test_what_several_steps_rest_on_is_written_once(today):
+    for make in (today.steady, today.direction_list):
+        assert make("quarter") is make("quarter") and make("quarter").inputFiles()
+    for measure in ("ema", "stb"):
+        assert today.ranking(measure, "sar", "long_end") is today.ranking(measure, "sar", "long_end")
+
+
+def test_fundamentals_older_than_two_weeks_are_cut_before_the_newest_is_sought(spark):
+    days = {"A": (1, 20, 29), "B": (1,), "C": (16, 17), "D": (15,), "E": (30,)}
+    values = [(c, dt.date(2020, 1, d), 1, 1, 1, -1, float(d), "Buy") for c, all_ in days.items() for d in all_]
+    analysis = spark.createDataFrame(values, "code string, load_date date, revenue int, net_income int, net_profit_margin int, ebitda int, fpe double, average_recommendation string")
+    cats = spark.createDataFrame([(c, "S") for c in days], "code string, category string")
+    out = views.analysis_current(analysis, cats, "2020-01-29")
+    assert rows(out.select("code", F.dayofmonth("load_date"))) == [("A", 29), ("C", 17)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("> 2020-01-15") > plan.rindex("Window [")
